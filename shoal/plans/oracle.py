@@ -80,7 +80,83 @@ FROM f
 """
 
 
+# Clean log records with the repaired flag (day granularity). Dirty rows are
+# the events with event_id % 97 = 0; they take no part in the repair.
+_CLEAN_LOG = f"""
+WITH ev AS (
+  SELECT event_id AS seq, event_type,
+         CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+         'mid_' || CAST(user_id AS VARCHAR) AS mid,
+         {_REAL_MS} AS ts
+  FROM events WHERE event_id % 97 <> 0
+),
+pl AS (
+  SELECT *, CASE WHEN k % 2 = 0 THEN '1' ELSE '0' END AS flag FROM ev
+),
+f AS (
+  SELECT *, first_value(CASE WHEN flag = '1' THEN {_fmt('day', 'ts')}
+                             ELSE {_fmt('day', 'ts - 86400000')} END)
+              OVER (PARTITION BY mid ORDER BY seq) AS first_visit
+  FROM pl
+)
+SELECT seq, event_type, k, mid, ts,
+       CASE WHEN flag = '1' AND first_visit <> {_fmt('day', 'ts')} THEN '0' ELSE flag END
+         AS is_new,
+       CASE WHEN event_type IN ('view', 'signup') THEN NULL
+            WHEN event_type = 'click' THEN '' ELSE 'home' END AS last_page_id
+FROM f
+"""
+
+LOG_DIRTY = "SELECT event_id AS seq, '{bad' AS value FROM events WHERE event_id % 97 = 0"
+
+LOG_ERROR = f"""
+WITH c AS ({_CLEAN_LOG})
+SELECT seq, mid, is_new, event_type AS page_id, k AS error_code,
+       'error ' || CAST(k AS VARCHAR) AS msg, ts
+FROM c WHERE event_type = 'error'
+"""
+
+LOG_START = f"""
+WITH c AS ({_CLEAN_LOG})
+SELECT seq, mid, is_new, 'icon' AS entry, k AS loading_time, ts
+FROM c WHERE event_type = 'signup'
+"""
+
+LOG_DISPLAY = f"""
+WITH c AS ({_CLEAN_LOG}),
+x AS (
+  SELECT seq, mid, is_new, event_type AS page_id, ts, unnest(range(1, k % 4 + 1)) AS i
+  FROM c WHERE event_type = 'view' AND k % 4 > 0
+)
+SELECT seq, mid, is_new, page_id, ts, 'sku_' || CAST(i AS VARCHAR) AS item,
+       'sku_id' AS item_type, i AS display_order
+FROM x
+"""
+
+LOG_ACTION = f"""
+WITH c AS ({_CLEAN_LOG}),
+x AS (
+  SELECT seq, mid, is_new, event_type AS page_id, ts, unnest(range(1, k % 3 + 1)) AS i
+  FROM c WHERE event_type = 'click' AND k % 3 > 0
+)
+SELECT seq, mid, is_new, page_id, 'act_' || CAST(i AS VARCHAR) AS action_id,
+       'sku_' || CAST(i AS VARCHAR) AS item, ts + i AS action_ts
+FROM x
+"""
+
+LOG_PAGE = f"""
+WITH c AS ({_CLEAN_LOG})
+SELECT seq, mid, is_new, event_type AS page_id, last_page_id, k * 100 AS during_time, ts
+FROM c WHERE event_type <> 'signup'
+"""
+
 ORACLE: dict[str, str] = {
+    "log_dirty": LOG_DIRTY,
+    "log_error": LOG_ERROR,
+    "log_start": LOG_START,
+    "log_display": LOG_DISPLAY,
+    "log_action": LOG_ACTION,
+    "log_page": LOG_PAGE,
     "user_jump": USER_JUMP,
     "unique_visitor_day": _unique_visitor("day"),
     "unique_visitor_second": _unique_visitor("second"),

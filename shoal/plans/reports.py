@@ -56,3 +56,65 @@ def fix_is_new_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fix_is_new_second(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = td.page_log(td.table(spark, sf_dir, "events"))
     return visitors.flatten_page(visitors.fix_is_new(log, "second"))
+
+
+# ---------------------------------------------------------------------- logs
+
+def _clean_fixed_log(spark: SparkSession, sf_dir: str):
+    from shoal.operators import logs
+    raw = td.raw_log_text(td.table(spark, sf_dir, "events"))
+    clean, dirty = logs.split_dirty(raw)
+    return visitors.fix_is_new(clean, "day"), dirty
+
+
+def _split(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    from shoal.operators import logs
+    fixed, _ = _clean_fixed_log(spark, sf_dir)
+    return logs.split_log(fixed)[name]
+
+
+def _who() -> list:
+    return ["seq", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new")]
+
+
+@query("log_dirty")
+def log_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clean_fixed_log(spark, sf_dir)[1].select("seq", "value")
+
+
+@query("log_error")
+def log_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir, "error").select(
+        *_who(), F.col("page.page_id").alias("page_id"),
+        F.col("err.error_code").alias("error_code"), F.col("err.msg").alias("msg"), "ts")
+
+
+@query("log_start")
+def log_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir, "start").select(
+        *_who(), F.col("start.entry").alias("entry"),
+        F.col("start.loading_time").alias("loading_time"), "ts")
+
+
+@query("log_display")
+def log_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir, "display").select(
+        *_who(), F.col("page.page_id").alias("page_id"), "ts",
+        F.col("display.item").alias("item"), F.col("display.item_type").alias("item_type"),
+        F.col("display.order").alias("display_order"))
+
+
+@query("log_action")
+def log_action(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir, "action").select(
+        *_who(), F.col("page.page_id").alias("page_id"),
+        F.col("action.action_id").alias("action_id"), F.col("action.item").alias("item"),
+        F.col("action.ts").alias("action_ts"))
+
+
+@query("log_page")
+def log_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _split(spark, sf_dir, "page").select(
+        *_who(), F.col("page.page_id").alias("page_id"),
+        F.col("page.last_page_id").alias("last_page_id"),
+        F.col("page.during_time").alias("during_time"), "ts")
