@@ -150,7 +150,143 @@ SELECT seq, mid, is_new, event_type AS page_id, last_page_id, k * 100 AS during_
 FROM c WHERE event_type <> 'signup'
 """
 
+def _money(c: str) -> str:
+    return f"CAST(CAST({c} AS DECIMAL(16,2)) AS VARCHAR)"
+
+
+_DETAIL_ID = ("concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+              "strftime(l_shipdate, '%Y-%m-%d'), " + _money("l_extendedprice") + ")")
+_EPOCH_S = "CAST(CAST(epoch({c}) AS BIGINT) + {shift} AS VARCHAR)"
+
+CHANGE_ENVELOPE = """
+SELECT (8796093022208 + c_custkey) AS seq, 'customer' AS "table", 'insert' AS type,
+       '1700000000' AS ts, CAST(5 AS BIGINT) AS n_fields FROM customer
+UNION ALL
+SELECT (9895604649984 + s_suppkey), 'supplier', 'insert', '1700000000', 4 FROM supplier
+UNION ALL
+SELECT (10995116277760 + p_partkey), 'part', 'insert', '1700000000', 6 FROM part
+UNION ALL
+SELECT (13194139533312 + c_custkey), 'customer', 'update', '1700000100', 2
+FROM customer WHERE c_acctbal < 0
+UNION ALL
+SELECT (14293651161088 + s_suppkey), 'supplier', 'delete', '1700000200', 4
+FROM supplier WHERE s_acctbal < 0
+UNION ALL
+SELECT (15393162788864 + o_orderkey), 'orders', 'insert', '1700000000', 2 FROM orders
+"""
+
+CART_ADD = f"""
+WITH c AS (
+  SELECT l_orderkey || '-' || l_linenumber AS id, l_suppkey, l_partkey, l_linestatus,
+         l_shipdate, CAST(l_quantity AS BIGINT) AS qty,
+         lag(CAST(l_quantity AS BIGINT)) OVER (
+           PARTITION BY l_orderkey, l_linenumber
+           ORDER BY l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS prev_qty
+  FROM lineitem
+)
+SELECT id, CAST(l_suppkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS sku_id,
+       CAST(l_suppkey AS VARCHAR) AS source_id, l_linestatus AS source_type,
+       'open line' AS source_type_name,
+       CAST(CASE WHEN prev_qty IS NULL THEN qty ELSE qty - prev_qty END AS VARCHAR) AS sku_num,
+       {_EPOCH_S.format(c='l_shipdate', shift=0)} AS ts
+FROM c
+WHERE l_linestatus = 'O' AND (prev_qty IS NULL OR qty > prev_qty)
+"""
+
+_ORDER_ROWS = f"""
+  SELECT o_orderkey, 'insert' AS type,
+         CASE WHEN o_orderstatus = 'P' THEN 'O' ELSE o_orderstatus END AS order_status,
+         NULL AS old_order_status, o_orderdate AS op_time, 0 AS shift, o_custkey, o_orderdate
+  FROM orders
+  UNION ALL
+  SELECT o_orderkey, 'update', 'P', 'O', o_orderdate + INTERVAL 1 DAY, 86400, o_custkey,
+         o_orderdate
+  FROM orders WHERE o_orderstatus = 'P'
+"""
+
+_WIDE = f"""
+WITH od AS (
+  SELECT {_DETAIL_ID} AS id, * FROM lineitem WHERE l_linestatus = 'O'
+),
+oi AS (
+  SELECT r.*, c.c_nationkey FROM ({_ORDER_ROWS}) r
+  LEFT JOIN customer c ON c.c_custkey = r.o_custkey
+),
+act AS (
+  SELECT {_DETAIL_ID} AS id, CAST(l_suppkey AS VARCHAR) AS activity_id,
+         {_money('l_discount')} AS activity_rule_id
+  FROM lineitem WHERE l_discount > 0.05
+),
+cou AS (
+  SELECT {_DETAIL_ID} AS id, CAST(l_partkey AS VARCHAR) AS coupon_id
+  FROM lineitem WHERE l_returnflag = 'R'
+),
+w AS (
+SELECT od.id, CAST(od.l_orderkey AS VARCHAR) AS order_id, CAST(od.l_partkey AS VARCHAR) AS sku_id,
+       'sku_' || CAST(od.l_partkey AS VARCHAR) AS sku_name,
+       strftime(od.l_shipdate, '%Y-%m-%d') AS date_id,
+       strftime(od.l_shipdate, '%Y-%m-%d %H:%M:%S') AS create_time,
+       CAST(od.l_suppkey AS VARCHAR) AS source_id, od.l_linestatus AS source_type,
+       CAST(CAST(od.l_quantity AS BIGINT) AS VARCHAR) AS sku_num,
+       CAST(CAST(CAST(od.l_quantity AS BIGINT) AS DECIMAL(16,2))
+            * CAST(od.l_extendedprice AS DECIMAL(16,2)) AS VARCHAR) AS split_original_amount,
+       {_money('od.l_discount')} AS split_activity_amount,
+       {_money('od.l_tax')} AS split_coupon_amount,
+       {_money('od.l_extendedprice')} AS split_total_amount,
+       {_EPOCH_S.format(c='od.l_shipdate', shift=0)} AS od_ts,
+       CAST(oi.o_custkey AS VARCHAR) AS user_id, CAST(oi.c_nationkey AS VARCHAR) AS province_id,
+       strftime(oi.op_time, '%Y-%m-%d') AS operate_date_id,
+       strftime(oi.op_time, '%Y-%m-%d %H:%M:%S') AS operate_time,
+       oi.order_status, oi.type,
+       {_EPOCH_S.format(c='oi.o_orderdate', shift='oi.shift')} AS oi_ts,
+       act.activity_id, act.activity_rule_id, cou.coupon_id,
+       'open line' AS source_type_name, oi.old_order_status
+FROM od
+JOIN oi ON od.l_orderkey = oi.o_orderkey
+LEFT JOIN act ON act.id = od.id
+LEFT JOIN cou ON cou.id = od.id
+)
+"""
+
+ORDER_WIDE = _WIDE + "SELECT * FROM w"
+ORDER_PLACED = _WIDE + "SELECT * FROM w WHERE type = 'insert'"
+ORDER_WIDE_LATEST = _WIDE + """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY CAST(oi_ts AS BIGINT) DESC,
+                                                   type = 'update' DESC) AS rn
+  FROM w) WHERE rn = 1
+"""
+
+
+def _demo_join(how: str) -> str:
+    return f"""
+SELECT e.o_orderkey AS empno, e.o_orderpriority AS ename, e.o_custkey AS deptno,
+       d.c_name AS dname
+FROM orders e {how.upper()} JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'AUTOMOBILE') d
+  ON e.o_custkey = d.c_custkey
+"""
+
+
+INTERVAL_JOIN = """
+WITH ev AS (SELECT event_id, user_id, event_type, epoch_us(ts) // 1000 AS ms FROM events)
+SELECT c.event_id AS click_id, c.user_id, c.ms AS click_ts, v.event_id AS view_id,
+       v.ms AS view_ts
+FROM ev c JOIN ev v ON c.user_id = v.user_id
+ AND v.ms BETWEEN c.ms - 21600000 AND c.ms + 21600000
+WHERE c.event_type = 'click' AND v.event_type = 'view'
+"""
+
 ORACLE: dict[str, str] = {
+    "change_envelope": CHANGE_ENVELOPE,
+    "cart_add": CART_ADD,
+    "order_wide": ORDER_WIDE,
+    "order_wide_latest": ORDER_WIDE_LATEST,
+    "order_placed": ORDER_PLACED,
+    "join_inner": _demo_join("inner"),
+    "join_left": _demo_join("left"),
+    "join_right": _demo_join("right"),
+    "join_full": _demo_join("full"),
+    "interval_join": INTERVAL_JOIN,
     "log_dirty": LOG_DIRTY,
     "log_error": LOG_ERROR,
     "log_start": LOG_START,

@@ -118,3 +118,97 @@ def log_page(spark: SparkSession, sf_dir: str) -> DataFrame:
         *_who(), F.col("page.page_id").alias("page_id"),
         F.col("page.last_page_id").alias("last_page_id"),
         F.col("page.during_time").alias("during_time"), "ts")
+
+
+# ---------------------------------------------------------------- change log
+
+def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.operators import cdc
+    return cdc.filter_change_envelope(td.order_change_log(spark, sf_dir))
+
+
+@query("change_envelope")
+def change_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dimension change topic as JSON text -> parsed -> envelope filter."""
+    from shoal.operators import cdc
+    text = td.dim_changes(spark, sf_dir).select(
+        "seq", F.to_json(F.struct("database", "table", "type", "ts", "data", "old")).alias("value"))
+    kept = cdc.filter_change_envelope(cdc.parse_change_log(text))
+    return kept.select("seq", "table", "type", "ts", F.size("data").cast("long").alias("n_fields"))
+
+
+@query("cart_add")
+def cart_add(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.operators import cdc
+    return cdc.cart_add(_changes(spark, sf_dir), td.base_dic(spark))
+
+
+def _wide(spark: SparkSession, sf_dir: str, keep_seq: bool = False) -> DataFrame:
+    from shoal.operators import joins
+    return joins.order_wide_join(_changes(spark, sf_dir), td.base_dic(spark), keep_seq=keep_seq)
+
+
+def _wide_report(df: DataFrame) -> DataFrame:
+    """Wide rows without the map and the write-time column."""
+    from shoal.operators.joins import WIDE_COLUMNS
+    cols = [c for c in WIDE_COLUMNS if c not in ("old", "row_op_ts")]
+    return df.select(*cols, F.col("old")["order_status"].alias("old_order_status"))
+
+
+@query("order_wide")
+def order_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _wide_report(_wide(spark, sf_dir))
+
+
+@query("order_wide_latest")
+def order_wide_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.operators.upsert import materialize_upsert
+    wide = _wide(spark, sf_dir, keep_seq=True).withColumn("__oi_ts", F.col("oi_ts").cast("long"))
+    return _wide_report(materialize_upsert(wide, "id", ["__oi_ts", "oi_seq"]))
+
+
+@query("order_placed")
+def order_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.operators.joins import order_placed as placed
+    return _wide_report(placed(_wide(spark, sf_dir)))
+
+
+# --------------------------------------------------------------------- joins
+
+def _emp_dept(spark: SparkSession, sf_dir: str):
+    emp = td.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("empno"), F.col("o_orderpriority").alias("ename"),
+        F.col("o_custkey").alias("deptno"))
+    dept = td.table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "AUTOMOBILE") \
+        .select(F.col("c_custkey").alias("d_deptno"), F.col("c_name").alias("dname"))
+    return emp, dept
+
+
+def _demo_join(how: str):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from shoal.operators.joins import equi_join
+        emp, dept = _emp_dept(spark, sf_dir)
+        return equi_join(emp, dept, "deptno", "d_deptno", how) \
+            .select("empno", "ename", "deptno", "dname")
+    return run
+
+
+for _how in ("inner", "left", "right", "full"):
+    query(f"join_{_how}")(_demo_join(_how))
+
+# Fixed value: band of the interval-join report (the demo uses 5 ms; the
+# generated events are minutes apart, so the report uses six hours).
+INTERVAL_BOUND_MS = 6 * 3600 * 1000
+
+
+@query("interval_join")
+def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.operators.joins import interval_join as band_join
+    ev = td.table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+    clicks = ev.where(F.col("event_type") == "click").select(
+        F.col("event_id").alias("click_id"), "user_id", F.col("ms").alias("click_ts"))
+    views = ev.where(F.col("event_type") == "view").select(
+        F.col("event_id").alias("view_id"), "user_id", F.col("ms").alias("view_ts"))
+    return band_join(clicks, views, "user_id", "click_ts", "view_ts",
+                     -INTERVAL_BOUND_MS, INTERVAL_BOUND_MS)
