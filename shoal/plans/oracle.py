@@ -276,7 +276,78 @@ FROM ev c JOIN ev v ON c.user_id = v.user_id
 WHERE c.event_type = 'click' AND v.event_type = 'view'
 """
 
+DELIMITED_JOIN = """
+WITH ev AS (SELECT event_id, user_id, event_type, epoch_us(ts) // 1000 AS ms FROM events)
+SELECT CAST(c.event_id AS INTEGER) AS empno, c.event_type AS ename,
+       CAST(c.user_id AS INTEGER) AS deptno, c.ms AS emp_ts,
+       'view_' || CAST(v.event_id AS VARCHAR) AS dname, v.ms AS dept_ts
+FROM ev c JOIN ev v ON c.user_id = v.user_id
+ AND v.ms BETWEEN c.ms - 21600000 AND c.ms + 21600000
+WHERE c.event_type = 'click' AND v.event_type = 'view'
+"""
+
+DATE_FUNCTIONS = """
+WITH e AS (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events)
+SELECT event_id, ms,
+       strftime(make_timestamp(ms * 1000), '%Y-%m-%d') AS day,
+       strftime(make_timestamp(ms * 1000), '%Y-%m-%d %H:%M:%S') AS day_time,
+       epoch_us(CAST(CAST(make_timestamp(ms * 1000) AS DATE) AS TIMESTAMP)) // 1000 - 28800000
+         AS day_start_ms,
+       epoch_us(date_trunc('second', make_timestamp(ms * 1000))) // 1000 - 28800000 AS wall_ms
+FROM e
+"""
+
+# dimension rows after trimming to the configured columns (keys sorted)
+_DIM_ROWS = """
+  SELECT 8796093022208 + c_custkey AS seq, 'customer' AS "table", 'insert' AS type,
+         'dim_customer' AS sink_table, CAST(c_custkey AS VARCHAR) AS pk,
+         'c_acctbal,c_custkey,c_name' AS kept_keys,
+         CAST(CAST(c_acctbal AS DECIMAL(16,2)) AS VARCHAR) || '|' || CAST(c_custkey AS VARCHAR)
+           || '|' || c_name AS kept_values
+  FROM customer
+  UNION ALL
+  SELECT 13194139533312 + c_custkey, 'customer', 'update', 'dim_customer',
+         CAST(c_custkey AS VARCHAR), 'c_acctbal,c_custkey', '0.00|' || CAST(c_custkey AS VARCHAR)
+  FROM customer WHERE c_acctbal < 0
+  UNION ALL
+  SELECT 9895604649984 + s_suppkey, 'supplier', 'insert', 'dim_supplier',
+         CAST(s_suppkey AS VARCHAR), 's_name,s_nationkey,s_suppkey',
+         s_name || '|' || CAST(s_nationkey AS VARCHAR) || '|' || CAST(s_suppkey AS VARCHAR)
+  FROM supplier
+  UNION ALL
+  SELECT 14293651161088 + s_suppkey, 'supplier', 'delete', 'dim_supplier',
+         CAST(s_suppkey AS VARCHAR), 's_name,s_nationkey,s_suppkey',
+         s_name || '|' || CAST(s_nationkey AS VARCHAR) || '|' || CAST(s_suppkey AS VARCHAR)
+  FROM supplier WHERE s_acctbal < 0
+  UNION ALL
+  SELECT 10995116277760 + p_partkey, 'part', 'insert', 'dim_part', CAST(p_partkey AS VARCHAR),
+         'p_brand,p_partkey', p_brand || '|' || CAST(p_partkey AS VARCHAR)
+  FROM part
+"""
+
+DIM_ROUTE = _DIM_ROWS
+
+DIM_UPSERT_PARTIAL = """
+SELECT 'dim_customer' AS sink_table, CAST(c_custkey AS VARCHAR) AS pk,
+       'c_acctbal,c_custkey,c_name' AS kept_keys,
+       CASE WHEN c_acctbal < 0 THEN '0.00' ELSE CAST(CAST(c_acctbal AS DECIMAL(16,2)) AS VARCHAR) END
+         || '|' || CAST(c_custkey AS VARCHAR) || '|' || c_name AS kept_values
+FROM customer
+UNION ALL
+SELECT 'dim_supplier', CAST(s_suppkey AS VARCHAR), 's_name,s_nationkey,s_suppkey',
+       s_name || '|' || CAST(s_nationkey AS VARCHAR) || '|' || CAST(s_suppkey AS VARCHAR)
+FROM supplier
+UNION ALL
+SELECT 'dim_part', CAST(p_partkey AS VARCHAR), 'p_brand,p_partkey',
+       p_brand || '|' || CAST(p_partkey AS VARCHAR)
+FROM part
+"""
+
 ORACLE: dict[str, str] = {
+    "delimited_join": DELIMITED_JOIN,
+    "date_functions": DATE_FUNCTIONS,
+    "dim_route": DIM_ROUTE,
+    "dim_upsert_partial": DIM_UPSERT_PARTIAL,
     "change_envelope": CHANGE_ENVELOPE,
     "cart_add": CART_ADD,
     "order_wide": ORDER_WIDE,

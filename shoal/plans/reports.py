@@ -212,3 +212,62 @@ def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("view_id"), "user_id", F.col("ms").alias("view_ts"))
     return band_join(clicks, views, "user_id", "click_ts", "view_ts",
                      -INTERVAL_BOUND_MS, INTERVAL_BOUND_MS)
+
+
+@query("delimited_join")
+def delimited_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events written as comma lines, parsed back into typed rows, then the
+    time-band join of the demo (click lines against view lines)."""
+    from shoal.operators.joins import interval_join as band_join
+    from shoal.schemas import DEPT, EMP
+    from shoal.sources.delimited import parse_delimited
+    ev = td.table(spark, sf_dir, "events")
+    ms = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    emp_lines = ev.where(F.col("event_type") == "click").select(F.concat_ws(
+        ",", F.col("event_id").cast("string"), "event_type", F.col("user_id").cast("string"),
+        ms).alias("value"))
+    dept_lines = ev.where(F.col("event_type") == "view").select(F.concat_ws(
+        ",", F.col("user_id").cast("string"), F.concat(F.lit("view_"), F.col("event_id").cast("string")),
+        ms).alias("value"))
+    emp = parse_delimited(emp_lines, EMP)
+    dept = parse_delimited(dept_lines, DEPT).withColumnRenamed("ts", "dept_ts")
+    return band_join(emp, dept, "deptno", "ts", "dept_ts", -INTERVAL_BOUND_MS, INTERVAL_BOUND_MS) \
+        .select("empno", "ename", "deptno", F.col("ts").alias("emp_ts"), "dname", "dept_ts")
+
+
+@query("date_functions")
+def date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.functions import to_date_str, to_ts, to_ymdhms
+    ev = td.table(spark, sf_dir, "events").select(
+        "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+    d, dt = to_date_str("ms"), to_ymdhms("ms")
+    return ev.select("event_id", "ms", d.alias("day"), dt.alias("day_time"),
+                     to_ts(d).alias("day_start_ms"), to_ts(dt, is_full=True).alias("wall_ms"))
+
+
+# ---------------------------------------------------------------- dimensions
+
+def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.operators.dims import latest_config, route_dimensions
+    config = latest_config(td.table_config_changes(spark))
+    return route_dimensions(td.dim_changes(spark, sf_dir), config)
+
+
+def _kv_report(df: DataFrame) -> list:
+    keys = F.array_sort(F.map_keys("data"))
+    return [F.array_join(keys, ",").alias("kept_keys"),
+            F.array_join(F.transform(keys, lambda k: F.coalesce(F.col("data")[k], F.lit("<null>"))),
+                         "|").alias("kept_values")]
+
+
+@query("dim_route")
+def dim_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = _routed(spark, sf_dir)
+    return r.select("seq", "table", "type", "sink_table", "pk", *_kv_report(r))
+
+
+@query("dim_upsert_partial")
+def dim_upsert_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shoal.operators.dims import dim_upsert
+    state = dim_upsert(_routed(spark, sf_dir))
+    return state.select("sink_table", "pk", *_kv_report(state))
