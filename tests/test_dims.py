@@ -1,0 +1,51 @@
+from shoal.operators import dims
+from shoal.schemas import CONFIG_CHANGE
+
+SCHEMA = ("seq long, database string, `table` string, type string, ts string, "
+          "data map<string,string>, old map<string,string>")
+
+
+def _cfg(spark, rows):
+    return spark.createDataFrame(rows, CONFIG_CHANGE)
+
+
+def test_latest_config_update_and_delete(spark):
+    a1 = ("t1", "dim_t1", "id,a", "id", None)
+    a2 = ("t1", "dim_t1", "id,a,b", "id", None)
+    b1 = ("t2", "dim_t2", "id,x", None, None)
+    rows = [(None, a1, "r", 1), (a1, a2, "u", 2), (None, b1, "c", 1), (b1, None, "d", 3)]
+    cfg = {r["source_table"]: r for r in dims.latest_config(_cfg(spark, rows)).collect()}
+    assert list(cfg) == ["t1"] and cfg["t1"]["sink_columns"] == "id,a,b"
+
+
+def test_route_and_partial_upsert(spark):
+    cfg = dims.latest_config(_cfg(spark, [(None, ("t", "dim_t", "id,a,b", "id", None), "r", 1)]))
+    rows = [
+        (1, "db", "t", "insert", "1", {"id": "1", "a": "x", "b": "y", "z": "drop"}, None),
+        (2, "db", "t", "update", "2", {"id": "1", "a": "it's"}, None),   # partial, quote
+        (3, "db", "t", "update", "3", {"id": "2", "a": None}, None),     # null value
+        (4, "db", "t", "insert", "4", {"a": "no key"}, None),            # key missing
+        (5, "db", "t", "delete", "5", {"id": "3", "b": "gone"}, None),   # delete = upsert
+        (6, "db", "other", "insert", "6", {"id": "9"}, None),            # no config
+    ]
+    routed = dims.route_dimensions(spark.createDataFrame(rows, SCHEMA), cfg)
+    r = {x["seq"]: x for x in routed.collect()}
+    assert sorted(r) == [1, 2, 3, 4, 5]
+    assert r[1]["data"] == {"id": "1", "a": "x", "b": "y"} and r[1]["sink_table"] == "dim_t"
+    state = {x["pk"]: x["data"] for x in dims.dim_upsert(routed).collect()}
+    assert state == {"1": {"id": "1", "a": "it's", "b": "y"}, "2": {"id": "2", "a": None},
+                     "3": {"id": "3", "b": "gone"}}
+    # a second batch on top of the state: only present columns change
+    more = spark.createDataFrame([(7, "db", "t", "update", "7", {"id": "1", "b": "z"}, None)], SCHEMA)
+    state2 = dims.dim_upsert(dims.route_dimensions(more, cfg), dims.dim_upsert(routed))
+    got = {x["pk"]: x["data"] for x in state2.collect()}
+    assert got["1"] == {"id": "1", "a": "it's", "b": "z"} and got["3"] == {"id": "3", "b": "gone"}
+    wide = dims.dim_rows(state2, "dim_t", "id,a,b", "id").collect()
+    assert [tuple(x) for x in sorted(wide)] == [("1", "it's", "z"), ("2", None, None),
+                                                ("3", None, "gone")]
+
+
+def test_dim_table_schema():
+    s = dims.dim_table_schema("a,id,b", None)
+    assert [f.name for f in s.fields] == ["id", "a", "b"]
+    assert all(f.dataType.simpleString() == "string" for f in s.fields)
