@@ -84,9 +84,15 @@ def dim_upsert(routed: DataFrame, current: DataFrame | None = None) -> DataFrame
     if current is not None:
         e = entries(current.select("sink_table", "pk", F.lit(None).cast("long").alias("seq"),
                                    "data")).unionByName(e)
-    # NULL seq (the current state) sorts below every change
+    return state_from_entries(e)
+
+
+def state_from_entries(entries: DataFrame) -> DataFrame:
+    """``(sink_table, pk, column, value, seq)`` entries -> one row per key
+    with the newest value of each column (NULL ``seq`` = oldest)."""
     order = F.struct(F.col("seq").isNotNull(), F.col("seq"))
-    latest = e.groupBy("sink_table", "pk", "column").agg(F.max_by("value", order).alias("value"))
+    latest = entries.groupBy("sink_table", "pk", "column").agg(
+        F.max_by("value", order).alias("value"))
     return latest.groupBy("sink_table", "pk").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("column", "value"))))
         .alias("data"))

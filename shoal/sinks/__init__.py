@@ -1,0 +1 @@
+"""Writers: message topics, files, dimension tables."""
