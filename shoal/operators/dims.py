@@ -112,3 +112,21 @@ def dim_rows(state: DataFrame, sink_table: str, sink_columns: str,
     schema = dim_table_schema(sink_columns, sink_pk)
     return state.where(F.col("sink_table") == sink_table).select(
         *[F.col("data")[f.name].alias(f.name) for f in schema.fields])
+
+
+def ensure_dim_tables(spark, config: DataFrame, database: str = "dim",
+                      location: str | None = None) -> list[str]:
+    """Create every configured dimension table that does not exist yet
+    (all-string columns, key first). The configuration is metadata bounded
+    by the number of source tables, so it is read on the driver. Returns the
+    qualified table names."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    names = []
+    for row in config.select("sink_table", "sink_columns", "sink_pk").collect():
+        schema = dim_table_schema(row["sink_columns"], row["sink_pk"])
+        cols = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
+        name = f"`{database}`.`{row['sink_table']}`"
+        loc = f" LOCATION '{location}/{row['sink_table']}'" if location else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{loc}")
+        names.append(f"{database}.{row['sink_table']}")
+    return names

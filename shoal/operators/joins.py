@@ -110,17 +110,19 @@ def order_info_rows(changes: DataFrame) -> DataFrame:
         keep=["type", "old", F.col("ts").alias("oi_ts"), F.col("seq").alias("oi_seq")])
 
 
-def activity_rows(changes: DataFrame) -> DataFrame:
+def activity_rows(changes: DataFrame, with_ts: bool = False) -> DataFrame:
     act = select_change_rows(changes, "order_detail_activity", ["insert"])
     return project_change_fields(act, {"order_detail_id": "act_detail_id",
                                        "activity_id": "activity_id",
-                                       "activity_rule_id": "activity_rule_id"})
+                                       "activity_rule_id": "activity_rule_id"},
+                                 keep=[F.col("ts").alias("act_ts")] if with_ts else [])
 
 
-def coupon_rows(changes: DataFrame) -> DataFrame:
+def coupon_rows(changes: DataFrame, with_ts: bool = False) -> DataFrame:
     cou = select_change_rows(changes, "order_detail_coupon", ["insert"])
     return project_change_fields(cou, {"order_detail_id": "cou_detail_id",
-                                       "coupon_id": "coupon_id"})
+                                       "coupon_id": "coupon_id"},
+                                 keep=[F.col("ts").alias("cou_ts")] if with_ts else [])
 
 
 def order_wide_join(changes: DataFrame, dic: DataFrame, keep_seq: bool = False,

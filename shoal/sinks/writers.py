@@ -67,3 +67,23 @@ def read_dim_state(spark, path: str, sink_table: str | None = None) -> DataFrame
     if sink_table:
         e = e.where(F.col("sink_table") == sink_table)  # partition pruning
     return state_from_entries(e)
+
+
+def insert_into(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows in the target's column order, matched by name (never by
+    position): missing columns are an error, extra ones are left out."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing for insert: {missing}")
+    return df.select(*columns)
+
+
+def preview(df: DataFrame, n: int = 20, checkpoint: str | None = None):
+    """Debug output: ``show`` for a batch frame, console sink for a stream."""
+    if df.isStreaming:
+        w = df.writeStream.format("console").option("truncate", "false")
+        if checkpoint:
+            w = w.option("checkpointLocation", checkpoint)
+        return w.start()
+    df.show(n, truncate=False)
+    return None

@@ -70,3 +70,33 @@ def cart_add_batch(changes: DataFrame, dic: DataFrame) -> DataFrame:
 
 def order_wide_batch(changes: DataFrame, dic: DataFrame) -> DataFrame:
     return order_wide_join(cdc.filter_change_envelope(changes), dic)
+
+
+def order_wide_stream(changes: DataFrame, dic: DataFrame, bound: str = "5 seconds",
+                      delay: str = "5 seconds") -> DataFrame:
+    """The order wide table on a change stream: detail ⋈ order ⟕ activity
+    ⟕ coupon as stream-stream joins, each side with an event time from its
+    ``ts`` (seconds) and a watermark, rows matching only within ``bound`` of
+    the detail (this is what bounds the join state, as an idle-state
+    retention does), then the dictionary as a stream-static lookup.
+    Append mode: a left-joined detail is emitted once, after the watermark
+    has passed its bound, with or without its activity / coupon."""
+    from shoal.functions import format_text_time
+    from shoal.operators.joins import (WIDE_COLUMNS, activity_rows, coupon_rows, lookup_join,
+                                       order_detail_rows, order_info_rows)
+    kept = cdc.filter_change_envelope(changes)
+    od = event_time(order_detail_rows(kept), "od_ts", "od_time", delay)
+    oi = event_time(order_info_rows(kept), "oi_ts", "oi_time", delay)
+    act = event_time(activity_rows(kept, with_ts=True), "act_ts", "act_time", delay)
+    cou = event_time(coupon_rows(kept, with_ts=True), "cou_ts", "cou_time", delay)
+    j = stream_join(od, oi, "order_id", "oi_id", "inner", "od_time", "oi_time", bound)
+    j = stream_join(j, act, "id", "act_detail_id", "left", "od_time", "act_time", bound)
+    j = stream_join(j, cou, "id", "cou_detail_id", "left", "od_time", "cou_time", bound)
+    names = dic.select(F.col("dic_code"), F.col("dic_name").alias("source_type_name"))
+    j = lookup_join(j, names, "source_type", "dic_code")
+    cols = {
+        "date_id": format_text_time("create_time", "yyyy-MM-dd"),
+        "operate_date_id": format_text_time("operate_time", "yyyy-MM-dd"),
+        "row_op_ts": F.current_timestamp(),
+    }
+    return j.select(*[cols.get(c, F.col(c)).alias(c) for c in WIDE_COLUMNS])

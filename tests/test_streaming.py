@@ -138,3 +138,45 @@ def test_stream_outer_join(spark, tmp):
     # k=1 matches; k=2 is 20 s apart (NULL side emitted once the watermark passes);
     # k=9 matches but the final watermark may hold it back
     assert (1, 1) in rows and (2, None) in rows
+
+
+def _change(seq, table, ts, **data):
+    return {"seq": seq, "value": json.dumps(
+        {"database": "db", "table": table, "type": "insert", "ts": str(ts), "data": data})}
+
+
+def test_order_wide_stream_chain(spark, tmp):
+    from shoal.sources.testdata import base_dic
+
+    def detail(i, order, ts):
+        return _change(i, "order_detail", ts, id=f"d{i}", order_id=order, sku_id="s", sku_name="n",
+                       sku_num="2", create_time="2024-01-01 00:00:00", source_type="O",
+                       source_id="x", split_total_amount="1.00", split_activity_amount="0.00",
+                       split_coupon_amount="0.00", order_price="1.50")
+
+    def order(i, oid, ts):
+        return _change(i, "order_info", ts, id=oid, user_id="u", province_id="p",
+                       operate_time="2024-01-01 00:00:00", order_status="O")
+
+    recs = [detail(1, "o1", 100), order(2, "o1", 101),
+            _change(3, "order_detail_activity", 100, order_detail_id="d1", activity_id="a",
+                    activity_rule_id="r"),
+            detail(4, "o2", 100), order(5, "o2", 102),
+            _change(6, "order_detail_coupon", 103, order_detail_id="d4", coupon_id="c"),
+            detail(7, "o3", 100), order(8, "o3", 200),                 # beyond the bound
+            # late rows on every branch move all watermarks forward
+            detail(90, "oz", 1000), order(91, "oz", 1000),
+            _change(92, "order_detail_activity", 1000, order_detail_id="d90", activity_id="z",
+                    activity_rule_id="z"),
+            _change(93, "order_detail_coupon", 1000, order_detail_id="d90", coupon_id="z")]
+    os.makedirs(f"{tmp}/in")
+    with open(f"{tmp}/in/a.json", "w") as f:
+        f.write("\n".join(json.dumps(r) for r in recs) + "\n")
+    from shoal.operators.cdc import parse_change_log
+    changes = parse_change_log(read_text_stream(spark, f"{tmp}/in"))
+    out = jobs.order_wide_stream(changes, base_dic(spark))
+    rows = {r.id: r for r in _run(spark, out, "wide1", f"{tmp}/ck")}
+    assert rows["d1"].activity_id == "a" and rows["d1"].coupon_id is None
+    assert rows["d4"].coupon_id == "c" and rows["d4"].activity_id is None
+    assert rows["d4"].split_original_amount == "3.0000"
+    assert "d7" not in rows
