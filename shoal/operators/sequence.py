@@ -47,7 +47,9 @@ def neighbour(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str
     vals = F.struct(*[F.col(v) for v in values])
     ordkey = F.struct(*[F.col(o) for o in order])
 
-    part = df.withColumn(_B, bucket)
+    # the only shuffle of the big side; the window, the per-bucket aggregate
+    # and the join back all read this one exchange
+    part = df.withColumn(_B, bucket).repartition(*keys, _B)
     w_in = Window.partitionBy(*keys, _B).orderBy(*order)
     shift = F.lag if direction == "prev" else F.lead
     rows = part.withColumn(_IN, shift(vals, 1).over(w_in))
@@ -64,17 +66,22 @@ def neighbour(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str
 
 
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
-                  value: Column, out: str) -> DataFrame:
+                  value: Column, out: str, bucket: Column) -> DataFrame:
     """Add column ``out`` = ``value`` of the first row of each key.
 
-    A partial aggregate (``min_by``) keeps one row per key per map task, so a
-    hot key costs no more than any other; the per-key result is joined back
-    (AQE splits a skewed join partition if one key dominates).
+    Rows are shuffled once, by ``(key, bucket)``; the first row of each
+    bucket, then of each key, come from small aggregates over that same
+    exchange, and the per-key answer is joined back on ``(key, bucket)``, so
+    no task ever holds more than one bucket of a hot key.
     """
     keys, order = _cols(key), _cols(order)
     ordkey = F.struct(*[F.col(o) for o in order])
-    firsts = df.groupBy(*keys).agg(F.min_by(value, ordkey).alias(out))
-    return df.join(firsts, on=keys, how="left")
+    part = df.withColumn(_B, bucket).repartition(*keys, _B)
+    per_bucket = part.groupBy(*keys, _B).agg(
+        F.min_by(F.struct(value.alias("v"), ordkey.alias("o")), ordkey).alias("__f"))
+    per_key = per_bucket.groupBy(*keys).agg(F.min_by(F.col("__f.v"), F.col("__f.o")).alias(out))
+    firsts = per_bucket.select(*keys, _B).join(per_key, on=keys, how="inner")
+    return part.join(firsts, on=[*keys, _B], how="left").drop(_B)
 
 
 def plain_neighbour(df: DataFrame, key, order, values, direction: str, out: str) -> DataFrame:

@@ -33,7 +33,8 @@ def _with_mid(df: DataFrame) -> DataFrame:
     return df.withColumn(_MID, F.col("common.mid"))
 
 
-def fix_is_new(log: DataFrame, granularity: str = "day") -> DataFrame:
+def fix_is_new(log: DataFrame, granularity: str = "day",
+               bucket_width: int = SEQ_BUCKET) -> DataFrame:
     """Repair ``common.is_new``.
 
     A device's first record fixes its first-visit date once: its own date if
@@ -46,7 +47,8 @@ def fix_is_new(log: DataFrame, granularity: str = "day") -> DataFrame:
     first_date = F.when(is_new == "1", visit_date(ts, granularity)) \
         .otherwise(visit_date(ts - F.lit(ONE_DAY_MS), granularity))
     d = "__first_visit"
-    out = first_per_key(_with_mid(log), _MID, ["seq"], first_date, d)
+    out = first_per_key(_with_mid(log), _MID, ["seq"], first_date, d,
+                        bucket=F.floor(F.col("seq") / bucket_width))
     fixed = F.when((is_new == "1") & (F.col(d) != visit_date(ts, granularity)), F.lit("0")) \
         .otherwise(is_new)
     return out.withColumn("common", F.col("common").withField("is_new", fixed)).drop(_MID, d)

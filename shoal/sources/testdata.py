@@ -44,6 +44,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """At least ``min_partitions`` input partitions (default: the cluster's
+    default parallelism), like a topic source's ``minPartitions``.
+
+    A small file with one row group is read by one task; the record
+    building that follows is per-row work, so it is spread out first. Large
+    inputs already have enough partitions and are returned unchanged.
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+
+
 def _epoch_ms(ts: Column) -> Column:
     return F.unix_millis(ts.cast("timestamp"))
 
@@ -114,7 +126,7 @@ def raw_log_text(events: DataFrame) -> DataFrame:
                       ms.alias("ts"))
     value = F.when(F.col("event_id") % DIRTY_EVERY == 0, F.lit(DIRTY_TEXT)) \
         .otherwise(F.to_json(record))
-    return events.select(F.col("event_id").alias("seq"), value.alias("value"))
+    return spread(events).select(F.col("event_id").alias("seq"), value.alias("value"))
 
 
 # ---------------------------------------------------------------- change log
@@ -267,7 +279,7 @@ def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     parts = []
     for code, (name, (pk, cols)) in enumerate(DIM_SOURCES.items()):
-        df = table(spark, sf_dir, name)
+        df = spread(table(spark, sf_dir, name))
         data = _kv(**{c: _dim_value(df, c) for c in cols})
         seq = F.lit((8 + code) * SEQ_PART) + F.col(pk)
         parts.append(df.select(*_envelope(name, F.lit("insert"), F.lit("1700000000"), data,
@@ -302,7 +314,7 @@ def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change topic as the order and cart jobs see it."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     return (order_detail_changes(li)
             .unionByName(order_info_changes(table(spark, sf_dir, "orders"),
                                             table(spark, sf_dir, "customer")))

@@ -36,7 +36,8 @@ def test_neighbour_by_arrival_buckets(spark):
 
 def test_first_per_key(spark):
     df = _frame(spark, seed=3)
-    got = {r["seq"]: r["f"] for r in first_per_key(df, "key", ["seq"], F.col("v"), "f").collect()}
+    got = {r["seq"]: r["f"] for r in first_per_key(df, "key", ["seq"], F.col("v"), "f",
+                                                         F.floor(F.col("seq") / 7)).collect()}
     rows = sorted(df.collect(), key=lambda r: r["seq"])
     first = {}
     for r in rows:
