@@ -33,6 +33,13 @@ def _cols(xs) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
 
 
+def bucketed(df: DataFrame, key: str | Sequence[str], bucket: Column) -> DataFrame:
+    """Rows with an ordered bucket column, hash-partitioned by
+    ``(key, bucket)``: the one shuffle of the big side. A key with many rows
+    lands in as many partitions as it has buckets."""
+    return df.withColumn(_B, bucket).repartition(*_cols(key), _B)
+
+
 def neighbour(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
               bucket: Column, values: Sequence[str], direction: str, out: str) -> DataFrame:
     """Add struct column ``out`` holding ``values`` of the previous
@@ -49,7 +56,7 @@ def neighbour(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str
 
     # the only shuffle of the big side; the window, the per-bucket aggregate
     # and the join back all read this one exchange
-    part = df.withColumn(_B, bucket).repartition(*keys, _B)
+    part = bucketed(df, keys, bucket)
     w_in = Window.partitionBy(*keys, _B).orderBy(*order)
     shift = F.lag if direction == "prev" else F.lead
     rows = part.withColumn(_IN, shift(vals, 1).over(w_in))
@@ -76,7 +83,7 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: str | Sequence
     """
     keys, order = _cols(key), _cols(order)
     ordkey = F.struct(*[F.col(o) for o in order])
-    part = df.withColumn(_B, bucket).repartition(*keys, _B)
+    part = bucketed(df, keys, bucket)
     per_bucket = part.groupBy(*keys, _B).agg(
         F.min_by(F.struct(value.alias("v"), ordkey.alias("o")), ordkey).alias("__f"))
     per_key = per_bucket.groupBy(*keys).agg(F.min_by(F.col("__f.v"), F.col("__f.o")).alias(out))

@@ -61,3 +61,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 128 << 20,
+               max_partition_bytes: int = 256 << 20) -> dict:
+    """Settings sized to the bytes a job shuffles: enough initial shuffle
+    partitions that each holds about ``target_partition_bytes`` before AQE
+    coalesces small ones, and scan splits of ``max_partition_bytes``.
+
+    For 100 TB of input shuffled once this gives ~800k initial partitions,
+    which AQE coalesces at run time; skewed partitions above five times the
+    median (and 256 MB) are split by the skew-join rule.
+    """
+    n = max(200, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(max_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    }

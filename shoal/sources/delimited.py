@@ -13,8 +13,8 @@ def parse_delimited(lines: DataFrame, schema: T.StructType, value: str = "value"
 
     Fields that do not parse as their type are NULL (permissive mode).
     """
-    parsed = F.from_csv(F.col(value), schema.simpleString()[len("struct<"):-1].replace(":", " "),
-                        {"sep": sep, "mode": "PERMISSIVE"})
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = F.from_csv(F.col(value), ddl, {"sep": sep, "mode": "PERMISSIVE"})
     return lines.select(parsed.alias("__r")).select("__r.*")
 
 
