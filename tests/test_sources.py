@@ -61,3 +61,19 @@ def test_cart_add_stream_with_batch_dictionary(spark):
     q.awaitTermination(300)
     assert sorted((r["id"], r["sku_num"], r["source_type_name"]) for r in out) == \
         [("c1", "2", "open"), ("c1", "3", "open")]
+
+
+def test_jdbc_dictionary_lookup(spark):
+    """A dictionary table over JDBC (embedded in-memory Derby: in-process,
+    no server or port) joined as a lookup, as the lookup-join demo does."""
+    from shoal.operators.joins import lookup_join
+    from shoal.sources.jdbc import read_jdbc_table
+    url = "jdbc:derby:memory:shoal_dic;create=true"
+    opts = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    dic = spark.createDataFrame([("O", "open"), ("X", "unused")], "dic_code string, dic_name string")
+    dic.write.format("jdbc").option("url", url).option("dbtable", "base_dic") \
+        .option("driver", opts["driver"]).mode("overwrite").save()
+    table = read_jdbc_table(spark, url, "base_dic", **opts)
+    facts = spark.createDataFrame([(1, "O"), (2, "F")], "id int, source_type string")
+    got = [tuple(r) for r in lookup_join(facts, table, "source_type", "dic_code").collect()]
+    assert got == [(1, "O", "open")]
