@@ -9,7 +9,7 @@ outputs under a target folder.
 * ``trade_job``: change records + dictionary -> cart-add fact and order
   wide table (newest row per detail id).
 
-The page log, which feeds two later steps, is written once and read back
+The repaired log, which feeds three outputs, is written once and read back
 (a lineage cut in the target folder), never kept only in executor memory.
 """
 
@@ -23,31 +23,24 @@ from pyspark.sql import functions as F
 from shoal.operators import cdc, dims, logs, visitors
 from shoal.operators.joins import order_wide_join
 from shoal.operators.upsert import materialize_upsert
-from shoal.schemas import PAGE_LOG
 from shoal.sinks.writers import write_dim_changes, write_routed_files
 
 
 def log_job(spark: SparkSession, raw: DataFrame, out: str, granularity: str = "day") -> None:
     clean, dirty = logs.split_dirty(raw)
-    fixed = visitors.fix_is_new(clean, granularity)
+    # the repaired log feeds three outputs: write it once, read it back
+    fixed_path = os.path.join(out, "clean_log")
+    visitors.fix_is_new(clean, granularity).write.mode("overwrite").parquet(fixed_path)
+    fixed = spark.read.parquet(fixed_path)
     routed = logs.route_log(fixed.drop("seq")).unionByName(
         dirty.select(F.lit("dirty").alias("route"), "value"))
     write_routed_files(routed, os.path.join(out, "topics"))
-    # page log with its arrival order, written once, read back for two jobs
-    page_path = os.path.join(out, "page_log")
-    logs.split_log(fixed)["page"].select("seq", "common", "page", "ts") \
-        .write.mode("overwrite").parquet(page_path)
-    page = spark.read.schema(_page_schema()).parquet(page_path)
+    page = logs.split_log(fixed)["page"].select("seq", "common", "page", "ts")
     visitors.unique_visitor(page, granularity).write.mode("overwrite") \
         .parquet(os.path.join(out, "unique_visitor"))
     visitors.user_jump(page).write.mode("overwrite").parquet(os.path.join(out, "user_jump"))
 
 
-def _page_schema():
-    from pyspark.sql import types as T
-    return T.StructType([T.StructField("seq", T.LongType())] + PAGE_LOG.fields)
-
-
 def dim_job(changes: DataFrame, config_changes: DataFrame, out: str) -> None:
     routed = dims.route_dimensions(changes, dims.latest_config(config_changes))
     write_dim_changes(routed, os.path.join(out, "dims"))
