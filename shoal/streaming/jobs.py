@@ -100,3 +100,21 @@ def order_wide_stream(changes: DataFrame, dic: DataFrame, bound: str = "5 second
         "row_op_ts": F.current_timestamp(),
     }
     return j.select(*[cols.get(c, F.col(c)).alias(c) for c in WIDE_COLUMNS])
+
+
+def dim_sink_batch(config: Callable[[], DataFrame], path: str):
+    """``foreachBatch`` body of the dimension job: each micro-batch is routed
+    with the configuration current when the batch runs (``config`` re-reads
+    it), and its dimension entries are written under
+    ``path/sink_table=<t>/batch=<id>/``. A replayed batch id overwrites its own
+    folder only, so a restart after a failure writes each batch once."""
+    from shoal.operators.dims import route_dimensions
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        routed = route_dimensions(batch, config())
+        entries = routed.where(F.col("pk").isNotNull()).select(
+            "sink_table", "pk", "seq", F.explode("data").alias("column", "value"))
+        (entries.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy("sink_table", "batch").parquet(path))
+    return run

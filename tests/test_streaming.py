@@ -180,3 +180,60 @@ def test_order_wide_stream_chain(spark, tmp):
     assert rows["d4"].coupon_id == "c" and rows["d4"].activity_id is None
     assert rows["d4"].split_original_amount == "3.0000"
     assert "d7" not in rows
+
+
+def test_dim_stream_config_changes_between_batches(spark, tmp):
+    from shoal.operators.cdc import parse_change_log
+    from shoal.sinks.writers import read_dim_state
+    from shoal.sources.config import read_config
+
+    def cfg_line(op, after, ts):
+        return json.dumps({"before": None, "after": after, "op": op, "ts_ms": ts})
+
+    def change(seq, table, **data):
+        return json.dumps({"seq": seq, "value": json.dumps(
+            {"database": "db", "table": table, "type": "insert", "ts": "1", "data": data})})
+
+    os.makedirs(f"{tmp}/cfg")
+    os.makedirs(f"{tmp}/in")
+    with open(f"{tmp}/cfg/0.json", "w") as f:
+        f.write(cfg_line("r", {"source_table": "t", "sink_table": "dim_t", "sink_columns": "id,a",
+                               "sink_pk": "id"}, 1) + "\n")
+    with open(f"{tmp}/in/0.json", "w") as f:
+        f.write(change(1, "t", id="1", a="x", b="y") + "\n" + change(2, "u", id="7", c="z") + "\n")
+
+    def run():
+        body = jobs.dim_sink_batch(lambda: read_config(spark, f"{tmp}/cfg"), f"{tmp}/dims")
+        q = (parse_change_log(read_text_stream(spark, f"{tmp}/in")).writeStream.foreachBatch(body)
+             .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+        q.awaitTermination(300)
+
+    run()
+    # configuration changes: table t keeps b too, table u becomes a dimension
+    with open(f"{tmp}/cfg/1.json", "w") as f:
+        f.write(cfg_line("u", {"source_table": "t", "sink_table": "dim_t", "sink_columns": "id,a,b",
+                               "sink_pk": "id"}, 2) + "\n")
+        f.write(cfg_line("c", {"source_table": "u", "sink_table": "dim_u", "sink_columns": "id,c",
+                               "sink_pk": "id"}, 3) + "\n")
+    with open(f"{tmp}/in/1.json", "w") as f:
+        f.write(change(3, "t", id="1", b="y2") + "\n" + change(4, "u", id="8", c="w") + "\n")
+    run()
+    state = {(r.sink_table, r.pk): r.data for r in read_dim_state(spark, f"{tmp}/dims").collect()}
+    # record 2 came before table u had a configuration and stays unrouted
+    assert state == {("dim_t", "1"): {"id": "1", "a": "x", "b": "y2"},
+                     ("dim_u", "8"): {"id": "8", "c": "w"}}
+
+
+def test_log_routes_to_file_sink(spark, tmp):
+    from shoal.sinks.writers import write_routed_files
+    raw = td.raw_log_text(td.table(spark, SF, "events"))
+    _write_parts(raw, f"{tmp}/in", "seq", parts=2)
+    q = write_routed_files(jobs.log_split_stream(read_text_stream(spark, f"{tmp}/in", 1)),
+                           f"{tmp}/topics", f"{tmp}/ck", trigger={"availableNow": True})
+    q.awaitTermination(600)
+    counts = {r["route"]: r["count"] for r in
+              spark.read.text(f"{tmp}/topics").groupBy("route").count().collect()}
+    clean, dirty = logs.split_dirty(raw)
+    want = {k: v.count() for k, v in logs.split_log(visitors.fix_is_new(clean)).items()}
+    want["dirty"] = dirty.count()
+    assert counts == want
