@@ -118,3 +118,19 @@ def dim_sink_batch(config: Callable[[], DataFrame], path: str):
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("sink_table", "batch").parquet(path))
     return run
+
+
+def interval_join_stream(left: DataFrame, right: DataFrame, key: str, left_time: str,
+                         right_time: str, lower_ms: int, upper_ms: int,
+                         right_key: str | None = None) -> DataFrame:
+    """Keyed interval join of two streams on event-time timestamp columns
+    (each with a watermark): ``right_time`` in
+    ``[left_time + lower, left_time + upper]``, both ends included. The bounds
+    let Spark drop state older than the watermarks; rows later than the
+    watermark are dropped, as the interval join drops late records."""
+    rk = right_key or key
+    lo = F.expr(f"INTERVAL {lower_ms / 1000:.3f} SECONDS")
+    hi = F.expr(f"INTERVAL {upper_ms / 1000:.3f} SECONDS")
+    cond = (left[key] == right[rk]) & right[right_time].between(left[left_time] + lo,
+                                                                left[left_time] + hi)
+    return left.join(right, cond, "inner")

@@ -237,3 +237,23 @@ def test_log_routes_to_file_sink(spark, tmp):
     want = {k: v.count() for k, v in logs.split_log(visitors.fix_is_new(clean)).items()}
     want["dirty"] = dirty.count()
     assert counts == want
+
+
+def test_interval_join_stream_bounds(spark, tmp):
+    os.makedirs(f"{tmp}/e")
+    os.makedirs(f"{tmp}/d")
+    with open(f"{tmp}/e/a.json", "w") as f:
+        f.write('{"empno": 1, "deptno": 10, "ts": 1000}\n')
+    with open(f"{tmp}/d/a.json", "w") as f:
+        f.write("\n".join(json.dumps({"deptno": 10, "dname": f"d{d}", "dts": 1000 + d})
+                          for d in (-6, -5, 0, 5, 6)) + "\n")
+
+    def timed(df, col, name):
+        return df.withColumn(name, F.timestamp_millis(col)).withWatermark(name, "1 second")
+
+    emp = timed(spark.readStream.schema("empno int, deptno int, ts long").json(f"{tmp}/e"), "ts", "et")
+    dept = timed(spark.readStream.schema("deptno int, dname string, dts long").json(f"{tmp}/d")
+                 .withColumnRenamed("deptno", "d_deptno"), "dts", "dt")
+    out = jobs.interval_join_stream(emp, dept, "deptno", "et", "dt", -5, 5, right_key="d_deptno")
+    got = sorted(r.dname for r in _run(spark, out.select("dname"), "ij1", f"{tmp}/ck"))
+    assert got == ["d-5", "d0", "d5"]
