@@ -157,7 +157,7 @@ def detail_id() -> Column:
 
 def _envelope(table_name: str, type_: Column, ts: Column, data: Column, old: Column,
               seq: Column) -> list[Column]:
-    return [seq.cast("long").alias("seq"), F.lit("gmall").alias("database"),
+    return [seq.cast("long").alias("seq"), F.lit("shop").alias("database"),
             F.lit(table_name).alias("table"), type_.alias("type"), ts.cast("string").alias("ts"),
             data.alias("data"), old.cast("map<string,string>").alias("old")]
 
