@@ -34,7 +34,19 @@ def write_kafka_stream(records: DataFrame, servers: str, checkpoint: str,
         w = w.option("topic", topic)
     if trigger:
         w = w.trigger(**trigger)
-    return w.start()
+    return _start(w)
+
+
+def _start(writer):
+    """``start()`` with a clear error when the Kafka connector is missing."""
+    from shoal.sources.kafka import ConnectorMissing
+    try:
+        return writer.start()
+    except Exception as e:
+        msg = str(e).lower()
+        if "kafka" in msg and ("failed to find data source" in msg or "not found" in msg):
+            raise ConnectorMissing("the Spark Kafka connector is not on the classpath") from e
+        raise
 
 
 def write_routed_files(routed: DataFrame, path: str, checkpoint: str | None = None,

@@ -15,6 +15,22 @@ from pyspark.sql import types as T
 from shoal.operators.cdc import parse_change_log
 
 
+class ConnectorMissing(RuntimeError):
+    """The Spark Kafka connector is not on the classpath."""
+
+
+def _load(reader):
+    try:
+        return reader.load()
+    except Exception as e:  # the data source lookup fails without the jar
+        msg = str(e).lower()
+        if "kafka" in msg and ("failed to find data source" in msg or "not found" in msg):
+            raise ConnectorMissing(
+                "the Spark Kafka connector (spark-sql-kafka-0-10) is not on the classpath; "
+                "add it with --packages or spark.jars, or use read_text_stream") from e
+        raise
+
+
 def read_kafka_text(spark: SparkSession, servers: str, topic: str,
                     starting_offsets: str = "earliest", **options) -> DataFrame:
     """Topic -> ``seq, value`` text. Records without a value (tombstones)
@@ -25,7 +41,7 @@ def read_kafka_text(spark: SparkSession, servers: str, topic: str,
               .option("startingOffsets", starting_offsets))
     for k, v in options.items():
         reader = reader.option(k, v)
-    raw = reader.load()
+    raw = _load(reader)
     return raw.where(F.col("value").isNotNull()).select(
         (F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")).alias("seq"),
         F.col("value").cast("string").alias("value"))

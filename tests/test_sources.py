@@ -77,3 +77,30 @@ def test_jdbc_dictionary_lookup(spark):
     facts = spark.createDataFrame([(1, "O"), (2, "F")], "id int, source_type string")
     got = [tuple(r) for r in lookup_join(facts, table, "source_type", "dic_code").collect()]
     assert got == [(1, "O", "open")]
+
+
+def test_kafka_reader_reports_missing_connector(spark):
+    import pytest
+
+    from shoal.sources.kafka import ConnectorMissing, read_kafka_text
+    try:
+        df = read_kafka_text(spark, "localhost:1", "topic_log")
+    except ConnectorMissing:
+        return
+    assert df.isStreaming   # the connector is installed: a lazily defined stream
+    pytest.skip("Kafka connector present")
+
+
+def test_kafka_writer_reports_missing_connector(spark):
+    import pytest
+
+    from shoal.sinks.writers import as_text_records, write_kafka_stream
+    from shoal.sources.kafka import ConnectorMissing
+    src = spark.readStream.format("rate").load().select("value")
+    try:
+        q = write_kafka_stream(as_text_records(src), "localhost:1",
+                               tempfile.mkdtemp(prefix="shoal-k-", dir="/tmp"), topic="t")
+    except ConnectorMissing:
+        return
+    q.stop()
+    pytest.skip("Kafka connector present")
