@@ -22,6 +22,15 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_epoch_millis(ts) -> Column:
+    """Epoch ms of a TIMESTAMP_NTZ wall clock read as UTC, independent of
+    the session time zone."""
+    return F.timestamp_diff("MILLISECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), _col(ts))
+
+
 def millis_to_timestamp(ms) -> Column:
     return F.timestamp_millis(_col(ms))
 

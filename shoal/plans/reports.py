@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoal.functions.time import ntz_epoch_millis
 from shoal.operators import visitors
 from shoal.sources import testdata as td
 
@@ -205,7 +206,7 @@ INTERVAL_BOUND_MS = 6 * 3600 * 1000
 def interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shoal.operators.joins import interval_join as band_join
     ev = td.table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+        "event_id", "user_id", "event_type", ntz_epoch_millis("ts").alias("ms"))
     clicks = ev.where(F.col("event_type") == "click").select(
         F.col("event_id").alias("click_id"), "user_id", F.col("ms").alias("click_ts"))
     views = ev.where(F.col("event_type") == "view").select(
@@ -222,7 +223,7 @@ def delimited_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shoal.schemas import DEPT, EMP
     from shoal.sources.delimited import parse_delimited
     ev = td.table(spark, sf_dir, "events")
-    ms = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    ms = ntz_epoch_millis("ts").cast("string")
     emp_lines = ev.where(F.col("event_type") == "click").select(F.concat_ws(
         ",", F.col("event_id").cast("string"), "event_type", F.col("user_id").cast("string"),
         ms).alias("value"))
@@ -239,7 +240,7 @@ def delimited_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shoal.functions import to_date_str, to_ts, to_ymdhms
     ev = td.table(spark, sf_dir, "events").select(
-        "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+        "event_id", ntz_epoch_millis("ts").alias("ms"))
     d, dt = to_date_str("ms"), to_ymdhms("ms")
     return ev.select("event_id", "ms", d.alias("day"), dt.alias("day_time"),
                      to_ts(d).alias("day_start_ms"), to_ts(dt, is_full=True).alias("wall_ms"))

@@ -28,6 +28,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoal.functions.time import ntz_epoch_millis
 from shoal.operators.sequence import neighbour
 
 JUMP_EPOCH_MS = 1704067200000
@@ -57,7 +58,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def _epoch_ms(ts: Column) -> Column:
-    return F.unix_millis(ts.cast("timestamp"))
+    return ntz_epoch_millis(ts)
 
 
 def _k() -> Column:
@@ -145,7 +146,7 @@ def _day_time(c: str) -> Column:
 
 
 def _epoch_s(c: str) -> Column:
-    return F.unix_seconds(F.col(c).cast("timestamp"))
+    return F.floor(ntz_epoch_millis(F.col(c)) / 1000).cast("long")
 
 
 def detail_id() -> Column:
