@@ -49,3 +49,14 @@ def test_dim_table_schema():
     s = dims.dim_table_schema("a,id,b", None)
     assert [f.name for f in s.fields] == ["id", "a", "b"]
     assert all(f.dataType.simpleString() == "string" for f in s.fields)
+
+
+def test_ensure_dim_tables(spark, tmp_path):
+    cfg = dims.latest_config(_cfg(spark, [(None, ("t", "dim_t", "a,id,b", None, None), "r", 1),
+                                          (None, ("u", "dim_u", "k,v", "k", None), "r", 1)]))
+    names = dims.ensure_dim_tables(spark, cfg, "shoal_test_dim", str(tmp_path))
+    assert sorted(names) == ["shoal_test_dim.dim_t", "shoal_test_dim.dim_u"]
+    assert spark.table("shoal_test_dim.dim_t").columns == ["id", "a", "b"]   # key first
+    # idempotent
+    dims.ensure_dim_tables(spark, cfg, "shoal_test_dim", str(tmp_path))
+    assert spark.table("shoal_test_dim.dim_u").count() == 0
