@@ -84,10 +84,11 @@ def first_per_key(df: DataFrame, key: str | Sequence[str], order: str | Sequence
     keys, order = _cols(key), _cols(order)
     ordkey = F.struct(*[F.col(o) for o in order])
     part = bucketed(df, keys, bucket)
-    per_bucket = part.groupBy(*keys, _B).agg(
-        F.min_by(F.struct(value.alias("v"), ordkey.alias("o")), ordkey).alias("__f"))
-    per_key = per_bucket.groupBy(*keys).agg(F.min_by(F.col("__f.v"), F.col("__f.o")).alias(out))
-    firsts = per_bucket.select(*keys, _B).join(per_key, on=keys, how="inner")
+    per_bucket = part.groupBy(*keys, _B).agg(F.min_by(value, ordkey).alias("__v"),
+                                             F.min(ordkey).alias("__o"))
+    # one row per (key, bucket): a window per key over this small table
+    w = Window.partitionBy(*keys).orderBy("__o")
+    firsts = per_bucket.select(*keys, _B, F.first("__v").over(w).alias(out))
     return part.join(firsts, on=[*keys, _B], how="left").drop(_B)
 
 
