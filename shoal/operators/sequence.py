@@ -7,14 +7,16 @@ decrease along the order, e.g. ``floor(ts / width)``):
 
 1. the window runs per ``(key, bucket)``, so a hot key is spread over many
    tasks and each group is bounded by the bucket width;
-2. a partial (map-side) aggregate keeps, per ``(key, bucket)``, only the
-   first and last row of the bucket;
+2. an aggregate keeps, per ``(key, bucket)``, only the edge row of the
+   bucket (the last one for "prev", the first one for "next");
 3. a window over that small table hands each bucket the edge row of its
    neighbour bucket;
 4. rows that have no neighbour inside their bucket take that edge row.
 
-The big side is shuffled once, by ``(key, bucket)``; the join back reuses
-that partitioning. The result equals the plain per-key window exactly.
+The rows are shuffled once, by ``(key, bucket)``, and the join back on
+``(key, bucket)`` reuses that partitioning; the aggregate is a second read of
+the input that needs only the key, order and value columns. The result
+equals the plain per-key window exactly (tested down to bucket width one).
 """
 
 from __future__ import annotations
