@@ -57,3 +57,30 @@ def test_order_pre_process_job(spark):
          "--checkpoint", f"{d}/ck", "--dictionary", f"{d}/dic", "--once"], spark).awaitTermination(600)
     out = {json.loads(r.value)["id"]: json.loads(r.value) for r in spark.read.text(f"{d}/wide").collect()}
     assert out["d1"]["split_original_amount"] == "3.0000" and out["d1"]["source_type_name"] == "open line"
+
+
+def test_dim_and_cart_add_jobs(spark):
+    from shoal.sinks.writers import read_dim_state
+    d = tempfile.mkdtemp(prefix="shoal-cli-", dir="/tmp")
+    os.makedirs(f"{d}/cfg")
+    with open(f"{d}/cfg/a.json", "w") as f:
+        f.write(json.dumps({"before": None, "op": "r", "ts_ms": 1,
+                            "after": {"source_table": "cart_info", "sink_table": "dim_cart",
+                                      "sink_columns": "id,sku_num", "sink_pk": "id"}}) + "\n")
+    os.makedirs(f"{d}/dic")
+    with open(f"{d}/dic/a.json", "w") as f:
+        f.write(json.dumps({"dic_code": "O", "dic_name": "open line"}) + "\n")
+
+    def rec(seq, type_, num, old=None):
+        return (seq, json.dumps({"database": "db", "table": "cart_info", "type": type_, "ts": "1",
+                                 "data": {"id": "c1", "source_type": "O", "sku_num": num},
+                                 "old": old}))
+    _topic([rec(1, "insert", "1"), rec(2, "update", "4", {"sku_num": "1"})], f"{d}/topic_db")
+    run(["dim", "--source", f"{d}/topic_db", "--sink", f"{d}/dims", "--checkpoint", f"{d}/ck1",
+         "--config", f"{d}/cfg", "--once"], spark).awaitTermination(600)
+    state = read_dim_state(spark, f"{d}/dims").collect()
+    assert [(r.sink_table, r.pk, r.data) for r in state] == [("dim_cart", "c1", {"id": "c1", "sku_num": "4"})]
+    run(["cart-add", "--source", f"{d}/topic_db", "--sink", f"{d}/cart", "--checkpoint", f"{d}/ck2",
+         "--dictionary", f"{d}/dic", "--once"], spark).awaitTermination(600)
+    got = sorted((r.id, r.sku_num) for r in spark.read.json(f"{d}/cart").collect())
+    assert got == [("c1", "1"), ("c1", "3")]
