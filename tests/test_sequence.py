@@ -68,3 +68,23 @@ def test_scale_conf_sizes_partitions():
     conf = scale_conf(100 << 40)
     assert int(conf["spark.sql.shuffle.partitions"]) == 819200
     assert int(scale_conf(1 << 20)["spark.sql.shuffle.partitions"]) == 200
+
+
+def test_neighbour_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    rows_st = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 40)),
+                       min_size=1, max_size=40)
+
+    @settings(max_examples=12, deadline=None,
+              suppress_health_check=[HealthCheck.function_scoped_fixture])
+    @given(rows=rows_st, width=st.integers(1, 25), direction=st.sampled_from(["prev", "next"]))
+    def check(rows, width, direction):
+        df = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(rows)],
+                                   "seq long, key string, t long")
+        got = neighbour(df, "key", ["t", "seq"], F.floor(F.col("t") / width), ["seq"], direction, "n")
+        want = plain_neighbour(df, "key", ["t", "seq"], ["seq"], direction, "n")
+        assert _collect(got, "n") == _collect(want, "n")
+
+    check()
