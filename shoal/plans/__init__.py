@@ -1,0 +1 @@
+"""Registered queries, their SQL oracle, and batch jobs."""

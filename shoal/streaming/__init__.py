@@ -1,0 +1 @@
+"""Keyed-state processors and streaming jobs."""
