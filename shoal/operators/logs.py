@@ -36,16 +36,18 @@ def _parse(raw: DataFrame, value: str, schema: T.StructType, key: str | None):
 
 
 def split_dirty(raw: DataFrame, value: str = "value", schema: T.StructType = RAW_LOG,
-                key: str | None = "common.mid") -> tuple[DataFrame, DataFrame]:
+                key: str | None = "common.mid",
+                keep_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """(clean records, dirty rows) of a text log.
 
     Dirty: NULL or empty text, text that is not a JSON object (arrays,
     scalars, broken text), an object whose fields do not fit ``schema``, or a
     record without the partition key ``key``. Other input columns (e.g. a
-    sequence number) are carried on both sides.
+    sequence number) are carried on both sides; ``keep_text`` also keeps the
+    original text on the clean side.
     """
     p, ok = _parse(raw, value, schema, key)
-    carried = [c for c in raw.columns if c != value]
+    carried = [c for c in raw.columns if c != value or keep_text]
     names = [f.name for f in schema.fields]
     clean = p.where(ok).select(*carried, *[F.col(f"__j.{n}").alias(n) for n in names])
     dirty = p.where(~ok).select(*raw.columns)

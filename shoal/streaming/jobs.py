@@ -16,15 +16,21 @@ from pyspark.sql import functions as F
 from shoal.operators import cdc, logs
 from shoal.operators.joins import order_wide_join
 from shoal.schemas import RAW_LOG
-from shoal.streaming.stateful import fix_is_new_stream
+from shoal.streaming.stateful import FIX_OUT, FixIsNewProcessor
 
 
 def log_split_stream(raw: DataFrame, granularity: str = "day") -> DataFrame:
     """Log text stream -> ``route, value`` rows for the six topics (dirty,
     error, start, display, action, page), with the new-visitor flag
     repaired by keyed state on the device id."""
-    clean, dirty = logs.split_dirty(raw)
-    fixed = fix_is_new_stream(clean, granularity)
+    clean, dirty = logs.split_dirty(raw, keep_text=True)
+    # the original text travels through the state processor; only the key
+    # fields are read from the parse here
+    keyed = clean.select(F.col("common.mid").alias("mid"), "seq", "ts",
+                         F.col("common.is_new").alias("is_new"),
+                         F.col("page.last_page_id").alias("last_page_id"), "value")
+    fixed = keyed.groupBy("mid").transformWithState(
+        FixIsNewProcessor(granularity), FIX_OUT, "Append", "None")
     rec = F.from_json("value", RAW_LOG)
     parsed = fixed.select("seq", rec.alias("r"), "is_new").select(
         "seq", *[F.col(f"r.{f.name}").alias(f.name) for f in RAW_LOG.fields], "is_new")
