@@ -120,9 +120,13 @@ def ensure_dim_tables(spark, config: DataFrame, database: str = "dim",
     (all-string columns, key first). The configuration is metadata bounded
     by the number of source tables, so it is read on the driver. Returns the
     qualified table names."""
+    rows = config.select("sink_table", "sink_columns", "sink_pk") \
+        .limit(MAX_CONFIG_ROWS + 1).collect()
+    if len(rows) > MAX_CONFIG_ROWS:
+        raise ValueError(f"more than {MAX_CONFIG_ROWS} configured dimension tables")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
     names = []
-    for row in config.select("sink_table", "sink_columns", "sink_pk").collect():
+    for row in rows:
         schema = dim_table_schema(row["sink_columns"], row["sink_pk"])
         cols = ", ".join(f"`{f.name}` STRING" for f in schema.fields)
         name = f"`{database}`.`{row['sink_table']}`"
