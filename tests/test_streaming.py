@@ -25,9 +25,17 @@ def _write_parts(df, path, order_col, parts=3):
     os.makedirs(path, exist_ok=True)
     step = (len(rows) + parts - 1) // parts
     for i in range(parts):
-        with open(os.path.join(path, f"part-{i:03d}.json"), "w") as f:
+        name = os.path.join(path, f"part-{i:03d}.json")
+        with open(name, "w") as f:
             for r in rows[i * step:(i + 1) * step]:
                 f.write(json.dumps(r.asDict(recursive=True)) + "\n")
+        _age(name, i)
+
+
+def _age(path, i):
+    """File sources take files in modification-time order: make it explicit."""
+    t = 1_700_000_000 + i
+    os.utime(path, (t, t))
 
 
 def _run(spark, stream, name, ckpt, until_idle=False):
@@ -257,3 +265,20 @@ def test_interval_join_stream_bounds(spark, tmp):
     out = jobs.interval_join_stream(emp, dept, "deptno", "et", "dt", -5, 5, right_key="d_deptno")
     got = sorted(r.dname for r in _run(spark, out.select("dname"), "ij1", f"{tmp}/ck"))
     assert got == ["d-5", "d0", "d5"]
+
+
+@pytest.mark.parametrize("ttl_ms,expected", [(1, [1, 2]), (86_400_000, [1])])
+def test_unique_visitor_state_ttl(spark, tmp, ttl_ms, expected):
+    os.makedirs(f"{tmp}/in")
+    base = 1704067200000
+    for i, seq in enumerate((1, 2)):
+        rec = {"seq": seq, "common": {"mid": "m1", "is_new": "1"},
+               "page": {"page_id": "home", "last_page_id": None}, "ts": base + seq}
+        with open(f"{tmp}/in/part-{i}.json", "w") as f:
+            f.write(json.dumps(rec) + "\n")
+        _age(f"{tmp}/in/part-{i}.json", i)
+    src = spark.readStream.schema(LOG_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{tmp}/in")
+    out = stateful.unique_visitor_stream(src, ttl_ms=ttl_ms)
+    got = sorted(r.seq for r in _run(spark, out, f"uvttl{ttl_ms}", f"{tmp}/ck", until_idle=True))
+    # same device, same date, two micro-batches: a second row only once the state has expired
+    assert got == expected
