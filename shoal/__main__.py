@@ -51,7 +51,8 @@ def _source(spark: SparkSession, spec: str, topic: str) -> DataFrame:
 
 def _parsed_page_log(text: DataFrame) -> DataFrame:
     r = F.from_json("value", PAGE_LOG)
-    return text.select("seq", r.alias("r")).select("seq", "r.*").where(F.col("common.mid").isNotNull())
+    return text.select("seq", "value", r.alias("r")).select("seq", "value", "r.*") \
+        .where(F.col("common.mid").isNotNull())
 
 
 def _write_values(df: DataFrame, args, topic: str | None, key_cols=None):

@@ -134,12 +134,20 @@ class UserJumpProcessor(StatefulProcessor):
         pass
 
 
+def _record_text(log: DataFrame, *fields: str):
+    """The record as text: the original ``value`` when the frame still has it,
+    else the JSON of its fields."""
+    if "value" in log.columns:
+        return F.col("value")
+    return F.to_json(F.struct(*(fields or [c for c in log.columns if c != "seq"])))
+
+
 def keyed_input(log: DataFrame) -> DataFrame:
     """Parsed log records -> the processors' input columns (record as text)."""
     return log.select(F.col("common.mid").alias("mid"), "seq", "ts",
                       F.col("common.is_new").alias("is_new"),
                       F.col("page.last_page_id").alias("last_page_id"),
-                      F.to_json(F.struct(*[c for c in log.columns if c != "seq"])).alias("value"))
+                      _record_text(log).alias("value"))
 
 
 def fix_is_new_stream(log: DataFrame, granularity: str = "day") -> DataFrame:
@@ -162,6 +170,6 @@ def user_jump_stream(log: DataFrame, within_ms: int = JUMP_WITHIN_MS,
     src = timed.select(F.col("common.mid").alias("mid"), "seq", "ts", "event_time",
                        F.col("common.is_new").alias("is_new"),
                        F.col("page.last_page_id").alias("last_page_id"),
-                       F.to_json(F.struct("common", "page", "ts")).alias("value"))
+                       _record_text(timed, "common", "page", "ts").alias("value"))
     return src.groupBy("mid").transformWithState(
         UserJumpProcessor(within_ms), JUMP_OUT, "Append", "EventTime")
