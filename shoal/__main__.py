@@ -158,7 +158,12 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
 
 def main() -> None:
     q = run(sys.argv[1:])
-    if q is not None:
+    if q is None:
+        return
+    if "--once" in sys.argv:
+        from shoal.streaming.jobs import stop_when_idle
+        stop_when_idle(q)
+    else:
         q.awaitTermination()
 
 

@@ -140,3 +140,23 @@ def interval_join_stream(left: DataFrame, right: DataFrame, key: str, left_time:
     cond = (left[key] == right[rk]) & right[right_time].between(left[left_time] + lo,
                                                                 left[left_time] + hi)
     return left.join(right, cond, "inner")
+
+
+def stop_when_idle(query, poll_seconds: float = 1.0, idle_polls: int = 3,
+                   timeout_seconds: float | None = None) -> None:
+    """Wait for a query to finish its input, then stop it.
+
+    An ``availableNow`` query stops by itself, except when processing-time
+    state expiry keeps scheduling batches (the unique-visitor TTL): then it is
+    stopped once its progress reports show no input left.
+    """
+    import time
+    start, idle = time.time(), 0
+    while query.isActive:
+        p = query.lastProgress
+        idle = idle + 1 if (p and p["numInputRows"] == 0
+                            and not query.status["isDataAvailable"]) else 0
+        if idle >= idle_polls or (timeout_seconds and time.time() - start > timeout_seconds):
+            query.stop()
+            break
+        time.sleep(poll_seconds)

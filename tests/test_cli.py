@@ -84,3 +84,16 @@ def test_dim_and_cart_add_jobs(spark):
          "--dictionary", f"{d}/dic", "--once"], spark).awaitTermination(600)
     got = sorted((r.id, r.sku_num) for r in spark.read.json(f"{d}/cart").collect())
     assert got == [("c1", "1"), ("c1", "3")]
+
+
+def test_unique_visitor_job_once_finishes(spark):
+    from shoal.streaming.jobs import stop_when_idle
+    d = tempfile.mkdtemp(prefix="shoal-cli-", dir="/tmp")
+    log = td.page_log(td.table(spark, SF, "events"))
+    rows = log.select("seq", F.to_json(F.struct("common", "page", "ts")).alias("value")).collect()
+    _topic([(r.seq, r.value) for r in rows], f"{d}/page_topic")
+    q = run(["unique-visitor", "--source", f"{d}/page_topic", "--sink", f"{d}/uv",
+             "--checkpoint", f"{d}/ck", "--once"], spark)
+    stop_when_idle(q, timeout_seconds=300)
+    assert not q.isActive
+    assert spark.read.text(f"{d}/uv").count() == visitors.unique_visitor(log).count()
