@@ -4,6 +4,8 @@ import json
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from shoal.__main__ import run
@@ -36,7 +38,8 @@ def test_log_split_then_user_jump(spark):
     assert spark.read.text(f"{d}/jumps").count() > 0
 
 
-def test_order_pre_process_job(spark):
+@pytest.mark.parametrize("job", ["order-pre-process", "order-detail"])
+def test_order_jobs(spark, job):
     d = tempfile.mkdtemp(prefix="shoal-cli-", dir="/tmp")
     os.makedirs(f"{d}/dic")
     with open(f"{d}/dic/a.json", "w") as f:
@@ -53,7 +56,7 @@ def test_order_pre_process_job(spark):
             (5, rec("order_detail_activity", 1000, order_detail_id="d9")),
             (6, rec("order_detail_coupon", 1000, order_detail_id="d9"))]
     _topic(rows, f"{d}/topic_db")
-    run(["order-pre-process", "--source", f"{d}/topic_db", "--sink", f"{d}/wide",
+    run([job, "--source", f"{d}/topic_db", "--sink", f"{d}/wide",
          "--checkpoint", f"{d}/ck", "--dictionary", f"{d}/dic", "--once"], spark).awaitTermination(600)
     out = {json.loads(r.value)["id"]: json.loads(r.value) for r in spark.read.text(f"{d}/wide").collect()}
     assert out["d1"]["split_original_amount"] == "3.0000" and out["d1"]["source_type_name"] == "open line"
