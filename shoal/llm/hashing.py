@@ -66,12 +66,12 @@ class Ranges:
         return mix(h + (end - start).astype(np.uint64) * U(0xD6E8FEB86659FD93))
 
 
-def words(data: np.ndarray, offsets: np.ndarray):
-    """Byte ranges of the white-space separated words, and each text's first word.
+def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE):
+    """Byte ranges of the words between ``space`` bytes, and each text's first word.
 
     Returns ``(start, end, first)``: ``first[i]:first[i+1]`` are text i's words.
     """
-    inside = ~SPACE[data]
+    inside = ~space[data]
     begin = inside.copy()
     begin[1:] &= ~inside[:-1]
     stop = inside.copy()

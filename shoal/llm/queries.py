@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shoal.llm.common import table
 from shoal.llm.near_dedup import near_duplicates
+from shoal.llm.quality import quality
+from shoal.llm.toxicity import toxicity
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words_in_shingle=4, similarity=0.8)
 
 
-QUERIES = {"op1_near_dedup": op1_near_dedup}
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_toxicity, op6_quality)}
