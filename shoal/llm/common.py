@@ -29,7 +29,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = posixpath.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shoal.llm.common import table
+from shoal.llm.fingerprints import fingerprints
 from shoal.llm.near_dedup import near_duplicates
 from shoal.llm.quality import quality
+from shoal.llm.quality_rules import quality_rules
 from shoal.llm.toxicity import toxicity
 
 
@@ -18,8 +20,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_toxicity, op6_quality)}
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_toxicity, op4_fingerprints, op6_quality, op7_quality_rules)}
