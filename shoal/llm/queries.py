@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import posixpath
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shoal.llm.common import table
 from shoal.llm.fingerprints import fingerprints
+from shoal.llm.grammar_files import read_ids, write_ids
 from shoal.llm.near_dedup import near_duplicates
+from shoal.llm.packing import pack
 from shoal.llm.quality import quality
 from shoal.llm.quality_rules import quality_rules
 from shoal.llm.toxicity import toxicity
+from shoal.session import checkpoint_dir
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +27,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), carry=lambda ids: F.crc32(ids).alias("ids_crc32"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
@@ -32,4 +43,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_near_dedup, op2_toxicity, op4_fingerprints, op6_quality, op7_quality_rules)}
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = posixpath.join(checkpoint_dir(spark), f"token-files-{uuid.uuid4().hex}")
+    write_ids(table(spark, sf_dir, "documents"), folder)
+    return read_ids(spark, folder, digest=True)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_near_dedup, op2_toxicity, op3_packing, op4_fingerprints, op6_quality, op7_quality_rules, op10_token_files)}
