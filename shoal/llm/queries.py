@@ -15,6 +15,7 @@ from shoal.llm.near_dedup import near_duplicates
 from shoal.llm.packing import pack
 from shoal.llm.quality import quality
 from shoal.llm.quality_rules import quality_rules
+from shoal.llm.sanitise import find_spans, report
 from shoal.llm.toxicity import toxicity
 from shoal.session import checkpoint_dir
 
@@ -43,6 +44,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(find_spans(table(spark, sf_dir, "documents")))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = posixpath.join(checkpoint_dir(spark), f"token-files-{uuid.uuid4().hex}")
     write_ids(table(spark, sf_dir, "documents"), folder)
@@ -50,4 +55,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_near_dedup, op2_toxicity, op3_packing, op4_fingerprints, op6_quality, op7_quality_rules, op10_token_files)}
+    op1_near_dedup, op2_toxicity, op3_packing, op4_fingerprints, op6_quality, op7_quality_rules, op8_sanitise,
+    op10_token_files)}
