@@ -11,14 +11,19 @@ from pyspark.sql import functions as F
 from shoal.llm.common import table
 from shoal.llm.fingerprints import fingerprints
 from shoal.llm.grammar_files import read_ids, write_ids
+from shoal.llm.mixing import mix
 from shoal.llm.near_dedup import near_duplicates
 from shoal.llm.packing import pack
 from shoal.llm.quality import quality
 from shoal.llm.quality_rules import quality_rules
 from shoal.llm.sanitise import find_spans, report
+from shoal.llm.token_trees import count_edits
 from shoal.llm.toxicity import toxicity
 from shoal.session import checkpoint_dir
 
+#: Target weights of the sources: one slot each in 22, two for the largest, one for all others together.
+WEIGHTS = {"src0": 2, **{f"src{i}": 1 for i in range(1, 20)}}
+
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words_in_shingle=4, similarity=0.8)
@@ -36,6 +41,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), WEIGHTS)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,6 +57,16 @@ def op8_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(find_spans(table(spark, sf_dir, "documents")))
 
 
+def op9_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits of every document: a replacement after a third, a deletion at the middle, an insertion behind it."""
+    n = F.length("text")
+    at = [F.floor(n / 3), F.floor(n / 2), F.floor(2 * n / 3)]
+    edits = F.array(*[F.struct(a.alias("start"), (a + size).alias("stop"), F.lit(new).alias("text"))
+                      for a, size, new in zip(at, (12, 20, 0), (" edited 42 words", "", " new text, isn't it?\n"), strict=True)])
+    docs = table(spark, sf_dir, "documents").withColumn("edits", edits)
+    return count_edits(docs).drop("edited_text")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = posixpath.join(checkpoint_dir(spark), f"token-files-{uuid.uuid4().hex}")
     write_ids(table(spark, sf_dir, "documents"), folder)
@@ -55,5 +74,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_near_dedup, op2_toxicity, op3_packing, op4_fingerprints, op6_quality, op7_quality_rules, op8_sanitise,
+    op1_near_dedup, op2_toxicity, op3_packing, op4_fingerprints, op5_mixing, op6_quality, op7_quality_rules, op8_sanitise, op9_edit_counts,
     op10_token_files)}

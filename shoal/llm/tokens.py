@@ -26,6 +26,7 @@ BLANKS = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000,
           0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 #: A store of distinct pre-tokens is emptied beyond this many.
 MOST_KNOWN = 1_500_000
+MOST_SHORT = 200_000
 
 _CLASS: list[np.ndarray] = []
 
@@ -92,6 +93,7 @@ class Encoder:
         self.lib.encode_special_tokens = True
         rng = np.random.Generator(np.random.PCG64(99))
         self.coeff = rng.integers(1, 2**63, 256, dtype=np.uint64) | U(1)
+        self.short: dict[str, int] = {}
         self._empty()
 
     def _empty(self) -> None:
@@ -162,15 +164,16 @@ class Encoder:
         parts = [next(other) if o else ids[slice(*next(mine))] for o in odd]
         return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
 
-    def counts(self, texts: list[str]):
-        """``(first, start, end, n_ids)`` of all pre-tokens, in code points of the texts in a row.
+    def counts(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each text its pre-tokens' code points and ids, as two arrays of counts.
 
         A text that goes to the library whole is one pre-token here.
         """
         odd = self._odd(texts)
         shown = ["" if o else t for t, o in zip(texts, odd, strict=True)] if odd.any() else texts
         joined, first, start, end, key = self.pretokens(shown)
-        size = self.size[self._known(joined, start, end, key)]
+        place = self._known(joined, start, end, key)
+        size = self.size[place]
         out = []
         cut = np.searchsorted(start, first)
         whole = iter(self.whole([t for t, o in zip(texts, odd, strict=True) if o]) if odd.any() else ())
@@ -182,6 +185,18 @@ class Encoder:
                 out.append((end[a:b] - start[a:b], size[a:b]))
         return out
 
+    def short_counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """As ``counts`` of one short text without odd code points, by a store of its own."""
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        cut = [*split(points, np.array([0, len(points)])).tolist(), len(points)]
+        tokens = [text[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        if len(self.short) > MOST_SHORT:
+            self.short.clear()
+        for t in tokens:
+            if t not in self.short:
+                self.short[t] = len(self.lib.encode(t, add_special_tokens=False).ids)
+        return np.diff(cut), np.array([self.short[t] for t in tokens], np.int64)
+
     @staticmethod
     def _odd(texts: list[str]) -> np.ndarray:
         joined = "".join(texts)
