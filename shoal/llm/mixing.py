@@ -93,7 +93,7 @@ def mix(docs: DataFrame, weights: dict[str, int], other: int = 1, block: int = B
     out = out.withColumn("slot", F.col("start") + turn * F.col("total") + F.col("slots")[(i % F.col("weight")).cast("int")]) \
         .withColumn("release", F.col("start") + F.floor(i * F.col("total") / F.col("weight"))) \
         .withColumn("deadline", F.col("start") + F.ceil((i + 1) * F.col("total") / F.col("weight")))
-    in_slot = Window.partitionBy("slot").orderBy("before", "u", "doc_id", "source")
+    in_slot = Window.partitionBy("slot").orderBy("before", "bucket", "u", "doc_id", "source")
     return out.withColumn("place", F.row_number().over(in_slot)) \
         .select("doc_id", "source", "copies", "n_chars", "stream", "block", "release", "deadline", "slot", "place")
 
@@ -101,7 +101,7 @@ def mix(docs: DataFrame, weights: dict[str, int], other: int = 1, block: int = B
 def mixed(docs: DataFrame, weights: dict[str, int], other: int = 1, block: int = BLOCK) -> DataFrame:
     """The documents with their own columns, dealt by ranges of the schedule and sorted by it."""
     places = mix(docs, weights, other, block).select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("slot").alias("_slot"), F.col("place").alias("_place"))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source"))
-    return docs.join(places, on).repartitionByRange("_slot", "_place").sortWithinPartitions("_slot", "_place") \
+        F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("slot").alias("__mix_slot"), F.col("place").alias("__mix_place"))
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__mix_id")) & F.col("source").cast("string").eqNullSafe(F.col("__mix_source"))
+    return docs.join(places, on).repartitionByRange("__mix_slot", "__mix_place").sortWithinPartitions("__mix_slot", "__mix_place") \
         .select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -248,6 +248,6 @@ def near_duplicates(docs: DataFrame, words_in_shingle: int = WORDS, similarity:
 
 def dedup(docs: DataFrame, **how) -> DataFrame:
     """The documents that stay, with all their columns; of repeated rows of one doc_id, each stays once."""
-    marks = near_duplicates(docs, **how).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    known = docs.where("doc_id IS NOT NULL").join(marks, F.col("doc_id") == F.col("_kept"), "left_semi")
+    marks = near_duplicates(docs, **how).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept_id")).distinct()
+    known = docs.where("doc_id IS NOT NULL").join(marks, F.col("doc_id") == F.col("__kept_id"), "left_semi")
     return docs.where("doc_id IS NULL").unionByName(known.dropDuplicates(["doc_id"]))

@@ -138,8 +138,8 @@ def find_spans(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, shar
     pairs = disclosing(docs, near, base, support, share)
     told = near.join(pairs, ["entity", "term"]).select("doc_id", "key", "start", "end").distinct() \
         .groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("terms"))
-    told = told.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), "terms")
-    out = base.join(told, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
+    told = told.select(F.col("doc_id").alias("__span_id"), F.col("key").alias("__span_key"), "terms")
+    out = base.join(told, F.col("doc_id").eqNullSafe(F.col("__span_id")) & (F.col("key") == F.col("__span_key")), "left")
     extra = ("transform(filter(coalesce(terms, cast(array() as array<struct<start:int,end:int>>)), "
              "t -> not exists(base, b -> b.start < t.end and t.start < b.end)), "
              "t -> named_struct('kind', 'term', 'start', t.start, 'end', t.end))")
@@ -163,15 +163,15 @@ def sanitise(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, share:
     the span that starts first (of these, the longest).
     """
     spans = find_spans(docs, reach, support, share).where("size(spans) > 0").select("doc_id", "key", "spans").distinct()
-    order = "array_sort(_spans, (a, b) -> case when a.start != b.start then a.start - b.start else b.end - a.end end)"
+    order = "array_sort(__spans, (a, b) -> case when a.start != b.start then a.start - b.start else b.end - a.end end)"
     # what stands from the end of the last span to the start of this one, then the kind
     text = (f"aggregate({order}, named_struct('at', 0, 'out', cast(array() as array<string>)), "
             "(acc, s) -> if(s.end <= acc.at, acc, named_struct('at', s.end, 'out', if(s.start < acc.at, acc.out, "
             "concat(acc.out, array(substr(text, acc.at + 1, s.start - acc.at), concat('[', upper(s.kind), ']')))))), "
             "acc -> concat(array_join(acc.out, ''), substr(text, acc.at + 1)))")
-    marked = spans.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("spans").alias("_spans"))
+    marked = spans.select(F.col("doc_id").alias("__span_id"), F.col("key").alias("__span_key"), F.col("spans").alias("__spans"))
     key = F.md5(F.encode(F.col("text").cast("string"), "utf-8"))
-    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (key == F.col("_key"))
-    out = docs.join(marked, on, "left").withColumn("_text", F.when(
-        F.col("_spans").isNull(), F.col("text")).otherwise(F.expr(text)))
-    return out.select(*[F.col("_text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("__span_id")) & (key == F.col("__span_key"))
+    out = docs.join(marked, on, "left").withColumn("__text", F.when(
+        F.col("__spans").isNull(), F.col("text")).otherwise(F.expr(text)))
+    return out.select(*[F.col("__text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])

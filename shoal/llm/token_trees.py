@@ -185,6 +185,7 @@ EDITS = "array<struct<start:long,stop:long,text:string>>"
 def count_edits(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Counts before and after the edits of column ``edits`` (an array of start, stop, text).
 
+    Rows of ``build_trees`` bring their leaves along; others are encoded first.
     ``doc_id, n_tokens, n_segments, edited_tokens, edited_segments, encoded_segments, edited_text``.
     """
     path = path or default_tokenizer()
@@ -199,7 +200,8 @@ def count_edits(docs: DataFrame, path: str | None = None) -> DataFrame:
                 texts = [raw[a:b].decode() for a, b in zip(off[:-1], off[1:], strict=True)]
                 enc = encoder(path)
                 rows = []
-                for text, leaves, changes in zip(texts, enc.counts(texts), edits[lo:hi], strict=True):
+                known = leaves_of(batch, lo, hi) if kept else enc.counts(texts)
+                for text, leaves, changes in zip(texts, known, edits[lo:hi], strict=True):
                     doc = CountedText(text, enc, leaves)
                     was = doc.tree.n_ids, len(doc.tree)
                     for c in changes or ():
@@ -209,7 +211,13 @@ def count_edits(docs: DataFrame, path: str | None = None) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids[lo:hi], *[pa.array([r[k] for r in rows], schema.field(k + 1).type) for k in range(6)]], schema=schema)
 
+    kept = {"leaf_chars", "leaf_ids"} <= set(docs.columns)
+
+    def leaves_of(batch, lo, hi):
+        return [tuple(batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("leaf_chars", "leaf_ids"))
+                for i in range(lo, hi)]
+
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                       F.col("edits").cast(EDITS).alias("edits"))
+                       F.col("edits").cast(EDITS).alias("edits"), *(["leaf_chars", "leaf_ids"] if kept else []))
     return docs.mapInArrow(run, "doc_id long, n_tokens long, n_segments long, edited_tokens long, edited_segments long, "
                                 "encoded_segments long, edited_text string")

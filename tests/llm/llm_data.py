@@ -1,0 +1,31 @@
+"""Documents with every awkward case: nulls, empty and long texts, ties, repeats, clashing columns."""
+
+import random
+
+KINDS = ("doc_id long, text string, lang string, source string, n_chars long, "
+         "score double, kept boolean, node string, start string, block int")
+
+
+def base_text(rng: random.Random, n: int) -> str:
+    return " ".join(rng.choice("alpha beta gamma delta the of and river stone cloud".split()) + str(rng.randint(0, 40))
+                    for _ in range(n))
+
+
+def documents(seed: int = 1, n: int = 120) -> list[tuple]:
+    rng = random.Random(seed)
+    texts: list[str | None] = [None, "", " \t\n", "one", "one two", "Éa ß 中文 😀 it's\x1c", "a" * 9000]
+    while len(texts) < n:
+        text = base_text(rng, rng.randint(1, 90))
+        texts.append(text)
+        for _ in range(rng.choice([0, 0, 1, 3])):
+            words = text.split()
+            for _ in range(rng.choice([0, 1, 2, 4])):
+                words[rng.randrange(len(words))] = rng.choice(["new", "old", "THE"])
+            texts.append(" ".join(words))
+    rows = [(i, t, rng.choice(["en", "de", None]), rng.choice(["src0", "src0", "src1", None, "web"]),
+             None if t is None else len(t), 0.5, True, "x", "y", 3) for i, t in enumerate(texts[:n])]
+    return [*rows, rows[-1], rows[-1], (None, "no id here at all", "en", "src0", 17, None, None, None, None, None)]
+
+
+def frame(spark, rows=None):
+    return spark.createDataFrame(documents() if rows is None else rows, KINDS)

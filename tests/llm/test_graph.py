@@ -1,0 +1,25 @@
+import random
+
+from shoal.llm.graph import components
+
+
+def test_components_equal_union_find(spark):
+    rng = random.Random(2)
+    links = [(i, i + 1) for i in range(40)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(45)]
+    links += [(500, 500 + i) for i in range(1, 80)] + [(7, 7), (None, 3)]
+    top = {x: x for p in links for x in p if x is not None}
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    linked = set()
+    for a, b in links:
+        if a is not None and a != b:
+            linked |= {a, b}
+            x, y = sorted((find(a), find(b)))
+            top[y] = x
+    got = components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == sorted((x, find(x)) for x in linked)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -1,0 +1,44 @@
+import re
+from collections import defaultdict
+
+import numpy as np
+
+import corpus_pipeline as P
+from test_near_dedup import brute
+from test_sanitise import PLAIN
+from shoal.llm.tokens import default_tokenizer, encoder
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_on_the_smallest_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = docs.columns
+    kept = [docs]
+    for _, stage in P.STAGES[:-1]:
+        kept.append(P.saved(stage(spark, kept[-1], SF), "test-stage"))
+        assert kept[-1].columns == names
+    rows = [[tuple(r) for r in d.collect()] for d in kept]
+    assert set(rows[1]) < set(rows[0])
+    toxic = {r[0] for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 0").collect()}
+    clean = [r for r in rows[0] if r[0] in toxic]
+    assert sum(r in set(rows[1]) for r in clean) >= 0.95 * len(clean)
+    assert sorted(r[0] for r in rows[2]) == sorted(r[0] for r in brute(rows[1], 5) if r[3])
+    assert sorted(r[0] for r in rows[3]) == sorted(r[0] for r in rows[2])
+    for r in rows[3]:
+        assert r[names.index("n_chars")] == len(r[1])
+        assert not any(good(m[0]) for _, p, good in PLAIN for m in re.finditer(p, r[1]))
+    assert sorted(rows[4]) == sorted(rows[3])
+    pieces = defaultdict(dict)
+    for r in P.STAGES[-1][1](spark, kept[4], SF).collect():
+        pieces[r.doc_id][r.start] = bytes(r.ids)
+    enc = encoder(default_tokenizer())
+    for r in rows[4]:
+        got = b"".join(pieces[r[0]][s] for s in sorted(pieces[r[0]]))
+        assert got == np.append(enc.whole([r[1]])[0], 0).astype("<u4").tobytes()
+
+
+def test_run_gives_the_last_stage(spark):
+    out = P.run(spark, SF)
+    assert {"doc_id", "start", "length", "sequence_id", "offset", "ids"} <= set(out.columns)
+    assert out.count() > 0

@@ -1,0 +1,57 @@
+import re
+
+import numpy as np
+
+from llm_data import documents, frame
+from shoal.llm.quality_rules import quality_rules, statistics
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(t):
+    w = WORD.findall(t or "")
+    at = {}
+    for i in range(len(w) - 2):
+        at.setdefault(tuple(w[i:i + 3]), []).append(i)
+    covered = {i + j for v in at.values() if len(v) > 1 for i in v for j in range(3)}
+    seen, dup = set(), 0
+    for line in (t or "").split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), dup, len(covered)
+
+
+def test_base_statistics_equal_brute_force():
+    texts = [r[1] or "" for r in documents()] + ["a\na\n\n \n \n", "\n", "", "a b c a b c", "a a a a a", "x\ny\nx", "#|<\n#|<"]
+    raw = [t.encode() for t in texts]
+    s = statistics(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw]))))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    assert [tuple(int(s[c][i]) for c in names) for i in range(len(texts))] == [brute(t) for t in texts]
+
+
+def test_outliers_go_and_clean_documents_stay(spark):
+    rng = np.random.default_rng(2)
+    words = [a + b for a in "stone river cloud light field house tree wind".split() for b in "aeiou"]
+
+    def text(mark=""):
+        return " ".join(w + mark for w in rng.choice(words, 80 + int(rng.integers(0, 80)), replace=True))
+
+    rows = [(i, text("###" if i % 40 == 0 else ""), "en", f"src{i % 2}", None, None, None, None, None, None) for i in range(800)]
+    got = {r.doc_id: r for r in quality_rules(frame(spark, rows)).collect()}
+    assert all(not got[i].kept for i in range(0, 800, 40))
+    assert sum(got[i].kept for i in range(800) if i % 40) > 770
+    # against the plain definition: distances from the mean and spread of the clean majority
+    assert min(got[i].distance for i in range(0, 800, 40)) > 10 * np.median([got[i].distance for i in range(800)])
+
+
+def test_awkward_rows(spark):
+    rows = documents()
+    got = quality_rules(frame(spark)).collect()
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    want = sorted((str(r[0]), *brute(r[1])) for r in rows)
+    assert sorted((str(r.doc_id), *(r[c] for c in names)) for r in got) == want
+    for r in got:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.base_failed and r.kept)
+    assert quality_rules(frame(spark, [])).count() == 0

@@ -1,0 +1,74 @@
+import hashlib
+import random
+import re
+
+from llm_data import documents, frame
+from shoal.llm.sanitise import find_spans, report, sanitise
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def digits(m):
+    return re.sub("[^0-9]", "", m)
+
+
+PLAIN = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+         ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+         ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(digits(m)) <= 19 and luhn(digits(m))),
+         ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(digits(m)) <= 15)]
+PARTS = ["a", "b@", "@", ".", "1", "22", "255", "256", "4", "-", " ", "+", "(", ")", "_", "%", "é", "😀", "x.y", "a@b.c", "1.2.3.4",
+         "\n", "0", "4111111111111111", "+1 (555) 123-4567", "00", "1.2.3", ".com", "@d.e", "a@b.c_d@e.f"]
+
+
+def brute(text):
+    spans = [(k, m.start(), m.end()) for k, p, good in PLAIN for m in re.finditer(p, text or "") if good(m[0])]
+    told = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+    return (*(sum(s[0] == k for s in spans) for k, *_ in PLAIN), hashlib.sha256(told.encode()).hexdigest()), told
+
+
+def test_base_spans_equal_plain_patterns(spark):
+    rng = random.Random(8)
+    rows = documents() + [(1000 + i, "".join(rng.choice(PARTS) for _ in range(rng.randint(0, 22))), *[None] * 8) for i in range(1500)]
+    rows += [(9000 + i, t, *[None] * 8) for i, t in enumerate(["1" * 20000, "a" * 20000, "1 " * 9000, "+1" + "2 " * 8000 + "x", "1." * 6000])]
+    texts = {r[0]: r[1] for r in rows}
+    got = report(find_spans(frame(spark, rows))).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        want, told = brute(texts[r.doc_id])
+        assert tuple(r)[1:6] == want and r.spans.startswith(told)
+    assert report(find_spans(frame(spark, []))).count() == 0
+
+
+def revealing():
+    rows = [(i, f"{'xyz'[i % 3]}q{i} Roberta lives {i} at bob@mail.com word{i} the end") for i in range(6)]
+    rows += [(100 + i, f"the plain text of day {i} lives on in the end") for i in range(200)]
+    return [(*r, "en", "src0", len(r[1]), *[None] * 5) for r in rows]
+
+
+def test_terms_that_give_an_entity_away(spark):
+    rows = revealing()
+    spans = {r.doc_id: r.spans for r in find_spans(frame(spark, rows)).collect()}
+    texts = {r[0]: r[1] for r in rows}
+    for i in range(6):
+        terms = {texts[i][s.start:s.end] for s in spans[i] if s.kind == "term"}
+        assert terms == {"Roberta"}
+    assert not any(spans[100 + i] for i in range(200))
+    out = {r.doc_id: r for r in sanitise(frame(spark, rows)).collect()}
+    assert out[2].text == "zq2 [TERM] lives 2 at [EMAIL] word2 the end"
+    assert out[150].text == texts[150]
+
+
+def test_sanitise_keeps_rows_and_columns(spark):
+    got = sanitise(frame(spark))
+    assert got.columns == frame(spark).columns
+    rows = documents()
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted(rows, key=str)
+    mail = [(1, "x@y.co and +1 (555) 123-4567", *[None] * 8), (1, "x@y.co and +1 (555) 123-4567", *[None] * 8), (None, "1.2.3.4", *[None] * 8)]
+    assert sorted(r.text for r in sanitise(frame(spark, mail)).collect()) == ["[EMAIL] and [PHONE]", "[EMAIL] and [PHONE]", "[IP]"]
+    assert sanitise(frame(spark, [])).count() == 0

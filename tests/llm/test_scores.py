@@ -1,0 +1,100 @@
+import random
+import zlib
+
+import numpy as np
+
+from llm_data import documents, frame
+from shoal.llm.pu import fit_dense, fit_sparse, match_prior, risk_gradient, score_dense, sigmoid
+from shoal.llm.quality import quality
+from shoal.llm.toxicity import drop_toxic, toxicity
+
+
+def corpus(n=700, seed=6):
+    rng = random.Random(seed)
+    docs, labels = [], []
+    for i in range(n):
+        words = [rng.choice("stone river cloud light field house".split()) + rng.choice("aeiou") for _ in range(30)]
+        toxic, bad = rng.random() < 0.2, rng.random() < 0.2
+        if toxic:
+            for _ in range(3):
+                words[rng.randrange(30)] = rng.choice(["vile", "vilest", "scoundrel"])
+        if bad:
+            words = [w + "###" for w in words]
+        docs.append((i, " ".join(words), "en", "src1", None, None, None, None, None, None))
+        if rng.random() < 0.7:
+            labels.append((i, int(not bad), int(toxic)))
+    return docs, labels
+
+
+def check(got, labels, column, held, docs):
+    rows = {r.doc_id: r for r in got.collect()}
+    assert len(rows) == len(docs)
+    right = tested = 0
+    for i, *y in labels:
+        assert rows[i].held_out == held(i)
+        assert 0 <= rows[i].score <= 1 and rows[i].predicted == int(rows[i].score >= 0.3)
+        if held(i):
+            tested += 1
+            right += rows[i].predicted == y[column]
+    assert tested > 50 and right / tested > 0.97
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = corpus()
+    got = toxicity(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    check(got, labels, 1, lambda i: zlib.crc32(str(i).encode()) % 4 == 2, docs)
+    kept = drop_toxic(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert kept.columns == frame(spark, docs).columns
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in got.collect() if not r.predicted}
+
+
+def test_quality_on_held_out_rows(spark):
+    docs, labels = corpus()
+    got = quality(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    check(got, labels, 0, lambda i: zlib.crc32(str(i).encode()) % 5 == 0, docs)
+
+
+def test_awkward_rows_and_missing_labels(spark):
+    labels = spark.createDataFrame([(1, None, None), (None, 1, 1), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    none = labels.where("false")
+    for f in (toxicity, quality):
+        for lab in (labels, none):
+            rows = f(frame(spark), lab).collect()
+            assert len(rows) == len(documents()) and all(0 <= r.score <= 1 for r in rows)
+        assert f(frame(spark, []), labels).count() == 0
+
+
+def test_risk_gradient_is_the_slope_of_the_risk():
+    rng = np.random.default_rng(0)
+    positive = np.arange(40) < 15
+    g, prior = rng.normal(size=40), 0.3
+
+    def risk(g):
+        up = prior * np.logaddexp(0, -g[positive]).mean()
+        return up + np.logaddexp(0, g[~positive]).mean() - prior * np.logaddexp(0, g[positive]).mean()
+
+    d = risk_gradient(g, positive, prior)
+    for i in range(40):
+        e = np.zeros(40)
+        e[i] = 1e-5
+        assert abs((risk(g + e) - risk(g - e)) / 2e-5 - d[i]) < 1e-6
+
+
+def test_clipped_risk_climbs():
+    g = np.array([5.0, -9.0])
+    d = risk_gradient(g, np.array([True, False]), 0.9)
+    assert d[0] > 0 and d[1] < 0
+
+
+def test_fits_separate_positives_among_unlabelled_rows():
+    rng = np.random.default_rng(1)
+    truth = rng.random(600) < 0.3
+    positive = np.concatenate([np.ones(80, bool), np.zeros(600, bool)])
+    all_truth = np.concatenate([np.ones(80, bool), truth])
+    x = rng.normal(size=(680, 3)) + 3.0 * all_truth[:, None]
+    score = score_dense(fit_dense(x, positive, 0.3), x)
+    assert ((score >= 0.3) == all_truth).mean() > 0.95
+    row = np.flatnonzero(all_truth)
+    w, b = fit_sparse(row, np.zeros(len(row), np.int64), 1, positive, 0.3)
+    assert sigmoid(np.array([w[0] + b]))[0] > 0.9 and sigmoid(np.array([b]))[0] < 0.1
+    assert abs(sigmoid(x[:, 0] + match_prior(x[:, 0], 0.4, 0.0)).mean() - 0.4) < 1e-6
