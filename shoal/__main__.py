@@ -8,7 +8,7 @@ Jobs (one per flow of the warehouse):
   log-split          log text -> dirty / error / start / display / action / page
   unique-visitor     page log -> first entry page per device and visit date
   user-jump          page log -> bounced visits (match / timeout)
-  dim                change records + configuration (--config dir) -> dimension entries
+  dim                change records + configuration (--config dir) -> dimension entries and tables
   cart-add           change records + dictionary (--dictionary dir) -> cart additions
   order-pre-process  change records + dictionary -> order wide table
   order-detail       change records + dictionary -> order-placed details
@@ -16,19 +16,26 @@ Jobs (one per flow of the warehouse):
 A folder source is the file form of a topic: JSON lines ``{"seq": n, "value":
 "<text>"}``. ``--once`` processes what is there and stops (availableNow).
 The checkpoint folder must be shared storage on a cluster; a restarted job
-resumes from it.
+resumes from it. Master, memory and shuffle partitions are the launcher's
+(spark-submit); for a streaming query the number of shuffle partitions is fixed
+in its checkpoint when it first starts.
+
+``--source-option`` / ``--dictionary-option name=value`` go to the readers as they
+are (startingOffsets, kafka.security.protocol, user, password, driver ...).
+A value ``env:NAME`` is read from the environment, so that no password need stand on
+a command line. ``--per-trigger`` bounds a micro-batch (Kafka offsets, or files);
+what is beyond it waits for the next one.
 """
 
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.schemas import PAGE_LOG
-
 # Topic names (input, output) of each job, so the jobs can take
 # over the existing topics.
 TOPICS = {
@@ -40,31 +47,57 @@ TOPICS = {
     "order-pre-process": ("topic_db", "dwd_trade_order_pre_process"),
     "order-detail": ("topic_db", "dwd_trade_order_detail"),
 }
+# Records (Kafka) or files (folders) of a micro-batch, unless --per-trigger says otherwise.
+KAFKA_PER_TRIGGER, FILES_PER_TRIGGER = 5_000_000, 100
+
+
+def _options(pairs: list[str] | None) -> dict[str, str]:
+    out = {}
+    for pair in pairs or []:
+        name, eq, value = pair.partition("=")
+        if not eq:
+            raise SystemExit(f"expected name=value, got {pair!r}")
+        out[name] = os.environ[value[4:]] if value.startswith("env:") else value
+    return out
 
 
-def _source(spark: SparkSession, spec: str, topic: str) -> DataFrame:
+def _source(spark: SparkSession, args, topic: str) -> DataFrame:
     from shoal.sources.kafka import read_kafka_text, read_text_stream
-    if spec.startswith("kafka:"):
-        return read_kafka_text(spark, spec[len("kafka:"):], topic)
-    return read_text_stream(spark, spec)
+    given = _options(args.source_option)
+    if args.source.startswith("kafka:"):
+        given.setdefault("maxOffsetsPerTrigger", str(args.per_trigger or KAFKA_PER_TRIGGER))
+        return read_kafka_text(spark, args.source[len("kafka:"):], args.source_topic or topic,
+                               given.pop("startingOffsets", "earliest"), **given)
+    return read_text_stream(spark, args.source, args.per_trigger or FILES_PER_TRIGGER, **given)
 
 
-def _parsed_page_log(text: DataFrame) -> DataFrame:
-    r = F.from_json("value", PAGE_LOG)
-    return text.select("seq", "value", r.alias("r")).select("seq", "value", "r.*") \
-        .where(F.col("common.mid").isNotNull())
+def _trigger(writer, args):
+    return writer.trigger(availableNow=True) if args.once else writer
 
 
-def _write_values(df: DataFrame, args, topic: str | None, key_cols=None):
-    """``value`` (and ``key`` for upsert topics) to Kafka, or JSON lines to a folder."""
-    from shoal.sinks.writers import as_text_records, as_upsert_records, write_kafka_stream
-    trigger = {"availableNow": True} if args.once else None
-    records = as_upsert_records(df, key_cols) if key_cols else as_text_records(df)
+def _write_values(df: DataFrame, args, topic: str | None):
+    """``value`` text to Kafka, or JSON lines to a folder."""
+    from shoal.sinks.writers import write_kafka_stream
     if args.sink.startswith("kafka:"):
-        return write_kafka_stream(records, args.sink[len("kafka:"):], args.checkpoint, topic, trigger)
-    w = (records.select("value").writeStream.format("text").option("path", args.sink)
+        return write_kafka_stream(df, args.sink[len("kafka:"):], args.checkpoint, args.sink_topic or topic,
+                                  {"availableNow": True} if args.once else None)
+    w = (df.select("value").writeStream.format("text").option("path", args.sink)
          .option("checkpointLocation", args.checkpoint))
-    return (w.trigger(**trigger) if trigger else w).start()
+    return _trigger(w, args).start()
+
+
+def _batch_writer(args, topic: str):
+    """Write rows of a micro-batch keyed by ``id``; a replayed batch id overwrites only its own folder."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        if args.sink.startswith("kafka:"):
+            from shoal.sinks.writers import as_upsert_records
+            (as_upsert_records(df, ["id"]).write.format("kafka")
+             .option("kafka.bootstrap.servers", args.sink[len("kafka:"):])
+             .option("topic", args.sink_topic or topic).save())
+            return
+        df.withColumn("batch", F.lit(batch_id)).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(args.sink)
+    return write
 
 
 def _dictionary(spark: SparkSession, args):
@@ -75,12 +108,12 @@ def _dictionary(spark: SparkSession, args):
     def load():
         if path.startswith("jdbc:"):
             from shoal.sources.jdbc import read_jdbc_table
-            return read_jdbc_table(spark, path, "base_dic")
-        return spark.read.schema(BASE_DIC).json(path)
+            return read_jdbc_table(spark, path, args.dictionary_table, **_options(args.dictionary_option))
+        return spark.read.schema(BASE_DIC).options(**_options(args.dictionary_option)).json(path)
     return CachedDimension(load, ttl_seconds=args.dictionary_ttl)
 
 
-def run(argv: list[str] | None = None, spark: SparkSession | None = None):
+def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="python -m shoal", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("job", choices=sorted(TOPICS))
@@ -88,78 +121,82 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None):
     p.add_argument("--sink", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--once", action="store_true")
+    p.add_argument("--source-topic", help="instead of the job's own input topic")
+    p.add_argument("--sink-topic", help="instead of the job's own output topic")
+    p.add_argument("--source-option", action="append", metavar="NAME=VALUE")
+    p.add_argument("--per-trigger", type=int, help="most offsets (Kafka) or files of a micro-batch")
     p.add_argument("--granularity", default="day", choices=["day", "second"])
+    p.add_argument("--dirty", help="folder for page-log text that the visitor jobs can't place")
     p.add_argument("--config", help="folder of configuration change records (dim)")
+    p.add_argument("--database", help="database of the dimension tables, created and filled by the job (dim)")
+    p.add_argument("--tables", help="folder of the dimension tables (dim)")
+    p.add_argument("--snapshot-every", type=int, default=20, help="batches between dimension snapshots")
     p.add_argument("--dictionary", help="folder of dictionary JSON rows, or a JDBC url")
-    p.add_argument("--dictionary-ttl", type=float, default=3600.0)
-    args = p.parse_args(argv)
+    p.add_argument("--dictionary-table", default="base_dic")
+    p.add_argument("--dictionary-option", action="append", metavar="NAME=VALUE")
+    p.add_argument("--dictionary-ttl", type=float, default=3600.0, help="seconds until the dictionary is read again")
+    p.add_argument("--bound", default="5 seconds", help="how far apart an order's records may be (order jobs)")
+    p.add_argument("--delay", default="5 seconds", help="how late a record may come (order jobs)")
+    return p
+
 
-    from shoal.session import build_session
-    spark = spark or build_session(master="local[*]")
+def run(argv: list[str] | None = None, spark: SparkSession | None = None):
+    args = _parser().parse_args(argv)
+    from shoal.session import job_session
+    spark = spark or job_session(f"shoal-{args.job}")
     topic_in, topic_out = TOPICS[args.job]
-    src = _source(spark, args.source, topic_in)
+    src = _source(spark, args, topic_in)
 
     if args.job == "log-split":
-        from shoal.sinks.writers import write_routed_files
+        from shoal.sinks.writers import write_kafka_stream, write_routed_files
         from shoal.streaming.jobs import log_split_stream
         routed = log_split_stream(src, args.granularity)
+        trigger = {"availableNow": True} if args.once else None
         if args.sink.startswith("kafka:"):
             topic = F.when(F.col("route") == "dirty", F.lit("dirty_data")) \
                 .otherwise(F.concat(F.lit("dwd_traffic_"), F.col("route"), F.lit("_log")))
-            from shoal.sinks.writers import write_kafka_stream
-            return write_kafka_stream(routed.select(topic.alias("topic"), "value"),
-                                      args.sink[len("kafka:"):], args.checkpoint,
-                                      trigger={"availableNow": True} if args.once else None)
-        return write_routed_files(routed, args.sink, args.checkpoint,
-                                  {"availableNow": True} if args.once else None)
+            # keyed by device, so that a device's records stay in order
+            return write_kafka_stream(routed.select(topic.alias("topic"), F.col("mid").alias("key"), "value"),
+                                      args.sink[len("kafka:"):], args.checkpoint, trigger=trigger)
+        return write_routed_files(routed, args.sink, args.checkpoint, trigger)
 
     if args.job in ("unique-visitor", "user-jump"):
+        from shoal.operators import logs
         from shoal.streaming import stateful
-        log = _parsed_page_log(src)
+        clean, dirty = logs.split_dirty(src, keep_text=True)
+        if args.dirty:
+            w = dirty.select("value").writeStream.format("text").option("path", args.dirty) \
+                .option("checkpointLocation", args.checkpoint.rstrip("/") + "-dirty")
+            _trigger(w, args).start()
+        log = clean.drop("record")
         out = (stateful.unique_visitor_stream(log, args.granularity) if args.job == "unique-visitor"
                else stateful.user_jump_stream(log))
-        return _write_values(out.select("value"), args, topic_out)
+        keyed = out.select(F.col("mid").alias("key"), "value")
+        return _write_values(keyed, args, topic_out)
 
     from shoal.operators.cdc import parse_change_log
+    from shoal.streaming import jobs
     changes = parse_change_log(src)
 
     if args.job == "dim":
         from shoal.sources.config import read_config
-        from shoal.streaming.jobs import dim_sink_batch
-        body = dim_sink_batch(lambda: read_config(spark, args.config), args.sink)
-        w = changes.writeStream.foreachBatch(body).option("checkpointLocation", args.checkpoint)
-        return (w.trigger(availableNow=True) if args.once else w).start()
-
-    dic = _dictionary(spark, args)
-    if args.job == "cart-add":
-        from shoal.streaming.jobs import cart_add_batch, foreach_batch_with
-
-        def write(df, batch_id):
-            if args.sink.startswith("kafka:"):
-                from shoal.sinks.writers import as_upsert_records
-                (as_upsert_records(df, ["id"]).write.format("kafka")
-                 .option("kafka.bootstrap.servers", args.sink[len("kafka:"):])
-                 .option("topic", topic_out).save())
-                return
-            # a replayed batch id overwrites only its own folder
-            df.withColumn("batch", F.lit(batch_id)).write.mode("overwrite") \
-                .option("partitionOverwriteMode", "dynamic").partitionBy("batch").json(args.sink)
-        body = foreach_batch_with(dic.get, cart_add_batch, write)
-        w = changes.writeStream.foreachBatch(body).option("checkpointLocation", args.checkpoint)
-        return (w.trigger(availableNow=True) if args.once else w).start()
-
-    from shoal.streaming.jobs import order_wide_stream
-    wide = order_wide_stream(changes, dic.get())
-    if args.job == "order-detail":
-        from shoal.operators.joins import order_placed
-        wide = order_placed(wide)
-    return _write_values(wide, args, topic_out, ["id"])
+        body = jobs.dim_sink_batch(lambda: read_config(spark, args.config), args.sink, args.database, args.tables,
+                                   args.snapshot_every)
+    else:
+        dic = _dictionary(spark, args)
+        build = {"cart-add": jobs.cart_add_batch, "order-pre-process": jobs.order_wide_batch,
+                 "order-detail": jobs.order_detail_batch}[args.job]
+        body = jobs.foreach_batch_with(dic.get, build, _batch_writer(args, topic_out))
+        if args.job != "cart-add":
+            for k, v in jobs.ORDER_STREAM_CONF.items():
+                spark.conf.set(k, v)
+            changes = jobs.order_joined_stream(changes, args.bound, args.delay)
+    w = changes.writeStream.foreachBatch(body).option("checkpointLocation", args.checkpoint)
+    return _trigger(w, args).start()
 
 
 def main() -> None:
     q = run(sys.argv[1:])
-    if q is None:
-        return
     if "--once" in sys.argv:
         from shoal.streaming.jobs import stop_when_idle
         stop_when_idle(q)

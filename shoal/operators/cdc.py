@@ -23,11 +23,10 @@ BOOTSTRAP_TYPES = ("bootstrap-start", "bootstrap-complete")
 def parse_change_log(raw: DataFrame, value: str = "value") -> DataFrame:
     """Change-topic text -> change records; text that is not an object with
     the envelope fields gives NULL fields and is dropped by
-    ``filter_change_envelope``."""
+    ``filter_change_envelope``. The parse stands behind a generator, so filters
+    on its fields don't repeat it."""
     carried = [c for c in raw.columns if c != value]
-    j = F.from_json(F.col(value), CHANGE_LOG)
-    return raw.select(*carried, j.alias("__r")).select(
-        *carried, *[F.col(f"__r.{f.name}").alias(f.name) for f in CHANGE_LOG.fields])
+    return raw.select(*carried, F.inline(F.array(F.from_json(F.col(value), CHANGE_LOG))))
 
 
 def filter_change_envelope(changes: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@ of the demos, and the order wide table.
 
 Shuffle notes (they matter at scale):
 
-* ``lookup_join`` broadcasts the dictionary only after counting it against
-  ``max_broadcast_rows``; a larger dictionary falls back to a shuffle join.
+* ``lookup_join`` gives no hint: Spark sends a dictionary along when its bytes
+  are under ``autoBroadcastJoinThreshold`` (adaptive execution decides again on
+  measured bytes) and shuffles otherwise.
 * ``interval_join`` adds a time-bucket equi-key, so a key with many rows is
   compared only within neighbouring buckets, never all pairs of the key.
 * ``order_wide_join`` filters details through the dictionary first, then
@@ -21,28 +22,16 @@ from pyspark.sql import functions as F
 from shoal.functions import decimal_product, format_text_time, map_get
 from shoal.operators.cdc import project_change_fields, select_change_rows
 
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The count reads at most ``max_rows + 1`` rows of the small side.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def lookup_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                how: str = "inner", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                how: str = "inner") -> DataFrame:
     """Join facts with a dictionary on one key, the dictionary as of now.
 
     ``how="inner"`` drops facts without an entry (as the processing-time
     lookup join does). The dictionary key column is dropped.
     """
-    small = checked_broadcast(dim, max_broadcast_rows)
-    out = facts.join(small, F.col(fact_key) == small[dim_key], how)
-    return out.drop(small[dim_key]) if dim_key != fact_key else out
+    out = facts.join(dim, F.col(fact_key) == dim[dim_key], how)
+    return out.drop(dim[dim_key]) if dim_key != fact_key else out
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
@@ -56,7 +45,9 @@ def equi_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, right_ts: str,
                   lower_ms: int, upper_ms: int, how: str = "inner") -> DataFrame:
     """Keyed time-band join: ``right_ts`` in ``[left_ts + lower, left_ts + upper]``
-    (both ends included), timestamps in epoch ms.
+    (both ends included), timestamps in epoch ms. ``how`` is ``inner`` or ``left``:
+    right rows are copied to buckets, so those without a match have no one row to
+    stand for them (swap the sides, with the bounds negated, for a right join).
 
     Rows are cut into time buckets of width ``max(upper - lower, 1)``: each
     left row sits in one bucket, each right row is copied to the (at most
@@ -64,6 +55,8 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     Output columns are the left columns then the right columns other than
     the key; other names must not clash (rename before joining).
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type {how!r}")
     if lower_ms > upper_ms:
         raise ValueError("lower bound above upper bound")
     width = max(upper_ms - lower_ms, 1)
@@ -83,6 +76,7 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
 
 # ------------------------------------------------------------- order wide join
 
+# The fields of a detail record and the columns of the wide table.
 DETAIL_FIELDS = ("id", "order_id", "sku_id", "sku_name", "sku_num", "create_time",
                  "source_type", "source_id", "split_total_amount", "split_activity_amount",
                  "split_coupon_amount")
@@ -125,32 +119,49 @@ def coupon_rows(changes: DataFrame, with_ts: bool = False) -> DataFrame:
                                  keep=[F.col("ts").alias("cou_ts")] if with_ts else [])
 
 
-def order_wide_join(changes: DataFrame, dic: DataFrame, keep_seq: bool = False,
-                    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+def newest_order_rows(orders: DataFrame) -> DataFrame:
+    """The newest record of each order, by record time, then arrival."""
+    at = F.struct(F.col("oi_ts").cast("long"), F.col("oi_seq"))
+    kept = [c for c in orders.columns if c != "oi_id"]
+    return orders.groupBy("oi_id").agg(F.max_by(F.struct(*kept), at).alias("r")).select("oi_id", "r.*")
+
+
+def _wide_rows(joined: DataFrame, keep_seq: bool, row_op_ts: Column | None) -> DataFrame:
+    cols = {
+        "date_id": format_text_time("create_time", "yyyy-MM-dd"),
+        "operate_date_id": format_text_time("operate_time", "yyyy-MM-dd"),
+        "row_op_ts": row_op_ts if row_op_ts is not None else F.current_timestamp(),
+    }
+    out = [cols.get(c, F.col(c)).alias(c) for c in WIDE_COLUMNS]
+    return joined.select(*out, *([F.col("oi_seq")] if keep_seq else []))
+
+
+def with_dictionary(joined: DataFrame, dic: DataFrame, keep_seq: bool = False,
                     row_op_ts: Column | None = None) -> DataFrame:
+    """Wide rows of joined details, the dictionary as of now."""
+    names = dic.select(F.col("dic_code"), F.col("dic_name").alias("source_type_name"))
+    return _wide_rows(lookup_join(joined, names, "source_type", "dic_code"), keep_seq, row_op_ts)
+
+
+def order_wide_join(changes: DataFrame, dic: DataFrame, keep_seq: bool = False,
+                    newest: bool = False, row_op_ts: Column | None = None) -> DataFrame:
     """Order detail ⋈ order ⟕ activity ⟕ coupon ⋈ dictionary (27 columns).
 
     Every order record (insert and update) joins, so a detail appears once
-    per order record; ``materialize_upsert`` keeps the newest per ``id``.
+    per order record; ``materialize_upsert`` keeps the newest per ``id``. With
+    ``newest`` only the newest record of each order joins: the same rows as the
+    newest per detail id (a detail is inserted once), but chosen on the narrow
+    order side, before the wide join.
     ``keep_seq`` adds ``oi_seq`` (arrival order of the order record).
     """
     names = dic.select(F.col("dic_code"), F.col("dic_name").alias("source_type_name"))
-    od = lookup_join(order_detail_rows(changes), names, "source_type", "dic_code",
-                     max_broadcast_rows=max_broadcast_rows)
+    od = lookup_join(order_detail_rows(changes), names, "source_type", "dic_code")
     act, cou = activity_rows(changes), coupon_rows(changes)
     j = (od.join(act, od["id"] == act["act_detail_id"], "left")
          .join(cou, od["id"] == cou["cou_detail_id"], "left"))
     oi = order_info_rows(changes)
-    j = j.join(oi, j["order_id"] == oi["oi_id"], "inner")
-    cols = {
-        "date_id": format_text_time("create_time", "yyyy-MM-dd"),
-        "operate_date_id": format_text_time("operate_time", "yyyy-MM-dd"),
-        "row_op_ts": row_op_ts if row_op_ts is not None else F.current_timestamp(),
-    }
-    out = [cols.get(c, F.col(c)).alias(c) for c in WIDE_COLUMNS]
-    if keep_seq:
-        out.append(F.col("oi_seq"))
-    return j.select(*out)
+    oi = newest_order_rows(oi) if newest else oi
+    return _wide_rows(j.join(oi, j["order_id"] == oi["oi_id"], "inner"), keep_seq, row_op_ts)
 
 
 def order_placed(wide: DataFrame) -> DataFrame:

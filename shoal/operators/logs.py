@@ -1,117 +1,165 @@
-"""App-log cleaning and fan-out.
-
-``split_dirty`` parses the log text once with ``from_json`` (a corrupt-record
-column marks text that is not an object of the expected shape) and returns
-the clean records and the dirty text. ``split_log`` turns clean records into
-the five fact outputs; all five are plain filters / explodes of one input, so
-a job that writes them all reads the input once (``route_log``) or persists
-it once per micro-batch.
+"""App-log cleaning and fan-out, without loss.
+
+A log record is an open JSON object: only the fields the jobs act on are read
+(``common.mid``, ``common.is_new``, ``page.last_page_id``, ``ts``), everything
+else is carried as it came. The text is parsed once per row, behind a
+generator, so that no filter repeats the parse; the record is a map from its
+top-level names to ``variant`` values and every output is composed from those.
+
+``split_dirty`` gives clean records and dirty text, ``split_log`` the five fact
+outputs, and ``route_log`` all five in one pass as ``route, value`` text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from shoal.schemas import RAW_LOG
-
-CORRUPT = "_corrupt_record"
 OUTPUTS = ("error", "start", "display", "action", "page")
+RECORD = "map<string,variant>"
+# control columns read from a record
+CONTROL = ("mid", "is_new", "last_page_id", "ts", "record")
+
 
+def field(value, path: str, kind: str = "string") -> Column:
+    """One field of a variant; NULL when absent or of another kind."""
+    return F.try_variant_get(F.col(value) if isinstance(value, str) else value, path, kind)
+
+
+def parse_log(raw: DataFrame, value: str = "value") -> DataFrame:
+    """The input's columns and the control columns of its records.
+
+    All control columns are NULL for text that is not a JSON object.
+    """
+    def read(v: Column) -> Column:
+        return F.struct(
+            field(v, "$.common.mid").alias("mid"),
+            field(v, "$.common.is_new").alias("is_new"),
+            field(v, "$.page.last_page_id").alias("last_page_id"),
+            field(v, "$.ts", "bigint").alias("ts"),
+            F.try_variant_get(v, "$", RECORD).alias("record"))
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
-    fields = [f for f in schema.fields if f.name != CORRUPT]
-    return T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
+    # a generator keeps later filters above the parse, so it is evaluated once
+    parsed = F.transform(F.array(F.try_parse_json(F.col(value))), read)
+    return raw.select(*raw.columns, F.inline(parsed))
 
 
-def _parse(raw: DataFrame, value: str, schema: T.StructType, key: str | None):
-    sch = _with_corrupt(schema)
-    j = F.from_json(F.col(value), sch, {"columnNameOfCorruptRecord": CORRUPT})
-    p = raw.withColumn("__j", j)
-    ok = F.col("__j").isNotNull() & F.col(f"__j.{CORRUPT}").isNull()
-    if key:
-        ok = ok & F.col(f"__j.{key}").isNotNull()
-    return p, F.coalesce(ok, F.lit(False))
+def is_clean() -> Column:
+    """An object with the partition key and an event time."""
+    return F.col("record").isNotNull() & F.col("mid").isNotNull() & F.col("ts").isNotNull()
 
 
-def split_dirty(raw: DataFrame, value: str = "value", schema: T.StructType = RAW_LOG,
-                key: str | None = "common.mid",
-                keep_text: bool = False) -> tuple[DataFrame, DataFrame]:
+def split_dirty(raw: DataFrame, value: str = "value", keep_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """(clean records, dirty rows) of a text log.
 
     Dirty: NULL or empty text, text that is not a JSON object (arrays,
-    scalars, broken text), an object whose fields do not fit ``schema``, or a
-    record without the partition key ``key``. Other input columns (e.g. a
-    sequence number) are carried on both sides; ``keep_text`` also keeps the
-    original text on the clean side.
+    scalars, broken text), and an object without ``common.mid`` or without a
+    whole number in ``ts``, which the keyed jobs can't place. Fields of any other
+    name and kind are carried. Other input columns are carried on both sides;
+    ``keep_text`` also keeps the original text on the clean side.
     """
-    p, ok = _parse(raw, value, schema, key)
+    parsed = parse_log(raw, value)
     carried = [c for c in raw.columns if c != value or keep_text]
-    names = [f.name for f in schema.fields]
-    clean = p.where(ok).select(*carried, *[F.col(f"__j.{n}").alias(n) for n in names])
-    dirty = p.where(~ok).select(*raw.columns)
-    return clean, dirty
+    return (parsed.where(is_clean()).select(*carried, *CONTROL),
+            parsed.where(~is_clean()).select(*raw.columns))
 
 
-def _without(df: DataFrame, *cols: str) -> DataFrame:
-    return df.drop(*[c for c in cols if c in df.columns])
+def _has(name: str) -> Column:
+    """The record has this field, and not as a JSON null."""
+    v = F.col("record")[name]
+    return v.isNotNull() & ~F.is_variant_null(v)
 
 
-def split_log(log: DataFrame) -> dict[str, DataFrame]:
-    """Five outputs of clean log records.
+def _flagged() -> Column:
+    """The record with ``common.is_new`` as the control column has it now."""
+    common = F.expr("try_cast(record['common'] as map<string,variant>)")
+    old = field(F.col("record")["common"], "$.is_new")
+    new = F.map_concat(F.map_filter(common, lambda k, v: k != "is_new"),
+                       F.create_map(F.lit("is_new"), F.expr("cast(is_new as variant)")))
+    rebuilt = F.map_concat(F.map_filter("record", lambda k, v: k != "common"),
+                           F.create_map(F.lit("common"), F.to_variant_object(new)))
+    return F.when(F.col("is_new").isNull() | old.eqNullSafe(F.col("is_new")), F.col("record")).otherwise(rebuilt)
+
+
+def with_flag(log: DataFrame) -> DataFrame:
+    """Records whose ``common.is_new`` follows the (repaired) control column."""
+    return log.withColumn("record", _flagged())
+
+
+def _without(*names: str) -> Column:
+    return F.map_filter("record", lambda k, v: ~k.isin(*names))
+
+
+def _elements(name: str) -> Column:
+    """Elements of a list field; none when the field is absent or no list."""
+    return F.coalesce(F.try_variant_get(F.col("record")[name], "$", "array<variant>"),
+                      F.expr("cast(array() as array<variant>)"))
+
+
+def _of(name: str, element: Column, *kept: str) -> Column:
+    """``kept`` fields of the record and one list element under ``name``."""
+    return F.map_concat(F.map_filter("record", lambda k, v: k.isin(*kept)), F.create_map(F.lit(name), element))
+
+
+def _per_record(route: str) -> tuple[Column, Column]:
+    """(condition, record) of the outputs with one row per log record.
 
     * ``error``: records with ``err``, whole (err, displays, actions kept);
     * ``start``: records with ``start``, without ``err``;
-    * ``display``: for records without ``start``, one row per element of
-      ``displays``: ``common, page, ts, display``;
-    * ``action``: same for ``actions``: ``common, page, action`` (no ``ts``);
-    * ``page``: records without ``start``, minus ``err``, ``displays``,
-      ``actions`` (kept even when ``page`` is absent).
+    * ``page``: records without ``start``, minus ``err``, ``displays``, ``actions``
+      (kept even when ``page`` is absent).
     """
-    carried = [c for c in log.columns
-               if c not in ("common", "page", "start", "err", "displays", "actions", "ts")]
-    no_start = log.where(F.col("start").isNull())
-    return {
-        "error": log.where(F.col("err").isNotNull()),
-        "start": _without(log.where(F.col("start").isNotNull()), "err"),
-        "display": no_start.select(*carried, "common", "page", "ts",
-                                   F.explode("displays").alias("display")),
-        "action": no_start.select(*carried, "common", "page",
-                                  F.explode("actions").alias("action")),
-        "page": _without(no_start, "err", "displays", "actions", "start"),
-    }
+    return {"error": (_has("err"), F.col("record")),
+            "start": (_has("start"), _without("err")),
+            "page": (~_has("start"), _without("err", "displays", "actions", "start"))}[route]
+
+
+# list outputs: field, name of an element, and the record's fields that go along
+_PER_ELEMENT = {"display": ("displays", "display", ("common", "page", "ts")),
+                "action": ("actions", "action", ("common", "page"))}
+
+
+def split_log(log: DataFrame) -> dict[str, DataFrame]:
+    """Five outputs of clean log records, each with its own ``record``.
+
+    ``error``, ``start`` and ``page`` have a row per record; for records without
+    ``start``, ``display`` and ``action`` have a row per element of ``displays``
+    and ``actions``, with ``common`` and ``page`` (``display`` also ``ts``).
+    """
+    log = with_flag(log)
+    carried = [c for c in log.columns if c != "record"]
+    out = {}
+    for route in OUTPUTS:
+        if route in _PER_ELEMENT:
+            source, name, kept = _PER_ELEMENT[route]
+            each = log.where(~_has("start")).select(*carried, "record", F.explode(_elements(source)).alias("__e"))
+            out[route] = each.select(*carried, _of(name, F.col("__e"), *kept).alias("record"))
+        else:
+            condition, record = _per_record(route)
+            out[route] = log.where(condition).select(*carried, record.alias("record"))
+    return out
 
 
 def route_log(log: DataFrame) -> DataFrame:
-    """All five outputs in one frame as ``(route, value)`` JSON text rows,
-    for one-pass writers (e.g. a file sink partitioned by ``route``).
+    """All five outputs in one frame as ``(route, value)`` JSON text rows, with
+    the device id as ``mid`` (the key that keeps a device's records in order).
 
     One ``explode`` of a small per-record array of tagged outputs: each input
     row is read once and yields its error / start / page row and its display
     and action rows.
     """
-    carried = [c for c in log.columns
-               if c not in ("common", "page", "start", "err", "displays", "actions", "ts")]
-    rec_no_err = F.struct(*carried, "common", "page", "start", "displays", "actions", "ts")
-    whole = F.struct(*carried, "common", "page", "start", "err", "displays", "actions", "ts")
-    page_rec = F.struct(*carried, "common", "page", "ts")
-    has_start = F.col("start").isNotNull()
-
-    def tagged(route: str, value: Column) -> Column:
-        return F.struct(F.lit(route).alias("route"), value.alias("value"))
-
-    empty = F.array().cast("array<struct<route:string,value:string>>")
-    singles = F.array_compact(F.array(
-        F.when(F.col("err").isNotNull(), tagged("error", F.to_json(whole))),
-        F.when(has_start, tagged("start", F.to_json(rec_no_err))),
-        F.when(~has_start, tagged("page", F.to_json(page_rec))),
-    ))
-    disp = F.when(has_start, empty).otherwise(F.coalesce(F.transform(
-        "displays", lambda d: tagged("display", F.to_json(F.struct(
-            *carried, "common", "page", "ts", d.alias("display"))))), empty))
-    act = F.when(has_start, empty).otherwise(F.coalesce(F.transform(
-        "actions", lambda a: tagged("action", F.to_json(F.struct(
-            *carried, "common", "page", a.alias("action"))))), empty))
-    out = log.select(F.explode(F.concat(singles, disp, act)).alias("o"))
-    return out.select("o.route", "o.value")
+    log = with_flag(log)
+
+    def tagged(route: str, record: Column) -> Column:
+        return F.struct(F.lit(route).alias("route"), F.to_json(record).alias("value"))
+
+    singles = [F.when(c, tagged(r, rec)) for r, (c, rec) in ((r, _per_record(r)) for r in ("error", "start", "page"))]
+    none = F.expr("cast(array() as array<struct<route:string,value:string>>)")
+
+    def lists(route: str) -> Column:
+        source, name, kept = _PER_ELEMENT[route]
+        return F.when(~_has("start"), F.transform(_elements(source), lambda e: tagged(route, _of(name, e, *kept)))) \
+            .otherwise(none)
+
+    every = F.concat(F.array_compact(F.array(*singles)), lists("display"), lists("action"))
+    return log.select("mid", F.explode(every).alias("o")).select("o.route", "mid", "o.value")

@@ -3,20 +3,20 @@
 ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to one task.
 With one device holding a third of all rows that task would sort a third of
 the data. Instead rows are cut into ordered buckets (``bucket`` must never
-decrease along the order, e.g. ``floor(ts / width)``):
-
-1. the window runs per ``(key, bucket)``, so a hot key is spread over many
-   tasks and each group is bounded by the bucket width;
-2. an aggregate keeps, per ``(key, bucket)``, only the edge row of the
-   bucket (the last one for "prev", the first one for "next");
-3. a window over that small table hands each bucket the edge row of its
-   neighbour bucket;
-4. rows that have no neighbour inside their bucket take that edge row.
-
-The rows are shuffled once, by ``(key, bucket)``, and the join back on
-``(key, bucket)`` reuses that partitioning; the aggregate is a second read of
-the input that needs only the key, order and value columns. The result
-equals the plain per-key window exactly (tested down to bucket width one).
+decrease along the order, e.g. ``floor(ts / width)``).
+
+* ``neighbour``: a window per ``(key, bucket)``, the edge row of each bucket
+  from an aggregate, a window over that small table, and a join back. Rows and
+  edges read the same columns of the same exchange, so the rows are read and
+  shuffled once (the plan shows one exchange and a reuse of it); the edge table
+  is shuffled by key.
+* ``next_within``: when only a following row less than ``reach`` later matters,
+  rows near the start of a bucket are also given to the bucket before, and one
+  window per ``(key, bucket)`` answers: one read, one shuffle, no join.
+* ``first_per_key``: a grouped minimum (combined before the shuffle) joined
+  back on the key; adaptive execution splits a hot key of the rows' side.
+
+Results equal the plain per-key window exactly (tested down to bucket width one).
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _B = "__bucket"
+_K = "__key"
 _IN = "__in_bucket"
 _EDGE = "__edge"
 
@@ -36,10 +37,14 @@ def _cols(xs) -> list[str]:
 
 
 def bucketed(df: DataFrame, key: str | Sequence[str], bucket: Column) -> DataFrame:
-    """Rows with an ordered bucket column, hash-partitioned by
-    ``(key, bucket)``: the one shuffle of the big side. A key with many rows
-    lands in as many partitions as it has buckets."""
-    return df.withColumn(_B, bucket).repartition(*_cols(key), _B)
+    """Rows with the key as one struct and an ordered bucket column, hash-partitioned
+    by both. A key with many rows lands in as many partitions as it has buckets.
+
+    Neither column is ever NULL (a NULL bucket comes first), so Spark adds no
+    NULL filter to one side of a later join, which would keep it from sharing the
+    exchange."""
+    return df.withColumn(_K, F.struct(*_cols(key))).withColumn(_B, F.coalesce(bucket, F.lit(-1 << 62))) \
+        .repartition(_K, _B)
 
 
 def neighbour(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
@@ -55,48 +60,56 @@ def neighbour(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str
     keys, order = _cols(key), _cols(order)
     vals = F.struct(*[F.col(v) for v in values])
     ordkey = F.struct(*[F.col(o) for o in order])
-
-    # the only shuffle of the big side; the window, the per-bucket aggregate
-    # and the join back all read this one exchange
-    part = bucketed(df, keys, bucket)
-    w_in = Window.partitionBy(*keys, _B).orderBy(*order)
+    spare = [k for k in keys if k not in {*order, *values}]
+    part = bucketed(df, keys, bucket).drop(*spare)
+    w_in = Window.partitionBy(_K, _B).orderBy(*order)
     shift = F.lag if direction == "prev" else F.lead
     rows = part.withColumn(_IN, shift(vals, 1).over(w_in))
 
-    # one edge row per (key, bucket): the last row for "prev", the first for "next"
+    # one edge row per (key, bucket): the last row for "prev", the first for "next".
+    # A count of every other column makes this branch read what the rows' branch
+    # reads, so that both share one exchange.
     pick = F.max_by if direction == "prev" else F.min_by
-    edges = part.groupBy(*keys, _B).agg(pick(vals, ordkey).alias(_EDGE))
-    w_b = Window.partitionBy(*keys).orderBy(_B)
-    edges = edges.select(*keys, _B, shift(F.col(_EDGE), 1).over(w_b).alias(_EDGE))
+    others = [c for c in df.columns if c not in {*order, *values, *spare}]
+    edges = part.groupBy(_K, _B).agg(pick(vals, ordkey).alias(_EDGE),
+                                     *[F.count(F.col(c)).alias(f"__n{i}") for i, c in enumerate(others)])
+    w_b = Window.partitionBy(_K).orderBy(_B)
+    seen = F.greatest(F.lit(0), F.lit(0), *[F.col(f"__n{i}") for i in range(len(others))])
+    edges = edges.select(_K, _B, shift(F.when(seen >= 0, F.col(_EDGE)), 1).over(w_b).alias(_EDGE))
 
-    joined = rows.join(edges, on=[*keys, _B], how="left")
-    return (joined.withColumn(out, F.coalesce(F.col(_IN), F.col(_EDGE)))
-            .drop(_B, _IN, _EDGE))
+    joined = rows.join(edges, on=[_K, _B], how="left")
+    cells = [F.col(_K)[c].alias(c) if c in spare else F.col(c) for c in df.columns]
+    return joined.select(*cells, F.coalesce(F.col(_IN), F.col(_EDGE)).alias(out))
 
 
-def first_per_key(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
-                  value: Column, out: str, bucket: Column) -> DataFrame:
-    """Add column ``out`` = ``value`` of the first row of each key.
+def next_within(df: DataFrame, key: str | Sequence[str], at: str, order: str | Sequence[str],
+                reach: int, width: int, values: Sequence[str], out: str) -> DataFrame:
+    """Add struct column ``out`` with ``values`` of the next row of the key by
+    ``order`` (which starts with the whole number ``at``), if it comes less than
+    ``reach`` after the row; otherwise NULL or a later row.
 
-    Rows are shuffled once, by ``(key, bucket)``; the first row of each
-    bucket, then of each key, come from small aggregates over that same
-    exchange, and the per-key answer is joined back on ``(key, bucket)``, so
-    no task ever holds more than one bucket of a hot key.
+    A bucket of ``width`` (at least ``reach``) is a task's unit of work.
     """
+    width = max(width, reach)
     keys, order = _cols(key), _cols(order)
-    ordkey = F.struct(*[F.col(o) for o in order])
-    part = bucketed(df, keys, bucket)
-    per_bucket = part.groupBy(*keys, _B).agg(F.min_by(value, ordkey).alias("__v"),
-                                             F.min(ordkey).alias("__o"))
-    # one row per (key, bucket): a window per key over this small table
-    w = Window.partitionBy(*keys).orderBy("__o")
-    firsts = per_bucket.select(*keys, _B, F.first("__v").over(w).alias(out))
-    return part.join(firsts, on=[*keys, _B], how="left").drop(_B)
+    b = F.floor(F.col(at) / width)
+    early = F.col(at) - b * width < reach
+    spread = df.withColumn(_B, F.explode(F.when(early, F.array(b, b - 1)).otherwise(F.array(b)))) \
+        .withColumn(_IN, F.col(_B) == b)
+    w = Window.partitionBy(*keys, _B).orderBy(*order)
+    return spread.withColumn(out, F.lead(F.struct(*[F.col(v) for v in values]), 1).over(w)) \
+        .where(_IN).drop(_B, _IN)
 
 
-def plain_neighbour(df: DataFrame, key, order, values, direction: str, out: str) -> DataFrame:
-    """Reference form with one window per key (used by tests only)."""
-    keys, order = _cols(key), _cols(order)
-    vals = F.struct(*[F.col(v) for v in values])
-    shift = F.lag if direction == "prev" else F.lead
-    return df.withColumn(out, shift(vals, 1).over(Window.partitionBy(*keys).orderBy(*order)))
+def first_per_key(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
+                  value: Column, out: str) -> DataFrame:
+    """Add column ``out`` = ``value`` of the first row of each key.
+
+    The first values come from a grouped ``min_by`` over the key, order and value
+    columns alone, combined before its shuffle; the rows are shuffled once for
+    the join, which adaptive execution splits where a key is hot (or not at all,
+    when Spark finds the first values small enough to send along).
+    """
+    keys = _cols(key)
+    firsts = df.groupBy(*keys).agg(F.min_by(value, F.struct(*_cols(order))).alias(out))
+    return df.join(firsts, on=keys, how="left")

@@ -5,8 +5,12 @@ records in arrival order (``seq``) or event-time order (``ts``, ``seq``). The
 streaming forms in ``shoal.streaming.stateful`` hold the same state per key;
 tests check the two against each other and against plain-Python machines.
 
-Input rows carry ``seq`` (arrival order), ``common`` (``mid``, ``is_new``),
-``page`` (``last_page_id``) and ``ts`` (epoch ms), as in ``schemas.PAGE_LOG``.
+Input rows carry ``seq`` (arrival order), ``ts`` (epoch ms) and either ``common``
+(``mid``, ``is_new``) and ``page`` (``last_page_id``), as in ``schemas.PAGE_LOG``, or the
+control columns ``mid``, ``is_new`` and ``last_page_id`` of ``operators.logs``.
+
+Arrival order is the order of a device's records in its topic partition: the log
+and page topics have to be keyed by ``mid``.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoal.functions import ONE_DAY_MS, is_entry_page, visit_date
-from shoal.operators.sequence import first_per_key, neighbour
+from shoal.operators.sequence import first_per_key, neighbour, next_within
 
 # The pattern time bound of the bounce job and the labels of
 # its two outcomes.
@@ -24,18 +28,24 @@ MATCH, TIMEOUT = "match", "timeout"
 
 # Width of the ordered buckets that split one device's rows over tasks.
 SEQ_BUCKET = 1 << 20       # arrival-order buckets (rows)
-TS_BUCKET_MS = 60_000      # event-time buckets (ms)
+TS_BUCKET_MS = 600_000     # event-time buckets (ms)
 
 _MID = "__mid"
 
 
+def control(df: DataFrame, name: str) -> Column:
+    """``mid``, ``is_new`` or ``last_page_id`` of either input shape."""
+    if "common" not in df.columns:
+        return F.col(name)
+    return F.col("page.last_page_id" if name == "last_page_id" else f"common.{name}")
+
+
 def _with_mid(df: DataFrame) -> DataFrame:
-    return df.withColumn(_MID, F.col("common.mid"))
+    return df.withColumn(_MID, control(df, "mid"))
 
 
-def fix_is_new(log: DataFrame, granularity: str = "day",
-               bucket_width: int = SEQ_BUCKET) -> DataFrame:
-    """Repair ``common.is_new``.
+def fix_is_new(log: DataFrame, granularity: str = "day") -> DataFrame:
+    """Repair the new-visitor flag.
 
     A device's first record fixes its first-visit date once: its own date if
     it says ``is_new = '1'``, otherwise the day before. Later records that
@@ -43,15 +53,18 @@ def fix_is_new(log: DataFrame, granularity: str = "day",
     the literal comparison of full timestamps; ``"day"`` compares dates.
     """
     ts = F.col("ts")
-    is_new = F.col("common.is_new")
+    is_new = control(log, "is_new")
     first_date = F.when(is_new == "1", visit_date(ts, granularity)) \
         .otherwise(visit_date(ts - F.lit(ONE_DAY_MS), granularity))
     d = "__first_visit"
-    out = first_per_key(_with_mid(log), _MID, ["seq"], first_date, d,
-                        bucket=F.floor(F.col("seq") / bucket_width))
+    out = first_per_key(_with_mid(log), _MID, ["seq"], first_date, d)
     fixed = F.when((is_new == "1") & (F.col(d) != visit_date(ts, granularity)), F.lit("0")) \
         .otherwise(is_new)
-    return out.withColumn("common", F.col("common").withField("is_new", fixed)).drop(_MID, d)
+    if "common" in log.columns:
+        out = out.withColumn("common", F.col("common").withField("is_new", fixed))
+    else:
+        out = out.withColumn("is_new", fixed)
+    return out.select(*log.columns)
 
 
 def unique_visitor(page_log: DataFrame, granularity: str = "day",
@@ -62,12 +75,12 @@ def unique_visitor(page_log: DataFrame, granularity: str = "day",
     the date of the device's previous entry row (a device seen on d1, d2, d1
     gives three rows); equal to "differs from the last kept date".
     """
-    entries = _with_mid(page_log).where(is_entry_page(F.col("page.last_page_id")))
+    entries = _with_mid(page_log).where(is_entry_page(control(page_log, "last_page_id")))
     entries = entries.withColumn("__vd", visit_date(F.col("ts"), granularity))
     nb = neighbour(entries, _MID, ["seq"], F.floor(F.col("seq") / bucket_width), ["__vd"],
                    "prev", "__prev")
     keep = F.col("__prev").isNull() | (F.col("__prev.__vd") != F.col("__vd"))
-    return nb.where(keep).drop(_MID, "__vd", "__prev")
+    return nb.where(keep).select(*page_log.columns)
 
 
 def user_jump(page_log: DataFrame, within_ms: int = JUMP_WITHIN_MS,
@@ -79,19 +92,16 @@ def user_jump(page_log: DataFrame, within_ms: int = JUMP_WITHIN_MS,
     ``match``; an entry page with no next record, or whose next record comes
     ``within_ms`` or more later, is a ``timeout``. An entry page followed
     in time by a non-entry page is no bounce. Both outcomes emit the first
-    record, with column ``reason``.
+    record, with column ``reason``. A next record matters only within
+    ``within_ms``, so no row is compared beyond its bucket and that reach.
     """
     entry = "__entry"
-    df = _with_mid(page_log).withColumn(entry, is_entry_page(F.col("page.last_page_id")))
-    nb = neighbour(df, _MID, ["ts", "seq"], F.floor(F.col("ts") / bucket_ms),
-                   ["ts", entry], "next", "__next")
-    gap = F.col("__next.ts") - F.col("ts")
-    has_next = F.col("__next").isNotNull()
-    matched = has_next & (gap < within_ms) & F.col(f"__next.{entry}")
-    timed_out = ~has_next | (gap >= within_ms)
-    reason: Column = F.when(matched, F.lit(MATCH)).when(timed_out, F.lit(TIMEOUT))
+    df = _with_mid(page_log).withColumn(entry, is_entry_page(control(page_log, "last_page_id")))
+    nb = next_within(df, _MID, "ts", ["ts", "seq"], within_ms, bucket_ms, ["ts", entry], "__next")
+    soon = F.coalesce(F.col("__next.ts") - F.col("ts") < within_ms, F.lit(False))
+    reason: Column = F.when(~soon, F.lit(TIMEOUT)).when(F.col(f"__next.{entry}"), F.lit(MATCH))
     return (nb.where(F.col(entry)).withColumn("reason", reason)
-            .where(F.col("reason").isNotNull()).drop(_MID, entry, "__next"))
+            .where(F.col("reason").isNotNull()).select(*page_log.columns, "reason"))
 
 
 def flatten_page(df: DataFrame, *extra: str) -> DataFrame:

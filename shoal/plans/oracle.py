@@ -33,8 +33,9 @@ def _fmt(gran: str, ms: str) -> str:
     return (_DAY if gran == "day" else _SECOND).format(ms=ms)
 
 
-USER_JUMP = f"""
-WITH pl AS ({JUMP_LOG}),
+def _user_jump(log: str) -> str:
+    return f"""
+WITH pl AS ({log}),
 e AS (
   SELECT *, coalesce(last_page_id, '') = '' AS is_entry FROM pl
 ),
@@ -86,7 +87,7 @@ _CLEAN_LOG = f"""
 WITH ev AS (
   SELECT event_id AS seq, event_type,
          CAST(json_extract(props, '$.k') AS BIGINT) AS k,
-         'mid_' || CAST(user_id AS VARCHAR) AS mid,
+         'mid_' || CAST(user_id AS VARCHAR) AS mid, 'b' || CAST(user_id % 7 AS VARCHAR) AS ba,
          {_REAL_MS} AS ts
   FROM events WHERE event_id % 97 <> 0
 ),
@@ -99,7 +100,7 @@ f AS (
               OVER (PARTITION BY mid ORDER BY seq) AS first_visit
   FROM pl
 )
-SELECT seq, event_type, k, mid, ts,
+SELECT seq, event_type, k, mid, ba, ts,
        CASE WHEN flag = '1' AND first_visit <> {_fmt('day', 'ts')} THEN '0' ELSE flag END
          AS is_new,
        CASE WHEN event_type IN ('view', 'signup') THEN NULL
@@ -107,49 +108,58 @@ SELECT seq, event_type, k, mid, ts,
 FROM f
 """
 
-LOG_DIRTY = "SELECT event_id AS seq, '{bad' AS value FROM events WHERE event_id % 97 = 0"
+LOG_DIRTY = """
+SELECT event_id AS seq,
+       CASE (event_id // 97) % 6 WHEN 0 THEN '{bad' WHEN 1 THEN '[1]' WHEN 2 THEN '"x"' WHEN 3 THEN ''
+            WHEN 4 THEN '{"a":1}' ELSE '{"common":{"mid":"mid_1","is_new":"1"}}' END AS value
+FROM events WHERE event_id % 97 = 0
+"""
+_EXTRA = "k AS extra_k, event_type AS extra_tag"
 
 LOG_ERROR = f"""
 WITH c AS ({_CLEAN_LOG})
-SELECT seq, mid, is_new, event_type AS page_id, k AS error_code,
-       'error ' || CAST(k AS VARCHAR) AS msg, ts
+SELECT seq, mid, is_new, ba, event_type AS page_id,
+       CASE WHEN k % 5 = 0 THEN 'E' ELSE '' END || CAST(k AS VARCHAR) AS error_code,
+       'error ' || CAST(k AS VARCHAR) AS msg, ts, {_EXTRA}
 FROM c WHERE event_type = 'error'
 """
 
 LOG_START = f"""
 WITH c AS ({_CLEAN_LOG})
-SELECT seq, mid, is_new, 'icon' AS entry, k AS loading_time, ts
+SELECT seq, mid, is_new, ba, 'icon' AS entry, k AS loading_time, ts, {_EXTRA}
 FROM c WHERE event_type = 'signup'
 """
 
 LOG_DISPLAY = f"""
 WITH c AS ({_CLEAN_LOG}),
 x AS (
-  SELECT seq, mid, is_new, event_type AS page_id, ts, unnest(range(1, k % 4 + 1)) AS i
+  SELECT seq, mid, is_new, ba, event_type AS page_id, ts, unnest(range(1, k % 4 + 1)) AS i
   FROM c WHERE event_type = 'view' AND k % 4 > 0
 )
-SELECT seq, mid, is_new, page_id, ts, 'sku_' || CAST(i AS VARCHAR) AS item,
-       'sku_id' AS item_type, i AS display_order
+SELECT seq, mid, is_new, ba, page_id, ts, 'sku_' || CAST(i AS VARCHAR) AS item,
+       'sku_id' AS item_type, i AS display_order, i * 10 AS pos_id
 FROM x
 """
 
 LOG_ACTION = f"""
 WITH c AS ({_CLEAN_LOG}),
 x AS (
-  SELECT seq, mid, is_new, event_type AS page_id, ts, unnest(range(1, k % 3 + 1)) AS i
+  SELECT seq, mid, is_new, ba, event_type AS page_id, ts, unnest(range(1, k % 3 + 1)) AS i
   FROM c WHERE event_type = 'click' AND k % 3 > 0
 )
-SELECT seq, mid, is_new, page_id, 'act_' || CAST(i AS VARCHAR) AS action_id,
-       'sku_' || CAST(i AS VARCHAR) AS item, ts + i AS action_ts
+SELECT seq, mid, is_new, ba, page_id, 'act_' || CAST(i AS VARCHAR) AS action_id,
+       'sku_' || CAST(i AS VARCHAR) AS item, ts + i AS action_ts, i AS action_extra
 FROM x
 """
 
 LOG_PAGE = f"""
 WITH c AS ({_CLEAN_LOG})
-SELECT seq, mid, is_new, event_type AS page_id, last_page_id, k * 100 AS during_time, ts
+SELECT seq, mid, is_new, ba, event_type AS page_id, last_page_id, k * 100 AS during_time,
+       'item_' || CAST(k AS VARCHAR) AS page_item, ts, {_EXTRA}
 FROM c WHERE event_type <> 'signup'
 """
 
+
 def _money(c: str) -> str:
     return f"CAST(CAST({c} AS DECIMAL(16,2)) AS VARCHAR)"
 
@@ -166,10 +176,10 @@ SELECT (9895604649984 + s_suppkey), 'supplier', 'insert', '1700000000', 4 FROM s
 UNION ALL
 SELECT (10995116277760 + p_partkey), 'part', 'insert', '1700000000', 6 FROM part
 UNION ALL
-SELECT (13194139533312 + c_custkey), 'customer', 'update', '1700000100', 2
+SELECT (1099511627776 + c_custkey), 'customer', 'update', '1700000100', 2
 FROM customer WHERE c_acctbal < 0
 UNION ALL
-SELECT (14293651161088 + s_suppkey), 'supplier', 'delete', '1700000200', 4
+SELECT (2199023255552 + s_suppkey), 'supplier', 'delete', '1700000200', 4
 FROM supplier WHERE s_acctbal < 0
 UNION ALL
 SELECT (15393162788864 + o_orderkey), 'orders', 'insert', '1700000000', 2 FROM orders
@@ -260,10 +270,9 @@ SELECT * EXCLUDE (rn) FROM (
 
 def _demo_join(how: str) -> str:
     return f"""
-SELECT e.o_orderkey AS empno, e.o_orderpriority AS ename, e.o_custkey AS deptno,
+SELECT e.o_orderkey AS empno, e.o_orderpriority AS ename, e.o_custkey * 2 AS deptno,
        d.c_name AS dname
-FROM orders e {how.upper()} JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'AUTOMOBILE') d
-  ON e.o_custkey = d.c_custkey
+FROM orders e {how.upper()} JOIN customer d ON e.o_custkey * 2 = d.c_custkey
 """
 
 
@@ -306,7 +315,7 @@ _DIM_ROWS = """
            || '|' || c_name AS kept_values
   FROM customer
   UNION ALL
-  SELECT 13194139533312 + c_custkey, 'customer', 'update', 'dim_customer',
+  SELECT 1099511627776 + c_custkey, 'customer', 'update', 'dim_customer',
          CAST(c_custkey AS VARCHAR), 'c_acctbal,c_custkey', '0.00|' || CAST(c_custkey AS VARCHAR)
   FROM customer WHERE c_acctbal < 0
   UNION ALL
@@ -315,7 +324,7 @@ _DIM_ROWS = """
          s_name || '|' || CAST(s_nationkey AS VARCHAR) || '|' || CAST(s_suppkey AS VARCHAR)
   FROM supplier
   UNION ALL
-  SELECT 14293651161088 + s_suppkey, 'supplier', 'delete', 'dim_supplier',
+  SELECT 2199023255552 + s_suppkey, 'supplier', 'delete', 'dim_supplier',
          CAST(s_suppkey AS VARCHAR), 's_name,s_nationkey,s_suppkey',
          s_name || '|' || CAST(s_nationkey AS VARCHAR) || '|' || CAST(s_suppkey AS VARCHAR)
   FROM supplier WHERE s_acctbal < 0
@@ -364,7 +373,8 @@ ORACLE: dict[str, str] = {
     "log_display": LOG_DISPLAY,
     "log_action": LOG_ACTION,
     "log_page": LOG_PAGE,
-    "user_jump": USER_JUMP,
+    "user_jump": _user_jump(JUMP_LOG),
+    "user_jump_sparse": _user_jump(PAGE_LOG),
     "unique_visitor_day": _unique_visitor("day"),
     "unique_visitor_second": _unique_visitor("second"),
     "fix_is_new_day": _fix_is_new("day"),

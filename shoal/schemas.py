@@ -1,8 +1,6 @@
-"""Record shapes of the two input topics and of the configuration table.
+"""Record shapes of the page log, the change topic and the configuration table.
 
-Fields inside ``page``, ``start``, ``err``, ``displays[]`` and ``actions[]``
-beyond those the jobs read are examples; pass a wider schema to the readers
-to keep more of them.
+App log records are open objects and have no schema here (see ``operators.logs``).
 """
 
 from __future__ import annotations
@@ -20,24 +18,6 @@ PAGE = T.StructType([
     T.StructField("page_id", S), T.StructField("last_page_id", S),
     T.StructField("during_time", L),
 ])
-START = T.StructType([T.StructField("entry", S), T.StructField("loading_time", L)])
-ERR = T.StructType([T.StructField("error_code", L), T.StructField("msg", S)])
-DISPLAY = T.StructType([
-    T.StructField("item", S), T.StructField("item_type", S), T.StructField("order", L),
-])
-ACTION = T.StructType([
-    T.StructField("action_id", S), T.StructField("item", S), T.StructField("ts", L),
-])
-
-# an app log record as it arrives on the log topic
-RAW_LOG = T.StructType([
-    T.StructField("common", COMMON), T.StructField("page", PAGE),
-    T.StructField("start", START), T.StructField("err", ERR),
-    T.StructField("displays", T.ArrayType(DISPLAY)),
-    T.StructField("actions", T.ArrayType(ACTION)),
-    T.StructField("ts", L),
-])
-
 # a page log record after the split: no err, displays, actions
 PAGE_LOG = T.StructType([
     T.StructField("common", COMMON), T.StructField("page", PAGE), T.StructField("ts", L),

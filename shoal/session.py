@@ -1,18 +1,32 @@
 """Spark session settings and the shared checkpoint folder.
 
-The settings here are the ones the jobs rely on at any scale: adaptive query
-execution (runtime partition coalescing and skew-join splitting), UTC session
-time, and the RocksDB state store that ``transformWithState`` requires.
+``job_session`` is for jobs under a launcher: it sets only what right results
+need (UTC session time, the RocksDB state store of ``transformWithState``) and,
+where the launcher says nothing, adaptive execution; master, memory, shuffle
+partitions and all else are the launcher's. ``build_session`` is for tests, the
+bench and local runs, and sets all of it.
 """
 
 from __future__ import annotations
 
-import os
+import posixpath
 import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job expects. Cluster launchers may override any of them.
+# Settings without which results would differ or jobs not start.
+REQUIRED_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+# Set by a job only where the launcher has not set them.
+ADVISED_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+# Settings of local sessions.
 BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -42,14 +56,29 @@ def build_session(master: str = "local[8]", app: str = "shoal",
     return spark
 
 
+def job_session(app: str = "shoal") -> SparkSession:
+    """The launcher's session, with the settings the jobs need."""
+    spark = SparkSession.builder.appName(app).getOrCreate()
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    for k, v in REQUIRED_CONF.items():
+        spark.conf.set(k, v)
+    for k, v in ADVISED_CONF.items():
+        if k not in given:
+            spark.conf.set(k, v)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and lineage cuts.
+    """The shared folder for checkpoints and lineage cuts, from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset, as in unit tests, a scratch folder is created and registered.
+    Only a local session (tests, the bench), where all tasks see the driver's
+    disk, gets a scratch folder when it is unset; elsewhere that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local[") and master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="shoal-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
@@ -60,7 +89,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    return posixpath.join(checkpoint_dir(spark), name)
 
 
 def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 128 << 20,

@@ -52,30 +52,63 @@ def _start(writer):
 def write_routed_files(routed: DataFrame, path: str, checkpoint: str | None = None,
                        trigger: dict | None = None):
     """``route, value`` rows -> text files under ``path/route=<name>/``.
-    Batch frames are appended; streams use the exactly-once file sink."""
+    A batch frame replaces what is there; streams use the exactly-once file sink."""
+    routed = routed.select("route", "value")
     if routed.isStreaming:
         w = (routed.writeStream.format("text").partitionBy("route").option("path", path)
              .option("checkpointLocation", checkpoint))
         if trigger:
             w = w.trigger(**trigger)
         return w.start()
-    routed.write.mode("append").partitionBy("route").text(path)
+    routed.write.mode("overwrite").partitionBy("route").text(path)
     return None
 
 
-def write_dim_changes(routed: DataFrame, path: str) -> None:
-    """Append routed dimension rows as ``(sink_table, pk, column, value,
-    seq)`` entries, partitioned by ``sink_table``. The current table is
-    ``dims.dim_upsert`` over all entries (see ``read_dim_state``)."""
-    entries = routed.where(F.col("pk").isNotNull()).select(
-        "sink_table", "pk", "seq", F.explode("data").alias("column", "value"))
-    entries.write.mode("append").partitionBy("sink_table").parquet(path)
+ENTRIES = "sink_table string, pk string, column string, value string, ts long, seq long"
+
+
+def write_dim_batch(routed: DataFrame, path: str, batch_id: int) -> None:
+    """The entries of one batch of routed rows, under ``path/entries/batch=<id>/``,
+    by ``sink_table``. Writing a batch again replaces it."""
+    from shoal.operators.dims import dim_entries
+    dim_entries(routed).write.mode("overwrite").partitionBy("sink_table") \
+        .parquet(f"{path}/entries/batch={batch_id}")
+
+
+def _ids(spark, folder: str, name: str) -> list[int]:
+    """Numbers of the whole sub-folders ``name=<id>`` (those that Spark finished)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return []
+    found = [s.getPath() for s in fs.listStatus(root)]
+    return sorted(int(p.getName().split("=")[1]) for p in found if p.getName().startswith(f"{name}=")
+                  and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def read_dim_entries(spark, path: str) -> DataFrame:
+    """The last snapshot's entries and those of the batches after it."""
+    done = _ids(spark, f"{path}/snapshots", "upto")[-1:]
+    after = [i for i in _ids(spark, f"{path}/entries", "batch") if not done or i > done[0]]
+    folders = [f"{path}/snapshots/upto={i}" for i in done] + [f"{path}/entries/batch={i}" for i in after]
+    out = spark.createDataFrame([], ENTRIES)
+    for folder in folders:
+        out = out.unionByName(spark.read.schema(ENTRIES).parquet(folder))
+    return out
+
+
+def write_dim_snapshot(spark, path: str, batch_id: int) -> None:
+    """The newest entry of each key and column up to a batch."""
+    from shoal.operators.dims import newest_entries
+    newest_entries(read_dim_entries(spark, path)).write.mode("overwrite").partitionBy("sink_table") \
+        .parquet(f"{path}/snapshots/upto={batch_id}")
 
 
 def read_dim_state(spark, path: str, sink_table: str | None = None) -> DataFrame:
     """Current state of the dimension tables from their entries."""
     from shoal.operators.dims import state_from_entries
-    e = spark.read.parquet(path)
+    e = read_dim_entries(spark, path)
     if sink_table:
         e = e.where(F.col("sink_table") == sink_table)  # partition pruning
     return state_from_entries(e)

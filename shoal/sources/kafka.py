@@ -34,8 +34,8 @@ def _load(reader):
 def read_kafka_text(spark: SparkSession, servers: str, topic: str,
                     starting_offsets: str = "earliest", **options) -> DataFrame:
     """Topic -> ``seq, value`` text. Records without a value (tombstones)
-    are dropped. ``seq`` orders records of one partition
-    (partition * 2^40 + offset)."""
+    are dropped. ``seq`` (partition * 2^40 + offset) orders records of one
+    partition only: what must stay in order shares a key."""
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers).option("subscribe", topic)
               .option("startingOffsets", starting_offsets))
@@ -60,11 +60,13 @@ def read_change_log(spark: SparkSession, servers: str, topic: str = "topic_db",
     return parse_change_log(read_kafka_text(spark, servers, topic, starting_offsets, **options))
 
 
-def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None
-                     ) -> DataFrame:
+def read_text_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                     **options) -> DataFrame:
     """The file form of a topic: JSON lines ``{"seq": n, "value": "<text>"}``
     dropped into ``path`` give the same ``seq, value`` stream."""
     reader = spark.readStream.schema("seq long, value string").format("json")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    for k, v in options.items():
+        reader = reader.option(k, v)
     return reader.load(path).where(F.col("value").isNotNull())

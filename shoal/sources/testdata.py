@@ -13,9 +13,12 @@ Rules (fixed values; the SQL oracle repeats them):
   ``''`` for click and ``'home'`` otherwise; ``ts`` = epoch ms.
 * jump clock: ``ts = 1704067200000 + (epoch_ms - 1704067200000) div 4000``
   so that gaps between a device's events are near ten seconds.
-* raw log text from ``events``: ``err`` on error events, ``start`` (and no
-  ``page``) on signup, ``k % 4`` displays on view (empty list when 0),
-  ``k % 3`` actions on click (no list when 0); text ``{bad`` where
+* raw log text from ``events``: ``err`` on error events (its code a number, or
+  the text ``E<k>`` where ``k % 5 = 0``), ``start`` (and no ``page``) on signup,
+  ``k % 4`` displays on view (an empty object instead of a list when 0),
+  ``k % 3`` actions on click (no list when 0); fields at every level that no
+  job names (``common.ba``, ``page.item``, ``displays[].pos_id``,
+  ``actions[].extra``, ``extra``); dirty texts of six kinds where
   ``event_id % 97 = 0``.
 * change log from ``lineitem``, ``orders``, ``customer``, ``supplier``,
   ``part``: see ``change_log``.
@@ -34,7 +37,8 @@ from shoal.operators.sequence import neighbour
 JUMP_EPOCH_MS = 1704067200000
 JUMP_COMPRESSION = 4000
 DIRTY_EVERY = 97
-DIRTY_TEXT = "{bad"
+# by turns: broken text, an array, a scalar, no text, no ``common``, no ``ts``
+DIRTY_TEXTS = ("{bad", "[1]", '"x"', "", '{"a":1}', '{"common":{"mid":"mid_1","is_new":"1"}}')
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -45,16 +49,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """At least ``min_partitions`` input partitions (default: the cluster's
-    default parallelism), like a topic source's ``minPartitions``.
-
-    A small file with one row group is read by one task; the record
-    building that follows is per-row work, so it is spread out first. Large
-    inputs already have enough partitions and are returned unchanged.
-    """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt over ``spark.sql.shuffle.partitions`` partitions by ``keys``, as
+    a keyed topic deals its records. The generated tables are single files, and
+    building records is per-row work."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
 
 
 def _epoch_ms(ts: Column) -> Column:
@@ -103,31 +103,36 @@ def raw_log_text(events: DataFrame) -> DataFrame:
     k = _k()
     et = F.col("event_type")
     ms = _epoch_ms(F.col("ts"))
+    no = F.lit(None).cast("variant")
+    common = _common().withField("ba", F.concat(F.lit("b"), (F.col("user_id") % 7).cast("string")))
     page = F.when(et != "signup", F.struct(
         et.alias("page_id"), _last_page_id().alias("last_page_id"),
-        (k * 100).alias("during_time")))
+        (k * 100).alias("during_time"), F.concat(F.lit("item_"), k.cast("string")).alias("item")))
     start = F.when(et == "signup", F.struct(F.lit("icon").alias("entry"),
                                             k.alias("loading_time")))
-    err = F.when(et == "error", F.struct(k.alias("error_code"),
+    code = F.when(k % 5 == 0, F.concat(F.lit("E"), k.cast("string")).cast("variant")).otherwise(k.cast("variant"))
+    err = F.when(et == "error", F.struct(code.alias("error_code"),
                                          F.concat(F.lit("error "), k.cast("string")).alias("msg")))
     n_disp = k % 4
-    displays = F.when(et == "view", F.when(n_disp > 0, F.transform(
-        F.sequence(F.lit(1).cast("long"), n_disp),
+    listed = F.transform(
+        F.sequence(F.lit(1).cast("long"), F.greatest(n_disp, F.lit(1))),
         lambda i: F.struct(F.concat(F.lit("sku_"), i.cast("string")).alias("item"),
-                           F.lit("sku_id").alias("item_type"), i.alias("order"))))
-        .otherwise(F.array().cast("array<struct<item:string,item_type:string,order:bigint>>")))
+                           F.lit("sku_id").alias("item_type"), i.alias("order"), (i * 10).alias("pos_id")))
+    displays = F.when(et == "view", F.when(n_disp > 0, F.to_variant_object(listed))
+                      .otherwise(F.parse_json(F.lit("{}")))).otherwise(no)
     n_act = k % 3
     actions = F.when((et == "click") & (n_act > 0), F.transform(
         F.sequence(F.lit(1).cast("long"), n_act),
         lambda i: F.struct(F.concat(F.lit("act_"), i.cast("string")).alias("action_id"),
                            F.concat(F.lit("sku_"), i.cast("string")).alias("item"),
-                           (ms + i).alias("ts"))))
-    record = F.struct(_common().alias("common"), page.alias("page"), start.alias("start"),
+                           (ms + i).alias("ts"), F.struct(i.alias("n")).alias("extra"))))
+    record = F.struct(common.alias("common"), page.alias("page"), start.alias("start"),
                       err.alias("err"), displays.alias("displays"), actions.alias("actions"),
-                      ms.alias("ts"))
-    value = F.when(F.col("event_id") % DIRTY_EVERY == 0, F.lit(DIRTY_TEXT)) \
-        .otherwise(F.to_json(record))
-    return spread(events).select(F.col("event_id").alias("seq"), value.alias("value"))
+                      ms.alias("ts"), F.struct(k.alias("k"), F.array(F.lit("a"), et).alias("tags")).alias("extra"))
+    turn = F.pmod(F.floor(F.col("event_id") / DIRTY_EVERY), F.lit(len(DIRTY_TEXTS))).cast("int")
+    dirty = F.array(*[F.lit(t) for t in DIRTY_TEXTS])[turn]
+    value = F.when(F.col("event_id") % DIRTY_EVERY == 0, dirty).otherwise(F.to_json(record))
+    return spread(events, "event_id").select(F.col("event_id").alias("seq"), value.alias("value"))
 
 
 # ---------------------------------------------------------------- change log
@@ -173,7 +178,8 @@ def _kv(**cols) -> Column:
 def _no_map() -> Column:
     return F.lit(None).cast("map<string,string>")
 
-# sequence ranges per change-log part, so that seq is unique over the union
+# sequence ranges of the change-log parts, in the order in which they arrive (rows of
+# lineitem that share order and line numbers share a number)
 SEQ_PART = 1 << 40
 
 
@@ -276,7 +282,11 @@ def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
       ``c_custkey`` and ``c_acctbal = '0.00'`` (a partial record);
     * suppliers with a negative balance deleted (still an upsert downstream);
     * orders inserted (no configuration: dropped);
-    * one ``bootstrap-start`` and one ``bootstrap-complete`` record.
+    * one ``bootstrap-start`` and one ``bootstrap-complete`` record for each region;
+    * for each nation a record without ``data`` and one without ``type``.
+
+    A key's later record has a lower ``seq`` than its first one, as if it had come
+    through a lower-numbered topic partition: only ``ts`` tells which is newer.
     """
     parts = []
     for code, (name, (pk, cols)) in enumerate(DIM_SOURCES.items()):
@@ -289,12 +299,12 @@ def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts.append(cust.select(*_envelope(
         "customer", F.lit("update"), F.lit("1700000100"),
         _kv(c_custkey=_s("c_custkey"), c_acctbal=F.lit("0.00")),
-        _kv(c_acctbal=_money("c_acctbal")), F.lit(12 * SEQ_PART) + F.col("c_custkey"))))
+        _kv(c_acctbal=_money("c_acctbal")), F.lit(SEQ_PART) + F.col("c_custkey"))))
     supp = table(spark, sf_dir, "supplier").where(F.col("s_acctbal") < 0)
     parts.append(supp.select(*_envelope(
         "supplier", F.lit("delete"), F.lit("1700000200"),
         _kv(**{c: _dim_value(supp, c) for c in DIM_SOURCES["supplier"][1]}), _no_map(),
-        F.lit(13 * SEQ_PART) + F.col("s_suppkey"))))
+        F.lit(2 * SEQ_PART) + F.col("s_suppkey"))))
     orders = table(spark, sf_dir, "orders")
     parts.append(orders.select(*_envelope(
         "orders", F.lit("insert"), F.lit("1700000000"),
@@ -307,15 +317,30 @@ def dim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
             "customer", F.lit(kind), F.lit("1699999999"),
             F.create_map().cast("map<string,string>"), _no_map(),
             F.lit((15 + i) * SEQ_PART) + F.col("r_regionkey"))))
+    nation = table(spark, sf_dir, "nation")
+    parts.append(nation.select(*_envelope("customer", F.lit("insert"), F.lit("1700000300"), _no_map(),
+                                          _no_map(), F.lit(17 * SEQ_PART) + F.col("n_nationkey"))))
+    parts.append(nation.select(*_envelope("customer", F.lit(None).cast("string"), F.lit("1700000300"),
+                                          _kv(c_custkey=_s("n_nationkey")), _no_map(),
+                                          F.lit(18 * SEQ_PART) + F.col("n_nationkey"))))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def dim_change_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records as topic text, and a broken text for each region."""
+    text = dim_changes(spark, sf_dir).select(
+        "seq", F.to_json(F.struct("database", "table", "type", "ts", "data", "old")).alias("value"))
+    broken = table(spark, sf_dir, "region").select(
+        (F.lit(19 * SEQ_PART) + F.col("r_regionkey")).alias("seq"), F.lit('{"table": "customer", "data"').alias("value"))
+    return text.unionByName(broken)
+
+
 def order_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change topic as the order and cart jobs see it."""
-    li = spread(table(spark, sf_dir, "lineitem"))
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     return (order_detail_changes(li)
             .unionByName(order_info_changes(table(spark, sf_dir, "orders"),
                                             table(spark, sf_dir, "customer")))

@@ -14,30 +14,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoal.operators import cdc, logs
-from shoal.operators.joins import order_wide_join
-from shoal.schemas import RAW_LOG
 from shoal.streaming.stateful import FIX_OUT, FixIsNewProcessor
 
 
 def log_split_stream(raw: DataFrame, granularity: str = "day") -> DataFrame:
-    """Log text stream -> ``route, value`` rows for the six topics (dirty,
+    """Log text stream -> ``route, mid, value`` rows for the six topics (dirty,
     error, start, display, action, page), with the new-visitor flag
-    repaired by keyed state on the device id."""
+    repaired by keyed state on the device id (NULL for dirty text)."""
     clean, dirty = logs.split_dirty(raw, keep_text=True)
-    # the original text travels through the state processor; only the key
-    # fields are read from the parse here
-    keyed = clean.select(F.col("common.mid").alias("mid"), "seq", "ts",
-                         F.col("common.is_new").alias("is_new"),
-                         F.col("page.last_page_id").alias("last_page_id"), "value")
-    fixed = keyed.groupBy("mid").transformWithState(
+    # the original text travels through the state processor; only the control
+    # columns are read from the parse here
+    fixed = clean.select("mid", "seq", "ts", "is_new", "last_page_id", "value").groupBy("mid").transformWithState(
         FixIsNewProcessor(granularity), FIX_OUT, "Append", "None")
-    rec = F.from_json("value", RAW_LOG)
-    parsed = fixed.select("seq", rec.alias("r"), "is_new").select(
-        "seq", *[F.col(f"r.{f.name}").alias(f.name) for f in RAW_LOG.fields], "is_new")
-    parsed = parsed.withColumn("common", F.col("common").withField("is_new", F.col("is_new"))) \
-        .drop("is_new")
-    return logs.route_log(parsed.drop("seq")).unionByName(
-        dirty.select(F.lit("dirty").alias("route"), "value"))
+    again = logs.parse_log(fixed.select(F.col("is_new").alias("flag"), "value"))
+    routed = logs.route_log(again.withColumn("is_new", F.col("flag")))
+    return routed.unionByName(dirty.select(F.lit("dirty").alias("route"), F.lit(None).cast("string").alias("mid"), "value"))
 
 
 def event_time(df: DataFrame, seconds_col: str = "ts", name: str = "event_time",
@@ -74,22 +65,25 @@ def cart_add_batch(changes: DataFrame, dic: DataFrame) -> DataFrame:
     return cdc.cart_add(cdc.filter_change_envelope(changes), dic)
 
 
-def order_wide_batch(changes: DataFrame, dic: DataFrame) -> DataFrame:
-    return order_wide_join(cdc.filter_change_envelope(changes), dic)
+# The branches of the order job are filters of one topic: the time that any of
+# them has reached is the time all have reached, and with the least of them a
+# change table that is silent would hold every row back for ever.
+ORDER_STREAM_CONF = {"spark.sql.streaming.multipleWatermarkPolicy": "max"}
 
 
-def order_wide_stream(changes: DataFrame, dic: DataFrame, bound: str = "5 seconds",
-                      delay: str = "5 seconds") -> DataFrame:
-    """The order wide table on a change stream: detail ⋈ order ⟕ activity
-    ⟕ coupon as stream-stream joins, each side with an event time from its
-    ``ts`` (seconds) and a watermark, rows matching only within ``bound`` of
-    the detail (this is what bounds the join state, as an idle-state
-    retention does), then the dictionary as a stream-static lookup.
+def order_joined_stream(changes: DataFrame, bound: str = "5 seconds", delay: str = "5 seconds") -> DataFrame:
+    """Details of a change stream joined with their order and, where there are
+    any, activity and coupon rows: detail ⋈ order ⟕ activity ⟕ coupon as
+    stream-stream joins, each side with an event time from its ``ts`` (seconds)
+    and a watermark, rows matching only within ``bound`` of the detail (this is
+    what bounds the join state, as an idle-state retention does).
+
     Append mode: a left-joined detail is emitted once, after the watermark
-    has passed its bound, with or without its activity / coupon."""
-    from shoal.functions import format_text_time
-    from shoal.operators.joins import (WIDE_COLUMNS, activity_rows, coupon_rows, lookup_join,
-                                       order_detail_rows, order_info_rows)
+    has passed its bound, with or without its activity / coupon. Start it with
+    ``ORDER_STREAM_CONF`` set: time then advances with the branch that is furthest
+    on, and a row more than ``delay`` behind it is late and may be dropped, as may
+    an order record more than ``bound`` after its detail."""
+    from shoal.operators.joins import activity_rows, coupon_rows, order_detail_rows, order_info_rows
     kept = cdc.filter_change_envelope(changes)
     od = event_time(order_detail_rows(kept), "od_ts", "od_time", delay)
     oi = event_time(order_info_rows(kept), "oi_ts", "oi_time", delay)
@@ -98,31 +92,50 @@ def order_wide_stream(changes: DataFrame, dic: DataFrame, bound: str = "5 second
     j = stream_join(od, oi, "order_id", "oi_id", "inner", "od_time", "oi_time", bound)
     j = stream_join(j, act, "id", "act_detail_id", "left", "od_time", "act_time", bound)
     j = stream_join(j, cou, "id", "cou_detail_id", "left", "od_time", "cou_time", bound)
-    names = dic.select(F.col("dic_code"), F.col("dic_name").alias("source_type_name"))
-    j = lookup_join(j, names, "source_type", "dic_code")
-    cols = {
-        "date_id": format_text_time("create_time", "yyyy-MM-dd"),
-        "operate_date_id": format_text_time("operate_time", "yyyy-MM-dd"),
-        "row_op_ts": F.current_timestamp(),
-    }
-    return j.select(*[cols.get(c, F.col(c)).alias(c) for c in WIDE_COLUMNS])
-
-
-def dim_sink_batch(config: Callable[[], DataFrame], path: str):
-    """``foreachBatch`` body of the dimension job: each micro-batch is routed
-    with the configuration current when the batch runs (``config`` re-reads
-    it), and its dimension entries are written under
-    ``path/sink_table=<t>/batch=<id>/``. A replayed batch id overwrites its own
-    folder only, so a restart after a failure writes each batch once."""
-    from shoal.operators.dims import route_dimensions
+    return j.drop("od_time", "oi_time", "act_time", "cou_time")
+
+
+def order_wide_batch(joined: DataFrame, dic: DataFrame) -> DataFrame:
+    """Wide rows of a micro-batch of joined details, the dictionary as of that batch."""
+    from shoal.operators.joins import with_dictionary
+    return with_dictionary(joined, dic)
+
+
+def order_detail_batch(joined: DataFrame, dic: DataFrame) -> DataFrame:
+    """Order-placed details of a micro-batch."""
+    from shoal.operators.joins import order_placed
+    return order_placed(order_wide_batch(joined, dic))
+
+
+def dim_sink_batch(config: Callable[[], DataFrame], path: str, database: str | None = None,
+                   tables: str | None = None, snapshot_every: int = 20):
+    """``foreachBatch`` body of the dimension job.
+
+    Each micro-batch is routed with the configuration current when the batch
+    runs (``config`` re-reads it), and its entries are written under
+    ``path/entries/batch=<id>/``. A replayed batch id overwrites its own folder only,
+    so a restart after a failure writes each batch once. Every ``snapshot_every``
+    batches the newest entry of each key and column is written to
+    ``path/snapshots/upto=<id>/``; a read starts from the last whole snapshot, so it
+    doesn't grow with the history. With ``database`` the configured tables are
+    created (under ``tables``) when their configuration arrives, and filled at
+    each snapshot and when a table is new."""
+    from shoal.operators import dims
+    from shoal.sinks.writers import read_dim_state, write_dim_batch, write_dim_snapshot
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        routed = route_dimensions(batch, config())
-        entries = routed.where(F.col("pk").isNotNull()).select(
-            "sink_table", "pk", "seq", F.explode("data").alias("column", "value"))
-        (entries.withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("sink_table", "batch").parquet(path))
+        spark = batch.sparkSession
+        current = config()
+        write_dim_batch(dims.route_dimensions(batch, current), path, batch_id)
+        due = batch_id % snapshot_every == snapshot_every - 1
+        if due:
+            write_dim_snapshot(spark, path, batch_id)
+        if database:
+            before = {r[0] for r in spark.sql(f"SHOW TABLES IN `{database}`").select("tableName").toLocalIterator()} \
+                if spark.catalog.databaseExists(database) else set()
+            names = dims.ensure_dim_tables(spark, current, database, tables)
+            if due or any(n.split(".")[1] not in before for n in names):
+                dims.fill_dim_tables(spark, read_dim_state(spark, path), current, database)
     return run
 
 

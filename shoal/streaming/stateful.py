@@ -3,8 +3,13 @@
 Each processor keeps one small value per device (``mid``); rows of a
 micro-batch are handled in arrival order (``seq``) or event-time order
 (``ts``, ``seq``). Timestamps are kept as epoch-ms longs in state. The
-record itself travels as JSON text (``value``) and is parsed again
-downstream with ``from_json`` on the JVM side.
+record itself travels as its text (``value``) and is parsed again downstream, on
+the JVM side.
+
+A device's rows of one micro-batch are sorted in memory; the readers' limit per
+trigger (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``) bounds them, also when a
+new query starts from the whole backlog. Rows have a device and a time
+(``operators.logs.is_clean``).
 
 Input columns: ``mid, seq, ts, is_new, last_page_id, value``.
 """
@@ -18,7 +23,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from shoal.operators.visitors import JUMP_WITHIN_MS, MATCH, TIMEOUT
+from shoal.operators.visitors import JUMP_WITHIN_MS, MATCH, TIMEOUT, control
 
 DAY_MS = 86_400_000
 _PATTERNS = {"day": "%Y-%m-%d", "second": "%Y-%m-%d %H:%M:%S"}
@@ -144,9 +149,8 @@ def _record_text(log: DataFrame, *fields: str):
 
 def keyed_input(log: DataFrame) -> DataFrame:
     """Parsed log records -> the processors' input columns (record as text)."""
-    return log.select(F.col("common.mid").alias("mid"), "seq", "ts",
-                      F.col("common.is_new").alias("is_new"),
-                      F.col("page.last_page_id").alias("last_page_id"),
+    log = log.where(control(log, "mid").isNotNull() & F.col("ts").isNotNull())
+    return log.select("seq", "ts", *[control(log, c).alias(c) for c in ("mid", "is_new", "last_page_id")],
                       _record_text(log).alias("value"))
 
 
@@ -167,9 +171,8 @@ def user_jump_stream(log: DataFrame, within_ms: int = JUMP_WITHIN_MS,
     records older than the watermark are dropped, as the pattern operator
     drops late records."""
     timed = log.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", delay)
-    src = timed.select(F.col("common.mid").alias("mid"), "seq", "ts", "event_time",
-                       F.col("common.is_new").alias("is_new"),
-                       F.col("page.last_page_id").alias("last_page_id"),
+    timed = timed.where(control(log, "mid").isNotNull() & F.col("ts").isNotNull())
+    src = timed.select("seq", "ts", "event_time", *[control(log, c).alias(c) for c in ("mid", "is_new", "last_page_id")],
                        _record_text(timed, "common", "page", "ts").alias("value"))
     return src.groupBy("mid").transformWithState(
         UserJumpProcessor(within_ms), JUMP_OUT, "Append", "EventTime")

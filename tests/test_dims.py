@@ -18,6 +18,39 @@ def test_latest_config_update_and_delete(spark):
     assert list(cfg) == ["t1"] and cfg["t1"]["sink_columns"] == "id,a,b"
 
 
+def test_latest_config_of_equal_times(spark):
+    a1, a2 = ("t", "dim_t", "id,a", "id", None), ("t", "dim_t", "id,b", "id", None)
+    for rows in ([(None, a1, "u", 5), (None, a2, "u", 5)], [(None, a2, "u", 5), (None, a1, "u", 5)]):
+        assert [r["sink_columns"] for r in dims.latest_config(_cfg(spark, rows)).collect()] == ["id,b"]
+    assert dims.latest_config(_cfg(spark, [(a1, None, "d", 5), (None, a1, "u", 5)])).count() == 0
+
+
+def test_newest_by_time_across_topic_partitions(spark):
+    cfg = dims.latest_config(_cfg(spark, [(None, ("t", "dim_t", "id,a", "id", None), "r", 1)]))
+    high = 3 << 40
+    rows = [(high + 1, "db", "t", "insert", "100", {"id": "1", "a": "old"}, None),   # partition 3
+            (5, "db", "t", "update", "200", {"id": "1", "a": "new"}, None),          # partition 0
+            (6, "db", "t", "update", "200", {"id": "1", "a": "newer"}, None)]        # same second, later offset
+    state = dims.dim_upsert(dims.route_dimensions(spark.createDataFrame(rows, SCHEMA), cfg)).collect()
+    assert [r["data"]["a"] for r in state] == ["newer"]
+
+
+def test_fill_dim_tables(spark, tmp_path):
+    one = dims.latest_config(_cfg(spark, [(None, ("t", "dim_t", "id,a", "id", None), "r", 1)]))
+    rows = [(1, "db", "t", "insert", "1", {"id": "1", "a": "x", "b": "y"}, None)]
+    dims.ensure_dim_tables(spark, one, "shoal_fill", str(tmp_path))
+    state = dims.dim_upsert(dims.route_dimensions(spark.createDataFrame(rows, SCHEMA), one))
+    dims.fill_dim_tables(spark, state, one, "shoal_fill")
+    assert [tuple(r) for r in spark.table("shoal_fill.dim_t").collect()] == [("1", "x")]
+    # a column more in the configuration
+    two = dims.latest_config(_cfg(spark, [(None, ("t", "dim_t", "id,a,b", "id", None), "u", 2)]))
+    state = dims.dim_upsert(dims.route_dimensions(spark.createDataFrame(rows, SCHEMA), two), state)
+    for _ in range(2):
+        dims.ensure_dim_tables(spark, two, "shoal_fill", str(tmp_path))
+        dims.fill_dim_tables(spark, state, two, "shoal_fill")
+    assert [r.asDict() for r in spark.table("shoal_fill.dim_t").collect()] == [{"id": "1", "a": "x", "b": "y"}]
+
+
 def test_route_and_partial_upsert(spark):
     cfg = dims.latest_config(_cfg(spark, [(None, ("t", "dim_t", "id,a,b", "id", None), "r", 1)]))
     rows = [

@@ -27,14 +27,28 @@ def test_interval_join_brute_force(spark):
         assert got == want, (lo, hi)
 
 
-def test_lookup_join_broadcast_fallback(spark):
+def test_interval_join_left_and_refused_types(spark):
+    import pytest
+    l = spark.createDataFrame([(1, 1, 100), (2, 1, 900)], "lid int, k int, lt long")
+    r = spark.createDataFrame([(7, 1, 103)], "rid int, k int, rt long")
+    got = joins.interval_join(l, r, "k", "lt", "rt", -5, 5, "left").collect()
+    assert sorted((x["lid"], x["rid"]) for x in got) == [(1, 7), (2, None)]
+    for how in ("right", "full"):
+        with pytest.raises(ValueError):
+            joins.interval_join(l, r, "k", "lt", "rt", -5, 5, how)
+
+
+def test_lookup_join_leaves_the_way_to_spark(spark):
     facts = spark.createDataFrame([(1, "O"), (2, "F"), (3, "O")], "id int, code string")
     dic = spark.createDataFrame([("O", "open")], "dic_code string, dic_name string")
-    a = joins.lookup_join(facts, dic, "code", "dic_code")
-    b = joins.lookup_join(facts, dic, "code", "dic_code", max_broadcast_rows=0)
-    assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString() \
-        or "BroadcastHashJoin" in a._jdf.queryExecution().toString()
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) == [(1, "O", "open"), (3, "O", "open")]
+    got = {}
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            got[limit] = sorted(map(tuple, joins.lookup_join(facts, dic, "code", "dic_code").collect()))
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got["10m"] == got["-1"] == [(1, "O", "open"), (3, "O", "open")]
 
 
 def test_equi_joins(spark):

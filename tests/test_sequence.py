@@ -1,8 +1,15 @@
 import random
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shoal.operators.sequence import first_per_key, neighbour, plain_neighbour
+from shoal.operators.sequence import first_per_key, neighbour, next_within
+
+
+def plain_neighbour(df, key, order, values, direction, out):
+    """One window per key."""
+    shift = F.lag if direction == "prev" else F.lead
+    return df.withColumn(out, shift(F.struct(*values), 1).over(Window.partitionBy(key).orderBy(*order)))
 
 
 def _frame(spark, n=400, keys=5, seed=1):
@@ -36,8 +43,7 @@ def test_neighbour_by_arrival_buckets(spark):
 
 def test_first_per_key(spark):
     df = _frame(spark, seed=3)
-    got = {r["seq"]: r["f"] for r in first_per_key(df, "key", ["seq"], F.col("v"), "f",
-                                                         F.floor(F.col("seq") / 7)).collect()}
+    got = {r["seq"]: r["f"] for r in first_per_key(df, "key", ["seq"], F.col("v"), "f").collect()}
     rows = sorted(df.collect(), key=lambda r: r["seq"])
     first = {}
     for r in rows:
@@ -45,6 +51,40 @@ def test_first_per_key(spark):
     assert got == {r["seq"]: first[r["key"]] for r in rows}
 
 
+def test_next_within_reach(spark):
+    df = _frame(spark, seed=11)
+    want = {r["seq"]: r["n"] for r in plain_neighbour(df, "key", ["t", "seq"], ["t", "seq"], "next", "n").collect()}
+    for reach, width in ((1, 1), (3, 3), (4, 9), (60, 5)):
+        got = next_within(df, "key", "t", ["t", "seq"], reach, width, ["t", "seq"], "n").collect()
+        assert len(got) == len(want)
+        for r in got:
+            near = want[r["seq"]] is not None and want[r["seq"]]["t"] - r["t"] < reach
+            assert r["n"] == want[r["seq"]] if near else r["n"] is None or r["n"]["t"] - r["t"] >= reach
+
+
+def test_rows_are_shuffled_once(spark, tmp_path):
+    from shoal.operators import visitors
+    path = str(tmp_path / "log")
+    spark.range(500).selectExpr("id seq", "concat('m', id % 7) mid", "'1' is_new", "cast(null as string) last_page_id",
+                                "1704067200000 + id * 3000 ts", "cast(id as string) payload").write.parquet(path)
+    log = spark.read.parquet(path)
+
+    def final_plan(df):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            return df._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+    jump = final_plan(visitors.user_jump(log))
+    assert jump.count("Exchange hashpartitioning") == 1 and jump.count("FileScan") == 1
+    visits = final_plan(visitors.unique_visitor(log))
+    # one exchange of whole rows, used again by the edges, and one of the edge table
+    assert visits.count("ReusedExchange") == 1 and visits.count("FileScan") == 1
+    fixed = final_plan(visitors.fix_is_new(log))
+    assert sum("payload" in line for line in fixed.splitlines() if "FileScan" in line) == 1
+
+
 def test_hot_key_spreads_over_partitions(spark):
     from shoal.operators.sequence import bucketed
     n = 6000

@@ -126,7 +126,7 @@ def test_log_split_stream_equals_batch(spark, tmp):
     routed = jobs.log_split_stream(read_text_stream(spark, f"{tmp}/in", 1))
     got = sorted((r.route, r.value) for r in _run(spark, routed, "routes1", f"{tmp}/ck"))
     clean, dirty = logs.split_dirty(raw)
-    batch = logs.route_log(visitors.fix_is_new(clean).drop("seq")).unionByName(
+    batch = logs.route_log(visitors.fix_is_new(clean)).select("route", "value").unionByName(
         dirty.select(F.lit("dirty").alias("route"), "value"))
     want = sorted((r.route, r.value) for r in batch.collect())
     assert got == want
@@ -153,43 +153,118 @@ def _change(seq, table, ts, **data):
         {"database": "db", "table": table, "type": "insert", "ts": str(ts), "data": data})}
 
 
-def test_order_wide_stream_chain(spark, tmp):
-    from shoal.sources.testdata import base_dic
+def _detail(i, order, ts, sku_num="2"):
+    return _change(i, "order_detail", ts, id=f"d{i}", order_id=order, sku_id="s", sku_name="n",
+                   sku_num=sku_num, create_time="2024-01-01 00:00:00", source_type="O",
+                   source_id="x", split_total_amount="1.00", split_activity_amount="0.00",
+                   split_coupon_amount="0.00", order_price="1.50")
+
+
+def _order(i, oid, ts, type_="insert"):
+    rec = _change(i, "order_info", ts, id=oid, user_id="u", province_id="p",
+                  operate_time="2024-01-01 00:00:00", order_status="O")
+    return {"seq": rec["seq"], "value": rec["value"].replace('"insert"', f'"{type_}"')}
 
-    def detail(i, order, ts):
-        return _change(i, "order_detail", ts, id=f"d{i}", order_id=order, sku_id="s", sku_name="n",
-                       sku_num="2", create_time="2024-01-01 00:00:00", source_type="O",
-                       source_id="x", split_total_amount="1.00", split_activity_amount="0.00",
-                       split_coupon_amount="0.00", order_price="1.50")
 
-    def order(i, oid, ts):
-        return _change(i, "order_info", ts, id=oid, user_id="u", province_id="p",
-                       operate_time="2024-01-01 00:00:00", order_status="O")
+def _files(path, batches):
+    os.makedirs(path, exist_ok=True)
+    for i, rows in enumerate(batches):
+        name = f"{path}/part-{i:03d}.json"
+        with open(name, "w") as f:
+            f.write("\n".join(json.dumps(r) for r in rows) + "\n")
+        _age(name, i)
+
+
+@pytest.fixture()
+def order_conf(spark):
+    for k, v in jobs.ORDER_STREAM_CONF.items():
+        spark.conf.set(k, v)
+    yield
+    for k in jobs.ORDER_STREAM_CONF:
+        spark.conf.unset(k)
 
-    recs = [detail(1, "o1", 100), order(2, "o1", 101),
+
+def _wide_stream(spark, path, name, ckpt, **times):
+    from shoal.operators.cdc import parse_change_log
+    from shoal.sources.testdata import base_dic
+    joined = jobs.order_joined_stream(parse_change_log(read_text_stream(spark, path, 1)), **times)
+    got = []
+
+    def write(df, batch_id):
+        got.extend(df.collect())
+    body = jobs.foreach_batch_with(lambda: base_dic(spark), jobs.order_wide_batch, write)
+    q = joined.writeStream.foreachBatch(body).option("checkpointLocation", ckpt).queryName(name) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination(600)
+    return got, q.recentProgress
+
+
+def test_order_wide_stream_chain(spark, tmp, order_conf):
+    recs = [_detail(1, "o1", 100), _order(2, "o1", 101),
             _change(3, "order_detail_activity", 100, order_detail_id="d1", activity_id="a",
                     activity_rule_id="r"),
-            detail(4, "o2", 100), order(5, "o2", 102),
+            _detail(4, "o2", 100), _order(5, "o2", 102),
             _change(6, "order_detail_coupon", 103, order_detail_id="d4", coupon_id="c"),
-            detail(7, "o3", 100), order(8, "o3", 200),                 # beyond the bound
-            # late rows on every branch move all watermarks forward
-            detail(90, "oz", 1000), order(91, "oz", 1000),
-            _change(92, "order_detail_activity", 1000, order_detail_id="d90", activity_id="z",
-                    activity_rule_id="z"),
-            _change(93, "order_detail_coupon", 1000, order_detail_id="d90", coupon_id="z")]
-    os.makedirs(f"{tmp}/in")
-    with open(f"{tmp}/in/a.json", "w") as f:
-        f.write("\n".join(json.dumps(r) for r in recs) + "\n")
-    from shoal.operators.cdc import parse_change_log
-    changes = parse_change_log(read_text_stream(spark, f"{tmp}/in"))
-    out = jobs.order_wide_stream(changes, base_dic(spark))
-    rows = {r.id: r for r in _run(spark, out, "wide1", f"{tmp}/ck")}
+            _detail(7, "o3", 100), _order(8, "o3", 200)]                # beyond the bound
+    # only details and orders come later: time advances for all
+    _files(f"{tmp}/in", [recs, [_detail(90, "oz", 1000), _order(91, "oz", 1000)]])
+    rows = {r.id: r for r in _wide_stream(spark, f"{tmp}/in", "wide1", f"{tmp}/ck")[0]}
     assert rows["d1"].activity_id == "a" and rows["d1"].coupon_id is None
     assert rows["d4"].coupon_id == "c" and rows["d4"].activity_id is None
     assert rows["d4"].split_original_amount == "3.0000"
     assert "d7" not in rows
 
 
+def test_order_stream_advances_while_change_tables_are_silent(spark, tmp, order_conf):
+    batches = [[_detail(10 * i, f"o{i}", 100 + 50 * i), _order(10 * i + 1, f"o{i}", 101 + 50 * i)] for i in range(6)]
+    _files(f"{tmp}/in", batches)
+    got, progress = _wide_stream(spark, f"{tmp}/in", "silent", f"{tmp}/ck")
+    # no activity, no coupon: every detail but those the last watermark may hold back comes out
+    assert {r.id for r in got} >= {f"d{10 * i}" for i in range(5)}
+    assert all(r.activity_id is None and r.coupon_id is None for r in got)
+    state = [sum(o["numRowsTotal"] for o in p["stateOperators"]) for p in progress if p["stateOperators"]]
+    assert state[-1] < 2 * 6 and state[-1] <= max(state)
+
+
+def test_order_stream_equals_batch_within_the_bound(spark, tmp, order_conf):
+    from shoal.operators.cdc import filter_change_envelope, parse_change_log
+    from shoal.operators.joins import order_wide_join
+    from shoal.sources.testdata import base_dic
+    rows = []
+    for i in range(12):
+        t = 1000 + 20 * i
+        rows.append([_detail(10 * i, f"o{i}", t), _order(10 * i + 1, f"o{i}", t + i % 4)])
+        if i % 2:
+            rows[-1].append(_order(10 * i + 2, f"o{i}", t + 4, "update"))
+        if i % 3 == 0:
+            rows[-1].append(_change(10 * i + 3, "order_detail_activity", t + 1, order_detail_id=f"d{10 * i}", activity_id="a"))
+        if i % 4 == 0:
+            rows[-1].append(_change(10 * i + 4, "order_detail_coupon", t, order_detail_id=f"d{10 * i}", coupon_id="c"))
+    _files(f"{tmp}/in", [*rows, [_detail(9990, "end", 9000), _order(9991, "end", 9000)]])
+    stream, _ = _wide_stream(spark, f"{tmp}/in", "same", f"{tmp}/ck", bound="5 seconds", delay="30 seconds")
+    text = spark.createDataFrame([(r["seq"], r["value"]) for b in rows for r in b], "seq long, value string")
+    batch = order_wide_join(filter_change_envelope(parse_change_log(text)), base_dic(spark)).collect()
+
+    def plain(found):
+        return sorted((r.id, r.type, r.oi_ts, r.activity_id or "", r.coupon_id or "") for r in found if r.id != "d9990")
+    assert plain(stream) == plain(batch) and len(batch) == 18
+
+
+def test_dictionary_is_that_of_the_batch(spark, tmp, order_conf):
+    from shoal.operators.cdc import parse_change_log
+    _files(f"{tmp}/in", [[_detail(10 * i, f"o{i}", 100 + 50 * i), _order(10 * i + 1, f"o{i}", 100 + 50 * i)] for i in range(6)])
+    joined = jobs.order_joined_stream(parse_change_log(read_text_stream(spark, f"{tmp}/in", 1)))
+    names, got = iter(range(100)), []
+
+    def lookup():
+        return spark.createDataFrame([("O", f"name{next(names)}")], "dic_code string, dic_name string")
+
+    body = jobs.foreach_batch_with(lookup, jobs.order_wide_batch, lambda df, i: got.extend(df.collect()))
+    q = joined.writeStream.foreachBatch(body).option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start()
+    q.awaitTermination(600)
+    assert len({r.source_type_name for r in got}) > 1
+
+
 def test_dim_stream_config_changes_between_batches(spark, tmp):
     from shoal.operators.cdc import parse_change_log
     from shoal.sinks.writers import read_dim_state
@@ -232,6 +307,34 @@ def test_dim_stream_config_changes_between_batches(spark, tmp):
                      ("dim_u", "8"): {"id": "8", "c": "w"}}
 
 
+def test_dim_job_tables_and_snapshots(spark, tmp):
+    from shoal.operators.cdc import parse_change_log
+    from shoal.sinks.writers import read_dim_entries, read_dim_state
+    from shoal.sources.config import read_config
+
+    os.makedirs(f"{tmp}/cfg")
+    with open(f"{tmp}/cfg/0.json", "w") as f:
+        f.write(json.dumps({"before": None, "op": "r", "ts_ms": 1, "after": {
+            "source_table": "t", "sink_table": "dim_t", "sink_columns": "id,a", "sink_pk": "id"}}) + "\n")
+    _files(f"{tmp}/in", [[_change(10 * i + j, "t", 100 + i, id=str(j), a=f"v{i}") for j in range(3)] for i in range(7)])
+    db = "shoal_dim_job"
+    body = jobs.dim_sink_batch(lambda: read_config(spark, f"{tmp}/cfg"), f"{tmp}/dims", db, f"{tmp}/tables", snapshot_every=3)
+    q = (parse_change_log(read_text_stream(spark, f"{tmp}/in", 1)).writeStream.foreachBatch(body)
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(600)
+    assert sorted(os.listdir(f"{tmp}/dims/snapshots")) == ["upto=2", "upto=5"]
+    # three keys of two columns from the snapshot, and the batch after it: not the history
+    assert read_dim_entries(spark, f"{tmp}/dims").count() == 12
+    assert {r.pk: r.data["a"] for r in read_dim_state(spark, f"{tmp}/dims").collect()} == {str(j): "v6" for j in range(3)}
+    # the table was filled at the last snapshot
+    assert sorted(map(tuple, spark.table(f"{db}.dim_t").collect())) == [(str(j), "v5") for j in range(3)]
+    # a replayed batch changes nothing
+    body(spark.createDataFrame([(60, "db", "t", "insert", "106", {"id": "0", "a": "v6"}, None)],
+                               "seq long, database string, `table` string, type string, ts string, "
+                               "data map<string,string>, old map<string,string>"), 6)
+    assert read_dim_entries(spark, f"{tmp}/dims").count() == 8
+
+
 def test_log_routes_to_file_sink(spark, tmp):
     from shoal.sinks.writers import write_routed_files
     raw = td.raw_log_text(td.table(spark, SF, "events"))
