@@ -21,10 +21,13 @@ Results equal the plain per-key window exactly (tested down to bucket width one)
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _B = "__bucket"
 _K = "__key"
@@ -47,6 +50,14 @@ def bucketed(df: DataFrame, key: str | Sequence[str], bucket: Column) -> DataFra
         .repartition(_K, _B)
 
 
+def _reads(df: DataFrame, name: str, made: str) -> tuple[Column, Column]:
+    """An aggregate that needs the column, and a condition on it that always holds."""
+    f = df.schema[name]
+    if f.nullable or not isinstance(f.dataType, T.AtomicType):
+        return F.count(F.col(name)).alias(made), F.col(made) >= 0
+    return F.max(F.col(name)).alias(made), F.col(made).isNotNull()
+
+
 def neighbour(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str],
               bucket: Column, values: Sequence[str], direction: str, out: str) -> DataFrame:
     """Add struct column ``out`` holding ``values`` of the previous
@@ -67,15 +78,16 @@ def neighbour(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str
     rows = part.withColumn(_IN, shift(vals, 1).over(w_in))
 
     # one edge row per (key, bucket): the last row for "prev", the first for "next".
-    # A count of every other column makes this branch read what the rows' branch
+    # A count of every other column (or the greatest value, where a count wouldn't need
+    # the column, as it is never NULL) makes this branch read what the rows' branch
     # reads, so that both share one exchange.
     pick = F.max_by if direction == "prev" else F.min_by
     others = [c for c in df.columns if c not in {*order, *values, *spare}]
-    edges = part.groupBy(_K, _B).agg(pick(vals, ordkey).alias(_EDGE),
-                                     *[F.count(F.col(c)).alias(f"__n{i}") for i, c in enumerate(others)])
+    reads = [_reads(df, c, f"__n{i}") for i, c in enumerate(others)]
+    edges = part.groupBy(_K, _B).agg(pick(vals, ordkey).alias(_EDGE), *[a for a, _ in reads])
     w_b = Window.partitionBy(_K).orderBy(_B)
-    seen = F.greatest(F.lit(0), F.lit(0), *[F.col(f"__n{i}") for i in range(len(others))])
-    edges = edges.select(_K, _B, shift(F.when(seen >= 0, F.col(_EDGE)), 1).over(w_b).alias(_EDGE))
+    edge = F.when(reduce(operator.and_, [c for _, c in reads]), F.col(_EDGE)) if reads else F.col(_EDGE)
+    edges = edges.select(_K, _B, shift(edge, 1).over(w_b).alias(_EDGE))
 
     joined = rows.join(edges, on=[_K, _B], how="left")
     cells = [F.col(_K)[c].alias(c) if c in spare else F.col(c) for c in df.columns]

@@ -29,6 +29,11 @@ def query(name: str):
 
 # ------------------------------------------------------------------ visitors
 
+def _page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page log with scalar control columns."""
+    return visitors.flatten_page(td.page_log(td.table(spark, sf_dir, "events")))
+
+
 @query("user_jump")
 def user_jump(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = td.page_log(td.table(spark, sf_dir, "events"), clock="jump")
@@ -44,26 +49,22 @@ def user_jump_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("unique_visitor_day")
 def unique_visitor_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = td.page_log(td.table(spark, sf_dir, "events"))
-    return visitors.flatten_page(visitors.unique_visitor(log, "day"))
+    return visitors.unique_visitor(_page_log(spark, sf_dir), "day")
 
 
 @query("unique_visitor_second")
 def unique_visitor_second(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = td.page_log(td.table(spark, sf_dir, "events"))
-    return visitors.flatten_page(visitors.unique_visitor(log, "second"))
+    return visitors.unique_visitor(_page_log(spark, sf_dir), "second")
 
 
 @query("fix_is_new_day")
 def fix_is_new_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = td.page_log(td.table(spark, sf_dir, "events"))
-    return visitors.flatten_page(visitors.fix_is_new(log, "day"))
+    return visitors.fix_is_new(_page_log(spark, sf_dir), "day")
 
 
 @query("fix_is_new_second")
 def fix_is_new_second(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = td.page_log(td.table(spark, sf_dir, "events"))
-    return visitors.flatten_page(visitors.fix_is_new(log, "second"))
+    return visitors.fix_is_new(_page_log(spark, sf_dir), "second")
 
 
 # ---------------------------------------------------------------------- logs

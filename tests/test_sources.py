@@ -104,3 +104,57 @@ def test_kafka_writer_reports_missing_connector(spark):
         return
     q.stop()
     pytest.skip("Kafka connector present")
+
+
+def test_topic_records_to_columns(spark, monkeypatch):
+    """What the readers make of Kafka's columns (the connector itself is not here)."""
+    from shoal.schemas import EMP
+    from shoal.sources import kafka
+    raw = spark.createDataFrame([(0, 7, b'{"empno": 1, "ename": "a", "deptno": 2, "ts": 3}'), (2, 5, b"{bad"), (1, 1, None)],
+                                "partition int, offset long, value binary")
+    monkeypatch.setattr(kafka, "_load", lambda reader: raw)
+    text = {r.seq: r.value for r in kafka.read_kafka_text(spark, "h:1", "t").collect()}
+    assert text == {7: '{"empno": 1, "ename": "a", "deptno": 2, "ts": 3}', (2 << 40) + 5: "{bad"}
+    rows = {r.seq: (r.empno, r.ename) for r in kafka.read_kafka_json(spark, "h:1", "t", EMP).collect()}
+    assert rows == {7: (1, "a"), (2 << 40) + 5: (None, None)}
+    changes = kafka.read_change_log(spark, "h:1").collect()
+    assert len(changes) == 2
+
+
+def test_delimited_stream(spark, tmp_path):
+    from shoal.schemas import DEPT
+    from shoal.sources.delimited import read_delimited_stream
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("1,x,5\n2,y,6\n")
+    q = read_delimited_stream(spark, str(tmp_path / "in"), DEPT).writeStream.format("memory").queryName("dept_lines") \
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    assert sorted(map(tuple, spark.table("dept_lines").collect())) == [(1, "x", 5), (2, "y", 6)]
+
+
+def test_insert_into_matches_by_name(spark):
+    import pytest
+
+    from shoal.sinks.writers import insert_into
+    df = spark.createDataFrame([("v", 1, "z")], "b string, a int, more string")
+    assert insert_into(df, ["a", "b"]).columns == ["a", "b"]
+    with pytest.raises(ValueError):
+        insert_into(df, ["a", "c"])
+
+
+def test_checkpoint_folder_is_not_invented_on_a_cluster():
+    import pytest
+
+    from shoal.session import checkpoint_dir
+
+    class Fake:
+        class sparkContext:
+            master = "spark://h:7077"
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(Fake)
