@@ -103,23 +103,30 @@ def _surroundings(base: DataFrame) -> DataFrame:
 
 
 def disclosing(docs: DataFrame, surroundings: DataFrame, base: DataFrame, support: int, share: float) -> DataFrame:
-    """The ``(entity, term)`` pairs whose term gives the entity away."""
+    """The ``(entity, term)`` pairs whose term gives the entity away.
+
+    In how many documents a term stands is at least in how many it stands near
+    any entity; pairs that fail with that number fail with the true one, so
+    only the terms of the others are counted over all texts.
+    """
     once = surroundings.select("doc_id", "key", "entity", "term", "context").distinct()
     pairs = once.groupBy("entity", "term", "context").agg(F.count("*").alias("n")) \
         .groupBy("entity", "term").agg(F.sum("n").alias("joint"), F.count("*").alias("contexts")) \
         .where(F.col("contexts") >= support)
-    pairs = saved(pairs, "pii-pairs")
     entities = base.select("doc_id", "key", F.explode("windows").alias("w")).select("doc_id", "key", "w.*") \
         .select("doc_id", "key", F.expr(_ENTITY).alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("f_e"))
-    names = saved(pairs.select("term").distinct(), "pii-terms")
+    nearby = surroundings.select("doc_id", "key", "term").distinct().groupBy("term").agg(F.count("*").alias("f_t"))
+    total = F.lit(float(base.count()))
+    ic = F.log(total / F.col("f_e"))
+    pmi = F.least(ic, F.log(F.col("joint") * total / (F.col("f_t") * F.col("f_e"))))
+    reveals = (ic > 0) & (pmi >= share * ic)
+    pairs = saved(pairs.join(entities, "entity").join(nearby, "term").where(reveals).drop("f_t"),
+                  "pii-pairs")
     said = docs.select(F.explode(F.expr(
         f"array_distinct(transform(regexp_extract_all(text, {_sql(TERM)}, 0), x -> lower(x)))")).alias("term"))
-    terms = said.join(names, "term").groupBy("term").agg(F.count("*").alias("f_t"))
-    total = base.select(F.count("*").alias("total"))  # one row
-    n = pairs.join(entities, "entity").join(terms, "term").join(F.broadcast(total))
-    ic = F.log(F.col("total") / F.col("f_e"))
-    pmi = F.least(ic, F.log(F.col("joint") * F.col("total") / (F.col("f_t") * F.col("f_e"))))
-    return n.where((ic > 0) & (pmi >= share * ic)).select("entity", "term")
+    # counted before the join: a common term is one row of it, not one for each document
+    terms = said.groupBy("term").agg(F.count("*").alias("f_t"))
+    return pairs.join(terms, "term").where(reveals).select("entity", "term")
 
 
 def find_spans(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, share: float = DISCLOSURE) -> DataFrame:
