@@ -59,6 +59,8 @@ def text_chunks(column: pa.Array, most: int = CHUNK_BYTES):
     data, offsets = utf8(column)
     for lo, hi in chunks(offsets, most):
         yield lo, hi, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
+    del data
+    pa.default_memory_pool().release_unused()  # workers live on between batches
 
 
 def arrow_schema(**fields: pa.DataType) -> pa.Schema:

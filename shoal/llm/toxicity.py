@@ -30,7 +30,7 @@ PREFIXES = (3, 4, 5, 6, 7, 8)
 MOST_FEATURES = 4096
 #: A feature for each: so often at least.
 LEVELS = (1, 2, 3)
-BINS = 22
+BINS = 20
 #: Standard errors by which a feature must be commoner among positives, and least positives with it.
 EXCESS, LEAST = 5.0, 3
 
