@@ -3,7 +3,7 @@
 Every stage works on what its predecessor kept, which is written and read again in
 between: toxic documents go, one document of each group of near-duplicates stays,
 personal data is generalised in the texts, the documents are put in the order of the
-mixing schedule, and their tokens are packed into windows.
+mixing schedule, and their tokens are packed into windows that follow it.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoal.llm.common import saved, table
-from shoal.llm.mixing import mixed
+from shoal.llm.mixing import mixed, scheduled
 from shoal.llm.near_dedup import dedup
 from shoal.llm.packing import pack
 from shoal.llm.queries import WEIGHTS
@@ -41,8 +41,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token ids with their sequence and place in it."""
-    return pack(docs)
+    """Pieces of token ids with their sequence and place in it; sequences follow the schedule of the mixing stage."""
+    return pack(docs, places=scheduled(docs))
 
 
 STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("pii", pii), ("mixing", mixing), ("packing", packing)]

@@ -17,16 +17,24 @@ results: null source goes with the others; null text has no characters; rows equ
 in doc_id and source are one unit, placed together (``copies`` counts them); null
 doc_id is an id of its own; an empty table gives an empty result; extra columns are
 kept by ``mixed`` and not looked at.
+
+``mixed`` notes the schedule in the metadata of the doc_id column, which Parquet files
+keep, as the order of rows is no part of a table; ``scheduled`` places the documents by it.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 20_000
 BUCKETS = 1024
 OTHER = "other"
+NOTE = "mixing"
+#: Whole periods of the schedule in a range.
+PERIODS = 4
 
 
 def period(weights: dict[str, int]) -> dict[str, list[int]]:
@@ -103,5 +111,19 @@ def mixed(docs: DataFrame, weights: dict[str, int], other: int = 1, block: int =
     places = mix(docs, weights, other, block).select(
         F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("slot").alias("__mix_slot"), F.col("place").alias("__mix_place"))
     on = F.col("doc_id").cast("long").eqNullSafe(F.col("__mix_id")) & F.col("source").cast("string").eqNullSafe(F.col("__mix_source"))
+    note = {**docs.schema["doc_id"].metadata, NOTE: json.dumps({"weights": weights, "other": other, "block": block})}
     return docs.join(places, on).repartitionByRange("__mix_slot", "__mix_place").sortWithinPartitions("__mix_slot", "__mix_place") \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        .select(*[F.col("doc_id").alias("doc_id", metadata=note) if c == "doc_id" else F.col(f"`{c}`") for c in docs.columns])
+
+
+def scheduled(docs: DataFrame, periods: int = PERIODS) -> DataFrame | None:
+    """``doc_id, source, range, slot, place`` of the units of documents that ``mixed`` gave, else None.
+
+    A range is ``periods`` whole periods of the schedule, so each holds the target weights.
+    """
+    note = docs.schema["doc_id"].metadata.get(NOTE)
+    if note is None:
+        return None
+    how = json.loads(note)
+    span = periods * (sum(w for s, w in how["weights"].items() if s != OTHER) + how["weights"].get(OTHER, how["other"]))
+    return mix(docs, **how).select("doc_id", "source", F.floor(F.col("slot") / span).alias("range"), "slot", "place")

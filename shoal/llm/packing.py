@@ -13,6 +13,10 @@ Pieces find their window by their rank among the pieces of their length: counts
 length and hash bucket, summed over buckets, then a rank inside a bucket, so no
 length is ranked in one task.
 
+Documents with places in a mixing schedule are planned range by range of it, each range
+in a task of its own: pieces of a length are taken in the order of the schedule, windows
+are numbered by their earliest piece, and a range's after those of the ranges before.
+
 Defined results: null or empty text is the end id alone; repeated rows are packed
 each on its own; an empty table gives an empty result; extra columns are not looked at.
 """
@@ -91,15 +95,16 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> list[tuple[int, int
     return rows
 
 
-PIECES = "doc_id long, start long, length long, doc_tokens long, ids binary"
+PIECES = "doc_id long, source string, start long, length long, doc_tokens long, ids binary"
 
 
 def _pieces(path: str, end: int, window: int):
-    schema = arrow_schema(doc_id=pa.int64(), start=pa.int64(), length=pa.int64(), doc_tokens=pa.int64(), ids=pa.binary())
+    schema = arrow_schema(doc_id=pa.int64(), source=pa.string(), start=pa.int64(), length=pa.int64(), doc_tokens=pa.int64(), ids=pa.binary())
 
     def run(batches):
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
+            sources = batch.column("source").to_pylist()
             for lo, hi, data, off in text_chunks(batch.column("text")):
                 raw = data.tobytes()
                 ids, start = encode_documents([raw[a:b].decode() for a, b in zip(off[:-1], off[1:], strict=True)], path, end)
@@ -111,22 +116,78 @@ def _pieces(path: str, end: int, window: int):
                 length = np.minimum(n[of] - within, window)
                 at = (start[of] + within).tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([doc_ids[lo + i] for i in of.tolist()], pa.int64()), pa.array(within), pa.array(length),
+                    [pa.array([doc_ids[lo + i] for i in of.tolist()], pa.int64()),
+                     pa.array([sources[lo + i] for i in of.tolist()], pa.string()), pa.array(within), pa.array(length),
                      pa.array(n[of]), blobs([ids[a:a + m].tobytes() for a, m in zip(at, length.tolist(), strict=True)])],
                     schema=schema)
 
     return run
 
 
+def _planned(window: int):
+    schema = arrow_schema(piece=pa.int64(), range=pa.int64(), window=pa.int64(), offset=pa.int64(), windows=pa.int64())
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(c, "ascending") for c in ("slot", "place", "start", "doc_tokens", "crc", "piece")])
+        length = table.column("length").to_numpy()
+        order = np.argsort(length, kind="stable")
+        kinds, first = np.unique(length[order], return_index=True)
+        counts = np.diff(np.append(first, len(order)))
+        rows = plan(dict(zip(kinds.tolist(), counts.tolist(), strict=True)), window)
+        at = dict(zip(kinds.tolist(), first.tolist(), strict=True))
+        number, offset = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        for kind, rank, per, times, first_window, first_offset in rows:
+            nth = np.arange(per * times)
+            pieces = order[at[kind] + rank + nth]
+            number[pieces] = first_window + nth // per
+            offset[pieces] = first_offset + nth % per * kind
+        # pieces are in the schedule's order: a window stands where its earliest piece stands
+        earliest = np.unique(number, return_index=True)[1]
+        place = np.empty(len(earliest), np.int64)
+        place[np.argsort(earliest)] = np.arange(len(earliest))
+        return pa.table({"piece": table.column("piece"), "range": table.column("range"), "window": place[number], "offset": offset,
+                         "windows": np.full(len(order), len(earliest))}, schema=schema)
+
+    return run
+
+
+def _in_order(pieces: DataFrame, places: DataFrame, window: int, carry: Callable[[str], Column]) -> DataFrame:
+    """Pieces with their sequences, range by range of the schedule."""
+    places = places.select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), "range", "slot", "place")
+    on = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
+    narrow = pieces.select("piece", "doc_id", "source", "start", "length", "doc_tokens", F.crc32("ids").alias("crc")) \
+        .join(places, on).select("piece", "range", "slot", "place", "start", "length", "doc_tokens", "crc")
+    planned = saved(narrow.groupBy("range").applyInArrow(
+        _planned(window), "piece long, range long, window long, offset long, windows long"), "pack-planned")
+    # sums before a group of ranges, then inside it
+    ranges = planned.groupBy("range").agg(F.max("windows").alias("windows")) \
+        .withColumn("group", F.floor(F.col("range") / BUCKETS))
+    group = ranges.groupBy("group").agg(F.sum("windows").alias("n"))
+    before = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("group").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    group = group.select("group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    base = ranges.withColumn("in_group", F.coalesce(F.sum("windows").over(inside), F.lit(0))).join(group, "group") \
+        .select("range", (F.col("base") + F.col("in_group")).alias("base"))
+    found = planned.join(base, "range").select("piece", (F.col("base") + F.col("window")).alias("sequence_id"), "offset")
+    return pieces.select("piece", "doc_id", "start", "length", "doc_tokens", carry("ids")).join(found, "piece").drop("piece")
+
+
 def pack(docs: DataFrame, window: int = WINDOW, path: str | None = None, end: int = END,
-         carry: Callable[[str], Column] = F.col) -> DataFrame:
+         carry: Callable[[str], Column] = F.col, places: DataFrame | None = None) -> DataFrame:
     """A row per piece: ``doc_id, start, length, doc_tokens, sequence_id, offset`` and its ids.
 
     ``carry`` makes of the ids column (little-endian uint32) what is carried along.
+    ``places`` are those of ``mixing.scheduled``, where sequences follow a schedule.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = saved(docs.mapInArrow(_pieces(path or default_tokenizer(), end, window), PIECES), "pack-pieces")
+    source = F.lit(None) if places is None else F.col("source")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                       source.cast("string").alias("source"))
+    pieces = docs.mapInArrow(_pieces(path or default_tokenizer(), end, window), PIECES)
+    if places is not None:
+        pieces = saved(pieces.withColumn("piece", F.monotonically_increasing_id()), "pack-pieces")
+        return _in_order(pieces, places, window, carry)
+    pieces = saved(pieces.drop("source"), "pack-pieces")
     lengths = pieces.groupBy("length").count().collect()  # a row for each length up to the window
     table = plan({r[0]: r[1] for r in lengths}, window)
     names = "length long, first_rank long, per_window long, windows long, first_window long, first_offset long"

@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 
 from llm_data import documents, frame
+from shoal.llm.mixing import mixed, scheduled
 from shoal.llm.packing import fill, pack, plan, sequences, slack
 from shoal.llm.tokens import default_tokenizer, encoder
 
@@ -75,3 +76,34 @@ def test_pieces_make_up_every_document(spark):
     assert {k: r.n_tokens for k, r in joined.items()} == {k: sum(n for _, n in v) for k, v in windows.items()}
     assert sum(zlib.crc32(np.array(r.ids).tobytes()) > 0 for r in joined.values()) > 0
     assert pack(frame(spark, [])).count() == 0
+
+
+def test_sequences_follow_the_schedule(spark):
+    weights = {"src0": 2, "src1": 1}
+    docs = mixed(frame(spark), weights, block=500)
+    assert scheduled(frame(spark)) is None
+    places = {(r.doc_id, r.source): r for r in scheduled(docs, periods=2).collect()}
+    assert {r.range for r in places.values()} >= {0, 1, 2} and all(r.range == r.slot // 8 for r in places.values())
+    source = {r[0]: r[3] for r in documents()}
+    got = pack(docs, window=64, places=scheduled(docs, periods=2)).collect()
+    plain = pack(frame(spark), window=64).collect()
+    assert sorted((str(r.doc_id), r.start, r.length, bytes(r.ids)) for r in got) == \
+        sorted((str(r.doc_id), r.start, r.length, bytes(r.ids)) for r in plain)
+    windows = defaultdict(list)
+    for r in got:
+        at = places[r.doc_id, source[r.doc_id]]
+        windows[r.sequence_id].append((at.range, (at.slot, at.place, r.start), r.offset, r.length))
+    assert sorted(windows) == list(range(len(windows)))
+    last = (-1,)
+    for k in sorted(windows):
+        assert len({x[0] for x in windows[k]}) == 1
+        first = windows[k][0][0], min(x[1] for x in windows[k])
+        assert first >= last
+        last = first
+        at = 0
+        for *_, offset, length in sorted(windows[k], key=lambda x: x[2]):
+            assert offset == at
+            at += length
+        assert at <= 64
+    empty = mixed(frame(spark, []), weights)
+    assert pack(empty, places=scheduled(empty)).count() == 0

@@ -42,3 +42,15 @@ def test_run_gives_the_last_stage(spark):
     out = P.run(spark, SF)
     assert {"doc_id", "start", "length", "sequence_id", "offset", "ids"} <= set(out.columns)
     assert out.count() > 0
+
+
+def test_the_mixing_stage_shapes_the_sequences(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mixed = P.saved(P.mixing(spark, docs, SF), "test-mixed")
+
+    def packed(table):
+        return sorted((r.doc_id, r.start, r.sequence_id, r.offset) for r in P.packing(spark, table, SF).collect())
+
+    with_stage = packed(mixed)
+    assert with_stage == packed(mixed.repartition(3, "text"))
+    assert with_stage != packed(docs)
