@@ -6,11 +6,13 @@ matches. Patterns are written so that a long run of characters is read once.
 
 Terms: the words within ``REACH`` characters of a base value (a protected entity) are
 counted with it over the whole corpus, and in how many documents each stands at all.
-The information that term t gives about entity e is
-``pmi(t, e) = ln(joint * N / (f(t) * f(e)))``, at most e's own information
-``ic(e) = ln(N / f(e))``. A term of which at least ``SUPPORT`` different surroundings of
-the entity are known and whose pmi is at least ``DISCLOSURE`` of ic(e) is a span of kind
-``term`` wherever it stands near that entity. ``sanitise`` generalises spans to their kind.
+The information that term t gives about entity e is ``pmi(t, e) = ln(p(e | t) * N / f(e))``,
+at most e's own information ``ic(e) = ln(N / f(e))``. The share of t's documents that hold
+e is smoothed by ``PRIOR`` documents in which e is as frequent as anywhere,
+``p(e | t) = (joint + PRIOR * f(e) / N) / (f(t) + PRIOR)``, so that few observations count
+for less and yet the rarest values are judged. A term whose pmi is at least ``DISCLOSURE``
+of ic(e) is a span of kind ``term`` wherever it stands near that entity. ``sanitise``
+generalises spans to their kind.
 
 Defined results: null is the empty text; a span is counted in code points, its end
 exclusive; a term that overlaps a base span is left to that span; repeated rows are
@@ -35,7 +37,8 @@ PATTERNS = {
 }
 TERM = r"\p{L}[\p{L}\p{N}]{2,}+"
 REACH = 64
-SUPPORT = 3
+#: Documents of smoothing.
+PRIOR = 2
 DISCLOSURE = 0.8
 
 
@@ -97,28 +100,26 @@ def _surroundings(base: DataFrame) -> DataFrame:
             .withColumn(f"_p_{side}", F.expr(f"split({side}, {_sql(TERM)}, -1)"))
     left = _terms("left_text", "start - length(left_text)", "start > length(left_text)", "false")
     right = _terms("right_text", "end", "false", "end + length(right_text) < n_chars")
-    return near.select("doc_id", "key", "entity", F.xxhash64("left_text", "right_text").alias("context"),
-                       F.explode(F.expr(f"concat({left}, {right})")).alias("t")) \
-        .select("doc_id", "key", "entity", "context", "t.*")
+    return near.select("doc_id", "key", "entity", F.explode(F.expr(f"concat({left}, {right})")).alias("t")) \
+        .select("doc_id", "key", "entity", "t.*")
 
 
-def disclosing(docs: DataFrame, surroundings: DataFrame, base: DataFrame, support: int, share: float) -> DataFrame:
+def disclosing(docs: DataFrame, surroundings: DataFrame, base: DataFrame, share: float, prior: float) -> DataFrame:
     """The ``(entity, term)`` pairs whose term gives the entity away.
 
     In how many documents a term stands is at least in how many it stands near
     any entity; pairs that fail with that number fail with the true one, so
     only the terms of the others are counted over all texts.
     """
-    once = surroundings.select("doc_id", "key", "entity", "term", "context").distinct()
-    pairs = once.groupBy("entity", "term", "context").agg(F.count("*").alias("n")) \
-        .groupBy("entity", "term").agg(F.sum("n").alias("joint"), F.count("*").alias("contexts")) \
-        .where(F.col("contexts") >= support)
+    pairs = surroundings.select("doc_id", "key", "entity", "term").distinct() \
+        .groupBy("entity", "term").agg(F.count("*").alias("joint"))
     entities = base.select("doc_id", "key", F.explode("windows").alias("w")).select("doc_id", "key", "w.*") \
         .select("doc_id", "key", F.expr(_ENTITY).alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("f_e"))
     nearby = surroundings.select("doc_id", "key", "term").distinct().groupBy("term").agg(F.count("*").alias("f_t"))
     total = F.lit(float(base.count()))
     ic = F.log(total / F.col("f_e"))
-    pmi = F.least(ic, F.log(F.col("joint") * total / (F.col("f_t") * F.col("f_e"))))
+    given = (F.col("joint") + prior * F.col("f_e") / total) / (F.col("f_t") + prior)
+    pmi = F.least(ic, F.log(given * total / F.col("f_e")))
     reveals = (ic > 0) & (pmi >= share * ic)
     pairs = saved(pairs.join(entities, "entity").join(nearby, "term").where(reveals).drop("f_t"),
                   "pii-pairs")
@@ -129,7 +130,7 @@ def disclosing(docs: DataFrame, surroundings: DataFrame, base: DataFrame, suppor
     return pairs.join(terms, "term").where(reveals).select("entity", "term")
 
 
-def find_spans(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, share: float = DISCLOSURE) -> DataFrame:
+def find_spans(docs: DataFrame, reach: int = REACH, share: float = DISCLOSURE, prior: float = PRIOR) -> DataFrame:
     """``doc_id, key`` (of the text), ``base`` spans and all ``spans`` of every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -142,7 +143,7 @@ def find_spans(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, shar
         F.expr("transform(found, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end))").alias("base"),
         F.expr(window).alias("windows")), "pii-base")
     near = saved(_surroundings(base), "pii-near")
-    pairs = disclosing(docs, near, base, support, share)
+    pairs = disclosing(docs, near, base, share, prior)
     told = near.join(pairs, ["entity", "term"]).select("doc_id", "key", "start", "end").distinct() \
         .groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("terms"))
     told = told.select(F.col("doc_id").alias("__span_id"), F.col("key").alias("__span_key"), "terms")
@@ -163,13 +164,13 @@ def report(spans: DataFrame) -> DataFrame:
                         F.sha2(_written("base").cast("binary"), 256).alias("base_sha256"), _written("spans").alias("spans"))
 
 
-def sanitise(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, share: float = DISCLOSURE) -> DataFrame:
+def sanitise(docs: DataFrame, reach: int = REACH, share: float = DISCLOSURE, prior: float = PRIOR) -> DataFrame:
     """Documents with all their columns, every span generalised to ``[EMAIL]`` .. ``[TERM]``.
 
     Spans of different kinds may overlap: what they cover together becomes the kind of
     the span that starts first (of these, the longest).
     """
-    spans = find_spans(docs, reach, support, share).where("size(spans) > 0").select("doc_id", "key", "spans").distinct()
+    spans = find_spans(docs, reach, share, prior).where("size(spans) > 0").select("doc_id", "key", "spans").distinct()
     order = "array_sort(__spans, (a, b) -> case when a.start != b.start then a.start - b.start else b.end - a.end end)"
     # what stands from the end of the last span to the start of this one, then the kind
     text = (f"aggregate({order}, named_struct('at', 0, 'out', cast(array() as array<string>)), "

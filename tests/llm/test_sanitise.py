@@ -64,6 +64,15 @@ def test_terms_that_give_an_entity_away(spark):
     assert out[150].text == texts[150]
 
 
+def test_values_seen_once_or_twice_have_terms(spark):
+    texts = ["Zebulon writes from zoe@mail.com in the end", "Quentin lives at amy@mail.com", "call Quentin or amy@mail.com"]
+    texts += [f"the plain text of day {i} writes from or lives on in the end and may call" for i in range(600)]
+    rows = [(i, t, *[None] * 8) for i, t in enumerate(texts)]
+    terms = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "term"] for r in find_spans(frame(spark, rows)).collect()}
+    assert [terms[i] for i in range(3)] == [["Zebulon"], ["Quentin"], ["Quentin"]]
+    assert not any(terms[i] for i in range(3, len(rows)))
+
+
 def test_sanitise_keeps_rows_and_columns(spark):
     got = sanitise(frame(spark))
     assert got.columns == frame(spark).columns
