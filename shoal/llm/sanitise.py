@@ -4,14 +4,15 @@ Base spans (e-mail addresses, IPv4 addresses, card numbers, telephone numbers) c
 from patterns; where they stand follows from the lengths of a text's pieces between
 matches. Patterns are written so that a long run of characters is read once.
 
-Terms: the words within ``REACH`` characters of a base value (a protected entity) are
-counted with it over the whole corpus, and in how many documents each stands at all.
+Terms: the words of every text that holds a base value (a protected entity) are counted
+with it over the whole corpus, by documents, and in how many documents each stands at all;
+the words of an e-mail address itself are none of its terms.
 The information that term t gives about entity e is ``pmi(t, e) = ln(p(e | t) * N / f(e))``,
 at most e's own information ``ic(e) = ln(N / f(e))``. The share of t's documents that hold
 e is smoothed by ``PRIOR`` documents in which e is as frequent as anywhere,
 ``p(e | t) = (joint + PRIOR * f(e) / N) / (f(t) + PRIOR)``, so that few observations count
 for less and yet the rarest values are judged. A term whose pmi is at least ``DISCLOSURE``
-of ic(e) is a span of kind ``term`` wherever it stands near that entity. ``sanitise``
+of ic(e) is a span of kind ``term`` at each of its places in every text. ``sanitise``
 generalises spans to their kind.
 
 Defined results: null is the empty text; a span is counted in code points, its end
@@ -36,10 +37,11 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TERM = r"\p{L}[\p{L}\p{N}]{2,}+"
-REACH = 64
 #: Documents of smoothing.
 PRIOR = 2
 DISCLOSURE = 0.8
+#: A term in more than one of so many documents is counted and joined by broadcast.
+OFTEN = 1000
 
 
 def _sql(pattern: str) -> str:
@@ -80,75 +82,83 @@ def _with_base(docs: DataFrame) -> DataFrame:
     return cut.select(*kept, F.expr(f"concat({', '.join(each)})").alias("found"))
 
 
-_ENTITY = ("concat(kind, ':', if(kind in ('card', 'phone'), regexp_replace(value, '[^0-9]', ''), lower(value)))")
+_ENTITY = ("concat(s.kind, ':', if(s.kind in ('card', 'phone'), regexp_replace(s.value, '[^0-9]', ''), lower(s.value)))")
 
 
-def _terms(side: str, from_start: str, open_left: str, open_right: str) -> str:
-    """SQL of the terms of a window; one that the window's edge may cut is left out."""
-    placed = _placed(f"_m_{side}", f"_p_{side}")
-    return (f"transform(filter({placed}, x -> not (x.start = 0 and {open_left}) "
-            f"and not (x.start + length(x.value) = length({side}) and {open_right})), "
-            f"x -> named_struct('term', lower(x.value), 'start', {from_start} + x.start, 'end', {from_start} + x.start + length(x.value)))")
+def _said(text: str) -> str:
+    """SQL of the distinct terms of a text."""
+    return f"array_distinct(transform(regexp_extract_all({text}, {_sql(TERM)}, 0), x -> lower(x)))"
 
 
-def _surroundings(base: DataFrame) -> DataFrame:
-    """A row for each base value and each term near it, with where the term stands."""
-    near = base.select("doc_id", "key", F.explode("windows").alias("w")).select("doc_id", "key", "w.*") \
-        .withColumn("entity", F.expr(_ENTITY))
-    for side in ("left_text", "right_text"):
-        near = near.withColumn(f"_m_{side}", F.expr(f"regexp_extract_all({side}, {_sql(TERM)}, 0)")) \
-            .withColumn(f"_p_{side}", F.expr(f"split({side}, {_sql(TERM)}, -1)"))
-    left = _terms("left_text", "start - length(left_text)", "start > length(left_text)", "false")
-    right = _terms("right_text", "end", "false", "end + length(right_text) < n_chars")
-    return near.select("doc_id", "key", "entity", F.explode(F.expr(f"concat({left}, {right})")).alias("t")) \
-        .select("doc_id", "key", "entity", "t.*")
+def _reveals(joint: Column, total: Column, share: float, prior: float) -> Column:
+    """Whether a term that stands ``joint`` times with an entity gives it away."""
+    ic = F.log(total / F.col("f_e"))
+    given = (joint + prior * F.col("f_e") / total) / (F.col("f_t") + prior)
+    return (ic > 0) & (F.least(ic, F.log(given * total / F.col("f_e"))) >= share * ic)
 
 
-def disclosing(docs: DataFrame, surroundings: DataFrame, base: DataFrame, share: float, prior: float) -> DataFrame:
+def disclosing(base: DataFrame, frequency: DataFrame, total: Column, share: float, prior: float) -> DataFrame:
     """The ``(entity, term)`` pairs whose term gives the entity away.
 
-    In how many documents a term stands is at least in how many it stands near
-    any entity; pairs that fail with that number fail with the true one, so
-    only the terms of the others are counted over all texts.
+    A term stands with an entity in at most as many documents as the rarer of the two;
+    what fails with that number fails with the true one and is not paired.
     """
-    pairs = surroundings.select("doc_id", "key", "entity", "term").distinct() \
-        .groupBy("entity", "term").agg(F.count("*").alias("joint"))
-    entities = base.select("doc_id", "key", F.explode("windows").alias("w")).select("doc_id", "key", "w.*") \
-        .select("doc_id", "key", F.expr(_ENTITY).alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("f_e"))
-    nearby = surroundings.select("doc_id", "key", "term").distinct().groupBy("term").agg(F.count("*").alias("f_t"))
-    total = F.lit(float(base.count()))
-    ic = F.log(total / F.col("f_e"))
-    given = (F.col("joint") + prior * F.col("f_e") / total) / (F.col("f_t") + prior)
-    pmi = F.least(ic, F.log(given * total / F.col("f_e")))
-    reveals = (ic > 0) & (pmi >= share * ic)
-    pairs = saved(pairs.join(entities, "entity").join(nearby, "term").where(reveals).drop("f_t"),
-                  "pii-pairs")
-    said = docs.select(F.explode(F.expr(
-        f"array_distinct(transform(regexp_extract_all(text, {_sql(TERM)}, 0), x -> lower(x)))")).alias("term"))
-    # counted before the join: a common term is one row of it, not one for each document
-    terms = said.groupBy("term").agg(F.count("*").alias("f_t"))
-    return pairs.join(terms, "term").where(reveals).select("entity", "term")
-
-
-def find_spans(docs: DataFrame, reach: int = REACH, share: float = DISCLOSURE, prior: float = PRIOR) -> DataFrame:
+    held = base.where("size(entities) > 0")
+    values = held.select("row", F.explode("entities").alias("entity"))
+    values = saved(values.join(values.groupBy("entity").agg(F.count("*").alias("f_e")), "entity"), "pii-values")
+    top = values.groupBy("row").agg(F.max("f_e").alias("top"))
+    said = held.select("row", "terms").join(top, "row").select("row", "top", F.explode("terms").alias("term"))
+    # at most OFTEN times the mean number of terms in a document; other terms have few rows each
+    often = frequency.where(F.col("f_t") > total / OFTEN)
+    rare = said.join(F.broadcast(often.select("term")), "term", "left_anti") \
+        .join(frequency.where(F.col("f_t") <= total / OFTEN), "term")
+    counted = said.join(F.broadcast(often), "term").unionByName(rare)
+    most = (total + prior) * F.pow(F.col("top") / total, F.lit(share)) * 1.000001
+    pairs = counted.where(F.col("f_t") + prior <= most).select("row", "term", "f_t").join(values, "row") \
+        .where(_reveals(F.least("f_t", "f_e"), total, share, prior)) \
+        .groupBy("entity", "term", "f_e", "f_t").agg(F.count("*").alias("joint"))
+    return pairs.where(_reveals(F.col("joint"), total, share, prior)).select("entity", "term")
+
+
+def _places(docs: DataFrame, terms: DataFrame, often: DataFrame) -> DataFrame:
+    """``__span_id, __span_key, terms_at`` of every text that holds one of ``terms``: where they stand, in one pass over its words."""
+    usual = often.join(terms, "term", "left_anti")
+    # texts of one doc_id are told apart by a short hash where a row is only a term of one
+    docs = docs.withColumn("mark", F.xxhash64("text"))
+    told = docs.select("doc_id", "mark", F.explode(F.expr(_said("text"))).alias("term")) \
+        .join(F.broadcast(usual), "term", "left_anti").join(terms, "term") \
+        .groupBy("doc_id", "mark").agg(F.collect_set("term").alias("told")) \
+        .select(F.col("doc_id").alias("__span_id"), F.col("mark").alias("__span_mark"), "told")
+    marked = docs.join(told, F.col("doc_id").eqNullSafe(F.col("__span_id")) & (F.col("mark") == F.col("__span_mark"))) \
+        .withColumn("words", F.expr(f"regexp_extract_all(text, {_sql(TERM)}, 0)")) \
+        .withColumn("between", F.expr(f"split(text, {_sql(TERM)}, -1)"))
+    start, end = "acc.at + length(x.before)", "acc.at + length(x.before) + length(x.word)"
+    places = ("aggregate(zip_with(words, slice(between, 1, size(words)), (w, b) -> named_struct('word', w, 'before', b)), "
+              "named_struct('at', 0, 'out', cast(array() as array<struct<start:int,end:int>>)), "
+              f"(acc, x) -> named_struct('at', {end}, 'out', if(array_contains(told, lower(x.word)), "
+              f"concat(acc.out, array(named_struct('start', {start}, 'end', {end}))), acc.out)), acc -> acc.out)")
+    return marked.select("__span_id", F.col("key").alias("__span_key"), F.expr(places).alias("terms_at")).dropDuplicates(["__span_id", "__span_key"])
+
+
+def find_spans(docs: DataFrame, share: float = DISCLOSURE, prior: float = PRIOR) -> DataFrame:
     """``doc_id, key`` (of the text), ``base`` spans and all ``spans`` of every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = _with_base(docs).withColumn("n_chars", F.length("text"))
-    window = (f"transform(found, s -> named_struct('kind', s.kind, 'value', s.value, 'start', s.start, 'end', s.end, "
-              f"'n_chars', n_chars, 'left_text', substr(text, greatest(s.start - {reach}, 0) + 1, least(s.start, {reach})), "
-              f"'right_text', substr(text, s.end + 1, {reach})))")
-    base = saved(found.select(
-        "doc_id", F.md5(F.encode("text", "utf-8")).alias("key"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
+        .withColumn("key", F.md5(F.encode("text", "utf-8")))
+    own = _said(f"regexp_replace(text, {_sql(PATTERNS['email'])}, ' ')")
+    base = saved(_with_base(docs).select(
+        "doc_id", "key", F.monotonically_increasing_id().alias("row"),
         F.expr("transform(found, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end))").alias("base"),
-        F.expr(window).alias("windows")), "pii-base")
-    near = saved(_surroundings(base), "pii-near")
-    pairs = disclosing(docs, near, base, share, prior)
-    told = near.join(pairs, ["entity", "term"]).select("doc_id", "key", "start", "end").distinct() \
-        .groupBy("doc_id", "key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("terms"))
-    told = told.select(F.col("doc_id").alias("__span_id"), F.col("key").alias("__span_key"), "terms")
+        F.expr(f"array_distinct(transform(found, s -> {_ENTITY}))").alias("entities"),
+        F.expr(f"if(size(found) > 0, {own}, {_NONE})").alias("terms")), "pii-base")
+    total = F.lit(float(base.count()))
+    # counted before any join: a common term is one row of it, not one for each document
+    frequency = saved(docs.select(F.explode(F.expr(_said("text"))).alias("term"))
+                      .groupBy("term").agg(F.count("*").alias("f_t")), "pii-terms")
+    pairs = saved(disclosing(base, frequency, total, share, prior), "pii-pairs")
+    told = _places(docs, pairs.select("term").distinct(), frequency.where(F.col("f_t") > total / OFTEN).select("term"))
     out = base.join(told, F.col("doc_id").eqNullSafe(F.col("__span_id")) & (F.col("key") == F.col("__span_key")), "left")
-    extra = ("transform(filter(coalesce(terms, cast(array() as array<struct<start:int,end:int>>)), "
+    extra = ("transform(filter(coalesce(terms_at, cast(array() as array<struct<start:int,end:int>>)), "
              "t -> not exists(base, b -> b.start < t.end and t.start < b.end)), "
              "t -> named_struct('kind', 'term', 'start', t.start, 'end', t.end))")
     return out.select("doc_id", "key", "base", F.expr(f"concat(base, {extra})").cast(SPANS).alias("spans"))
@@ -164,13 +174,13 @@ def report(spans: DataFrame) -> DataFrame:
                         F.sha2(_written("base").cast("binary"), 256).alias("base_sha256"), _written("spans").alias("spans"))
 
 
-def sanitise(docs: DataFrame, reach: int = REACH, share: float = DISCLOSURE, prior: float = PRIOR) -> DataFrame:
+def sanitise(docs: DataFrame, share: float = DISCLOSURE, prior: float = PRIOR) -> DataFrame:
     """Documents with all their columns, every span generalised to ``[EMAIL]`` .. ``[TERM]``.
 
     Spans of different kinds may overlap: what they cover together becomes the kind of
     the span that starts first (of these, the longest).
     """
-    spans = find_spans(docs, reach, share, prior).where("size(spans) > 0").select("doc_id", "key", "spans").distinct()
+    spans = find_spans(docs, share, prior).where("size(spans) > 0").select("doc_id", "key", "spans").distinct()
     order = "array_sort(__spans, (a, b) -> case when a.start != b.start then a.start - b.start else b.end - a.end end)"
     # what stands from the end of the last span to the start of this one, then the kind
     text = (f"aggregate({order}, named_struct('at', 0, 'out', cast(array() as array<string>)), "

@@ -73,6 +73,17 @@ def test_values_seen_once_or_twice_have_terms(spark):
     assert not any(terms[i] for i in range(3, len(rows)))
 
 
+def test_terms_far_from_a_value_and_in_other_texts(spark):
+    far = " ".join(["the plain text"] * 40)
+    texts = [f"Zebulon, {far}: zoe@mail.com, {far}. 😀 Not 4ZEBULON5 but 7zebulon", f"Only Zebulon stands here, {far}"]
+    texts += [f"the plain text of day {i} only stands here or not but may" for i in range(1500)]
+    rows = [(i, t, *[None] * 8) for i, t in enumerate(texts)]
+    spans = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "term"] for r in find_spans(frame(spark, rows)).collect()}
+    # words with digits are terms of their own; leading digits stand outside a word
+    assert spans[0] == ["Zebulon", "ZEBULON5", "zebulon"] and spans[1] == ["Zebulon"]
+    assert not any(spans[i] for i in range(2, len(rows)))
+
+
 def test_sanitise_keeps_rows_and_columns(spark):
     got = sanitise(frame(spark))
     assert got.columns == frame(spark).columns
