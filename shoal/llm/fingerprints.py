@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from shoal.llm.common import arrow_schema, saved, utf8
 from shoal.llm.hashing import U, Ranges
 
-K, S = 96, 16
+#: At least one anchor lies in any 2 * K - S - 1 bytes, so a kept passage of that length is found again.
+K, S = 24, 8
 
 
 def anchors(texts: list[bytes], k: int = K, s: int = S) -> list[np.ndarray]:

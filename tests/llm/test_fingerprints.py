@@ -3,7 +3,7 @@ import hashlib
 import numpy as np
 
 from llm_data import documents, frame
-from shoal.llm.fingerprints import K, S, anchors, fingerprints, likeness, read, written
+from shoal.llm.fingerprints import K, S, anchors, edited, fingerprints, likeness, read, written
 from shoal.llm.hashing import Ranges
 
 
@@ -43,6 +43,14 @@ def test_likeness_needs_the_same_order():
     assert (read(written(a)) == a).all()
 
 
+def test_short_texts_keep_likeness_when_half_is_edited():
+    rng = np.random.default_rng(2)
+    for n in range(80, 200, 5):
+        a, b = (bytes(rng.integers(97, 123, n).astype(np.uint8)).decode() for _ in range(2))
+        own, edit = anchors([a.encode(), edited(a, b).encode()])
+        assert 0 < likeness(own, edit) < 1
+
+
 def check(spark, rows, partitions):
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
     want = []
