@@ -8,7 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoal.llm import byte_bpe
+from shoal.llm.alignment import align, aligned
 from shoal.llm.common import table
+from shoal.llm.conversations import damage, repair
 from shoal.llm.fingerprints import fingerprints
 from shoal.llm.grammar_files import read_ids, write_ids
 from shoal.llm.mixing import mix
@@ -73,6 +76,22 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ids(spark, folder, digest=True)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = aligned(table(spark, sf_dir, "documents"), carry=lambda groups: F.when(F.length(groups) > 0, F.sha2(groups, 256)).otherwise(""))
+    return align(kept).withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = byte_bpe.decode(byte_bpe.encode(table(spark, sf_dir, "documents")))
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+                       F.sha2("data", 256).alias("decoded_sha256"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair(damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_dedup, op2_toxicity, op3_packing, op4_fingerprints, op5_mixing, op6_quality, op7_quality_rules, op8_sanitise, op9_edit_counts,
-    op10_token_files)}
+    op10_token_files, op11_alignment, op12_byte_bpe, op13_conversations)}
