@@ -29,6 +29,39 @@ def parse_change_log(raw: DataFrame, value: str = "value") -> DataFrame:
     return raw.select(*carried, F.inline(F.array(F.from_json(F.col(value), CHANGE_LOG))))
 
 
+UNREADABLE, NO_DATA, NO_TYPE, MARKER = "unreadable", "no data", "no type", "marker"
+
+
+def judge_change_log(raw: DataFrame, value: str = "value") -> DataFrame:
+    """``parse_change_log`` that keeps the text and says what is wrong with it.
+
+    ``reason`` is NULL for records that ``filter_change_envelope`` keeps; ``unreadable`` text is
+    no object with an envelope field (or NULL); bootstrap ``marker`` records carry no row and
+    are nobody's fault; the others lack ``data`` or ``type``. Every row has one verdict, so
+    rows in = records + markers + dead letters.
+    """
+    parsed = parse_change_log(raw.withColumn("__text", F.col(value)), "__text")
+    nothing = F.coalesce(*[F.col(f.name).cast("string") for f in CHANGE_LOG.fields]).isNull()
+    reason = F.when(nothing, UNREADABLE).when(F.col("type").isin(*BOOTSTRAP_TYPES), MARKER) \
+        .when(F.col("data").isNull(), NO_DATA).when(F.col("type").isNull(), NO_TYPE)
+    return parsed.withColumn("reason", reason)
+
+
+def split_change_log(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(change records, dead letters) of change-topic text: the dead letters are the input's rows
+    with a ``reason``; markers are in neither."""
+    judged = judge_change_log(raw, value)
+    records = judged.where(F.col("reason").isNull()).drop("reason", value)
+    return records, judged.where(F.col("reason").isNotNull() & (F.col("reason") != MARKER)).select(*raw.columns, "reason")
+
+
+def counted(judged: DataFrame, name: str, *reasons: str) -> DataFrame:
+    """The same rows; their number, and how many have each of ``reasons``, are observed as ``name``
+    (a stream's progress has them for each micro-batch: ``rows`` and the reasons, ``_`` for blanks)."""
+    each = [F.count_if(F.col("reason") == r).alias(r.replace(" ", "_")) for r in reasons]
+    return judged.observe(name, F.count(F.lit(1)).alias("rows"), *each)
+
+
 def filter_change_envelope(changes: DataFrame) -> DataFrame:
     """Keep records that carry row data: ``data`` and ``type`` present and
     the type is not a bootstrap marker."""

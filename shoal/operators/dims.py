@@ -26,6 +26,19 @@ from shoal.operators.upsert import materialize_upsert
 DEFAULT_PK = "id"
 
 
+def newest_changes(config_changes: DataFrame) -> DataFrame:
+    """The change record that counts for each ``source_table``, deletes too: by ``ts_ms``, of equal
+    ones a delete, then the later text of the record. Folding again over more records gives
+    what folding all at once gives."""
+    rows = config_changes.withColumn("__table", F.coalesce(F.col("after.source_table"), F.col("before.source_table"))) \
+        .where(F.col("__table").isNotNull())
+    said = F.to_json(F.struct("after.sink_table", "after.sink_columns", F.coalesce("after.sink_pk", F.lit(DEFAULT_PK)).alias("sink_pk"),
+                              F.coalesce("after.sink_extend", F.lit("")).alias("sink_extend")))
+    order = F.struct(F.col("ts_ms"), (F.col("op") == "d").alias("is_delete"), said.alias("said"))
+    newest = rows.groupBy("__table").agg(F.max_by(F.struct(*config_changes.columns), order).alias("r"))
+    return newest.select("r.*")
+
+
 def latest_config(config_changes: DataFrame) -> DataFrame:
     """Current configuration from its change records, newest per
     ``source_table`` by ``ts_ms`` (of equal ones, a delete, then the later text

@@ -16,11 +16,14 @@ Shuffle notes (they matter at scale):
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoal.functions import decimal_product, format_text_time, map_get
 from shoal.operators.cdc import project_change_fields, select_change_rows
+from shoal.operators.changes import CHANGE, OP
 
 
 def lookup_join(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
@@ -104,12 +107,12 @@ def order_info_rows(changes: DataFrame) -> DataFrame:
         keep=["type", "old", F.col("ts").alias("oi_ts"), F.col("seq").alias("oi_seq")])
 
 
-def activity_rows(changes: DataFrame, with_ts: bool = False) -> DataFrame:
+def activity_rows(changes: DataFrame, with_ts: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     act = select_change_rows(changes, "order_detail_activity", ["insert"])
     return project_change_fields(act, {"order_detail_id": "act_detail_id",
                                        "activity_id": "activity_id",
                                        "activity_rule_id": "activity_rule_id"},
-                                 keep=[F.col("ts").alias("act_ts")] if with_ts else [])
+                                 keep=[*([F.col("ts").alias("act_ts")] if with_ts else []), *keep])
 
 
 def coupon_rows(changes: DataFrame, with_ts: bool = False) -> DataFrame:
@@ -133,7 +136,8 @@ def _wide_rows(joined: DataFrame, keep_seq: bool, row_op_ts: Column | None) -> D
         "row_op_ts": row_op_ts if row_op_ts is not None else F.current_timestamp(),
     }
     out = [cols.get(c, F.col(c)).alias(c) for c in WIDE_COLUMNS]
-    return joined.select(*out, *([F.col("oi_seq")] if keep_seq else []))
+    carried = [c for c in (CHANGE, OP) if c in joined.columns]  # of a change stream
+    return joined.select(*carried, *out, *([F.col("oi_seq")] if keep_seq else []))
 
 
 def with_dictionary(joined: DataFrame, dic: DataFrame, keep_seq: bool = False,

@@ -146,7 +146,8 @@ def route_log(log: DataFrame) -> DataFrame:
 
     One ``explode`` of a small per-record array of tagged outputs: each input
     row is read once and yields its error / start / page row and its display
-    and action rows.
+    and action rows. Rows of a log with ``seq`` also have a ``record_id``: that of the log
+    record and the output's place in it, the same whenever the record is read again.
     """
     log = with_flag(log)
 
@@ -162,4 +163,7 @@ def route_log(log: DataFrame) -> DataFrame:
             .otherwise(none)
 
     every = F.concat(F.array_compact(F.array(*singles)), lists("display"), lists("action"))
-    return log.select("mid", F.explode(every).alias("o")).select("o.route", "mid", "o.value")
+    if "seq" not in log.columns:
+        return log.select("mid", F.explode(every).alias("o")).select("o.route", "mid", "o.value")
+    return log.select("mid", "seq", F.posexplode(every).alias("place", "o")) \
+        .select("o.route", "mid", "o.value", F.concat_ws("-", "seq", "place").alias("record_id"))

@@ -25,6 +25,7 @@ from shoal.operators.sequence import first_per_key, neighbour, next_within
 # its two outcomes.
 JUMP_WITHIN_MS = 10_000
 MATCH, TIMEOUT = "match", "timeout"
+LATE = "late"  # a stream's record that comes behind the watermark
 
 # Width of the ordered buckets that split one device's rows over tasks.
 SEQ_BUCKET = 1 << 20       # arrival-order buckets (rows)
@@ -44,6 +45,20 @@ def _with_mid(df: DataFrame) -> DataFrame:
     return df.withColumn(_MID, control(df, "mid"))
 
 
+def first_visits(log: DataFrame, granularity: str = "day") -> DataFrame:
+    """``mid, d``: each device's first-visit date, as ``fix_is_new`` fixes it. Combined before the
+    shuffle; the state with which the stream goes on from a history."""
+    ts, is_new = F.col("ts"), control(log, "is_new")
+    d = F.when(is_new == "1", visit_date(ts, granularity)).otherwise(visit_date(ts - F.lit(ONE_DAY_MS), granularity))
+    return _with_mid(log).where(F.col(_MID).isNotNull()).groupBy(F.col(_MID).alias("mid")).agg(F.min_by(d, F.col("seq")).alias("d"))
+
+
+def last_visits(page_log: DataFrame, granularity: str = "day") -> DataFrame:
+    """``mid, d``: the visit date of each device's last entry page (see ``first_visits``)."""
+    entries = _with_mid(page_log).where(is_entry_page(control(page_log, "last_page_id")) & F.col(_MID).isNotNull())
+    return entries.groupBy(F.col(_MID).alias("mid")).agg(F.max_by(visit_date(F.col("ts"), granularity), F.col("seq")).alias("d"))
+
+
 def fix_is_new(log: DataFrame, granularity: str = "day") -> DataFrame:
     """Repair the new-visitor flag.
 

@@ -276,6 +276,44 @@ FROM orders e {how.upper()} JOIN customer d ON e.o_custkey * 2 = d.c_custkey
 """
 
 
+_ARRIVING = """
+WITH emp AS (SELECT o_orderkey AS empno, o_orderpriority AS ename, o_custkey * 2 AS deptno, o_orderkey * 2 AS emp_at FROM orders),
+dept AS (SELECT c_custkey AS d_deptno, c_name AS dname, c_custkey * 20 + 1 AS dept_at FROM customer)
+"""
+
+JOIN_LEFT_CHANGES = _ARRIVING + """
+SELECT '+I' AS op, greatest(emp_at, dept_at) AS at, 1 AS nth, empno, ename, deptno, dname FROM emp JOIN dept ON deptno = d_deptno
+UNION ALL
+SELECT '+I', emp_at, 1, empno, ename, deptno, NULL FROM emp LEFT JOIN dept ON deptno = d_deptno
+WHERE dept_at IS NULL OR emp_at < dept_at
+UNION ALL
+SELECT '-D', dept_at, 0, empno, ename, deptno, NULL FROM emp JOIN dept ON deptno = d_deptno WHERE emp_at < dept_at
+"""
+
+JOIN_FULL_UPSERT = _ARRIVING + "SELECT empno, ename, deptno, d_deptno, dname FROM emp FULL JOIN dept ON deptno = d_deptno"
+
+ORDER_WIDE_UPSERT = f"""
+WITH od AS (SELECT DISTINCT {_DETAIL_ID} AS id, l_orderkey, l_partkey, l_extendedprice FROM lineitem),
+oi AS (
+  SELECT r.*, c.c_nationkey, CASE WHEN r.type = 'update' THEN 3 ELSE 2 END * (1::BIGINT << 40) + o_orderkey AS oi_seq
+  FROM ({_ORDER_ROWS}) r LEFT JOIN customer c ON c.c_custkey = r.o_custkey
+),
+act AS (
+  SELECT DISTINCT {_DETAIL_ID} AS id, CAST(l_suppkey AS VARCHAR) AS activity_id, {_money('l_discount')} AS activity_rule_id
+  FROM lineitem WHERE l_discount > 0.05
+),
+w AS (
+  SELECT od.id, CAST(od.l_orderkey AS VARCHAR) AS order_id, CAST(od.l_partkey AS VARCHAR) AS sku_id,
+    {_money('od.l_extendedprice')} AS split_total_amount, CAST(oi.o_custkey AS VARCHAR) AS user_id,
+    CAST(oi.c_nationkey AS VARCHAR) AS province_id, strftime(oi.op_time, '%Y-%m-%d %H:%M:%S') AS operate_time, oi.order_status, oi.type,
+    {_EPOCH_S.format(c='oi.o_orderdate', shift='oi.shift')} AS oi_ts, oi.oi_seq, act.activity_id, act.activity_rule_id,
+    row_number() OVER (PARTITION BY od.id ORDER BY oi.oi_seq DESC, act.activity_rule_id DESC) AS rn
+  FROM od JOIN oi ON od.l_orderkey = oi.o_orderkey LEFT JOIN act ON act.id = od.id
+)
+SELECT * EXCLUDE (rn) FROM w WHERE rn = 1
+"""
+
+
 INTERVAL_JOIN = """
 WITH ev AS (SELECT event_id, user_id, event_type, epoch_us(ts) // 1000 AS ms FROM events)
 SELECT c.event_id AS click_id, c.user_id, c.ms AS click_ts, v.event_id AS view_id,
@@ -362,6 +400,9 @@ ORACLE: dict[str, str] = {
     "order_wide": ORDER_WIDE,
     "order_wide_latest": ORDER_WIDE_LATEST,
     "order_placed": ORDER_PLACED,
+    "order_wide_upsert": ORDER_WIDE_UPSERT,
+    "join_left_changes": JOIN_LEFT_CHANGES,
+    "join_full_upsert": JOIN_FULL_UPSERT,
     "join_inner": _demo_join("inner"),
     "join_left": _demo_join("left"),
     "join_right": _demo_join("right"),

@@ -187,6 +187,28 @@ def order_wide_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide_report(_wide(spark, sf_dir, newest=True))
 
 
+@query("order_wide_upsert")
+def order_wide_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details joined with every order record and, when it comes, their activity: written to an
+    upsert topic (several records and tombstones a key), and the table that the topic stands for."""
+    from shoal.operators import joins
+    from shoal.operators.changes import join_changes
+    from shoal.operators.upsert import table_of_records
+    from shoal.sinks.writers import as_upsert_records
+    kept = _changes(spark, sf_dir)
+    orders = joins.order_info_rows(kept).drop("old")
+    details = joins.order_detail_rows(kept).select("id", "order_id", "sku_id", "split_total_amount")
+    left = details.join(orders, details["order_id"] == orders["oi_id"]).drop("oi_id")
+    activities = joins.activity_rows(kept, keep=["seq"])
+    changes = join_changes(left, activities, "id", "act_detail_id", "oi_seq", "seq", "left")
+    # changes of one arrival: the order record that came last is the newest
+    order = ["at", "nth", "came"]
+    rows = changes.withColumn("came", F.col("oi_seq")).drop("act_detail_id", "seq")
+    fields = [c for c in rows.columns if c not in ("op", *order)]
+    schema = ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in fields)
+    return table_of_records(as_upsert_records(rows, ["id"], carry=order), schema, order)
+
+
 @query("order_placed")
 def order_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shoal.operators.joins import order_placed as placed
@@ -217,6 +239,32 @@ def _demo_join(how: str):
 for _how in ("inner", "left", "right", "full"):
     query(f"join_{_how}")(_demo_join(_how))
 
+
+def _arriving(spark: SparkSession, sf_dir: str):
+    """The two demo tables with an arrival order over both: odd numbers are the second table's."""
+    emp, dept = _emp_dept(spark, sf_dir)
+    return emp.withColumn("emp_at", F.col("empno") * 2), dept.withColumn("dept_at", F.col("d_deptno") * 20 + 1)
+
+
+@query("join_left_changes")
+def join_left_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a left join of the two growing tables emits and takes back."""
+    from shoal.operators.changes import join_changes
+    return join_changes(*_arriving(spark, sf_dir), "deptno", "d_deptno", "emp_at", "dept_at", "left") \
+        .select("op", "at", "nth", "empno", "ename", "deptno", "dname")
+
+
+@query("join_full_upsert")
+def join_full_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full join through an upsert topic: the keys of padded rows are deleted when a partner comes."""
+    from shoal.operators.changes import join_changes
+    from shoal.operators.upsert import table_of_records
+    from shoal.sinks.writers import as_upsert_records
+    changes = join_changes(*_arriving(spark, sf_dir), "deptno", "d_deptno", "emp_at", "dept_at", "full")
+    records = as_upsert_records(changes.drop("emp_at", "dept_at"), ["empno", "d_deptno"], carry=["at", "nth"])
+    return table_of_records(records, "empno bigint, ename string, deptno bigint, d_deptno bigint, dname string", ["at", "nth"])
+
+
 # Fixed value: band of the interval-join report (the demo uses 5 ms; the
 # generated events are minutes apart, so the report uses six hours).
 INTERVAL_BOUND_MS = 6 * 3600 * 1000

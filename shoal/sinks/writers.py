@@ -3,7 +3,8 @@
 Topic writers need the Spark Kafka connector; the file writers are the same
 contract on a shared folder (the built-in file sink is exactly-once through
 its metadata log). Kafka output from Spark is at-least-once; consumers of an
-upsert topic keep the last record per key, so replays are harmless.
+upsert topic keep the last record per key, so replays are harmless; those of
+other topics drop records whose id they have seen (``sources.kafka.once``).
 """
 
 from __future__ import annotations
@@ -19,10 +20,23 @@ def as_text_records(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 
-def as_upsert_records(df: DataFrame, key_cols: Sequence[str]) -> DataFrame:
-    """Rows -> ``key`` (JSON of the key columns) and ``value`` (JSON row)."""
-    return df.select(F.to_json(F.struct(*key_cols)).alias("key"),
-                     F.to_json(F.struct(*df.columns)).alias("value"))
+def as_upsert_records(df: DataFrame, key_cols: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """Rows -> ``key`` (JSON of the key columns) and ``value`` (JSON row).
+
+    Of a change stream (a column ``op``) rows that are taken back become tombstones: their
+    key with a NULL value. ``carry`` columns (the order of the changes) stay beside them and
+    are not part of the value."""
+    value = F.to_json(F.struct(*[c for c in df.columns if c not in ("op", *carry)]))
+    if "op" in df.columns:
+        value = F.when(F.col("op") != "-D", value)
+    return df.select(*carry, F.to_json(F.struct(*key_cols)).alias("key"), value.alias("value"))
+
+
+def with_record_headers(records: DataFrame) -> DataFrame:
+    """``record_id`` as a record header, where ``sources.kafka.read_kafka_facts`` finds it. The id
+    names the fact, not the attempt to write it: a replayed micro-batch writes the same ids."""
+    header = F.struct(F.lit("record_id").alias("key"), F.col("record_id").cast("binary").alias("value"))
+    return records.withColumn("headers", F.array(header)).drop("record_id")
 
 
 def write_kafka_stream(records: DataFrame, servers: str, checkpoint: str,
@@ -75,7 +89,7 @@ def write_dim_batch(routed: DataFrame, path: str, batch_id: int) -> None:
         .parquet(f"{path}/entries/batch={batch_id}")
 
 
-def _ids(spark, folder: str, name: str) -> list[int]:
+def whole_folders(spark, folder: str, name: str) -> list[int]:
     """Numbers of the whole sub-folders ``name=<id>`` (those that Spark finished)."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(folder)
@@ -87,10 +101,18 @@ def _ids(spark, folder: str, name: str) -> list[int]:
                   and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
 
 
+def remove_folders(spark, folder: str, name: str, keep: int) -> None:
+    """Remove all but the last ``keep`` whole sub-folders ``name=<id>``."""
+    jvm = spark._jvm
+    for i in whole_folders(spark, folder, name)[:-keep]:
+        old = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}={i}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
 def read_dim_entries(spark, path: str) -> DataFrame:
     """The last snapshot's entries and those of the batches after it."""
-    done = _ids(spark, f"{path}/snapshots", "upto")[-1:]
-    after = [i for i in _ids(spark, f"{path}/entries", "batch") if not done or i > done[0]]
+    done = whole_folders(spark, f"{path}/snapshots", "upto")[-1:]
+    after = [i for i in whole_folders(spark, f"{path}/entries", "batch") if not done or i > done[0]]
     folders = [f"{path}/snapshots/upto={i}" for i in done] + [f"{path}/entries/batch={i}" for i in after]
     out = spark.createDataFrame([], ENTRIES)
     for folder in folders:

@@ -14,21 +14,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoal.operators import cdc, logs
-from shoal.streaming.stateful import FIX_OUT, FixIsNewProcessor
+from shoal.streaming.stateful import FIX_OUT, FixIsNewProcessor, by_device
 
 
-def log_split_stream(raw: DataFrame, granularity: str = "day") -> DataFrame:
-    """Log text stream -> ``route, mid, value`` rows for the six topics (dirty,
+def log_split_stream(raw: DataFrame, granularity: str = "day", history: DataFrame | None = None) -> DataFrame:
+    """Log text stream -> ``route, mid, value, record_id`` rows for the six topics (dirty,
     error, start, display, action, page), with the new-visitor flag
-    repaired by keyed state on the device id (NULL for dirty text)."""
+    repaired by keyed state on the device id (NULL for dirty text). A new query starts
+    from ``history`` (``visitors.first_visits``), if there is one."""
     clean, dirty = logs.split_dirty(raw, keep_text=True)
     # the original text travels through the state processor; only the control
     # columns are read from the parse here
     fixed = clean.select("mid", "seq", "ts", "is_new", "last_page_id", "value").groupBy("mid").transformWithState(
-        FixIsNewProcessor(granularity), FIX_OUT, "Append", "None")
-    again = logs.parse_log(fixed.select(F.col("is_new").alias("flag"), "value"))
+        FixIsNewProcessor(granularity), FIX_OUT, "Append", "None", initialState=by_device(history))
+    again = logs.parse_log(fixed.select("seq", F.col("is_new").alias("flag"), "value"))
     routed = logs.route_log(again.withColumn("is_new", F.col("flag")))
-    return routed.unionByName(dirty.select(F.lit("dirty").alias("route"), F.lit(None).cast("string").alias("mid"), "value"))
+    return routed.unionByName(dirty.select(F.lit("dirty").alias("route"), F.lit(None).cast("string").alias("mid"), "value",
+                                           F.col("seq").cast("string").alias("record_id")))
 
 
 def event_time(df: DataFrame, seconds_col: str = "ts", name: str = "event_time",
@@ -95,6 +97,21 @@ def order_joined_stream(changes: DataFrame, bound: str = "5 seconds", delay: str
     return j.drop("od_time", "oi_time", "act_time", "cou_time")
 
 
+def order_changes_stream(changes: DataFrame, idle_ms: int | None = 5000) -> DataFrame:
+    """The order wide rows as a change stream: detail ⋈ order ⟕ activity ⟕ coupon.
+
+    A detail comes out as soon as its order record is there, without activity and coupon
+    if they are not, and is taken back when one comes. Rows that nothing meets for
+    ``idle_ms`` of processing time are dropped (None: kept for ever); there is no
+    watermark, so no record is late."""
+    from shoal.operators.joins import activity_rows, coupon_rows, order_detail_rows, order_info_rows
+    from shoal.streaming.changes import retracting_join
+    kept = cdc.filter_change_envelope(changes)
+    j = retracting_join(order_detail_rows(kept), order_info_rows(kept), "order_id", "oi_id", "inner", idle_ms)
+    j = retracting_join(j, activity_rows(kept), "id", "act_detail_id", "left", idle_ms)
+    return retracting_join(j, coupon_rows(kept), "id", "cou_detail_id", "left", idle_ms)
+
+
 def order_wide_batch(joined: DataFrame, dic: DataFrame) -> DataFrame:
     """Wide rows of a micro-batch of joined details, the dictionary as of that batch."""
     from shoal.operators.joins import with_dictionary
@@ -139,6 +156,22 @@ def dim_sink_batch(config: Callable[[], DataFrame], path: str, database: str | N
     return run
 
 
+def dim_store_batch(config: Callable[[], DataFrame], store):
+    """``foreachBatch`` body of the dimension job on a ``DimStore``: a micro-batch, routed with the
+    configuration as of now, writes only the buckets that its keys fall into."""
+    from shoal.operators import dims
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        store.merge(dims.route_dimensions(batch, config()), batch_id)
+    return run
+
+
+def late_rows(progress: dict) -> int:
+    """Rows that a micro-batch's stateful operators dropped as late (of ``query.recentProgress``).
+    A chain of operators may count a row's pairs more than once; 0 means nothing was lost."""
+    return sum(o.get("numRowsDroppedByWatermark", 0) for o in progress["stateOperators"])
+
+
 def interval_join_stream(left: DataFrame, right: DataFrame, key: str, left_time: str,
                          right_time: str, lower_ms: int, upper_ms: int,
                          right_key: str | None = None) -> DataFrame:

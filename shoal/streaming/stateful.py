@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from shoal.operators.visitors import JUMP_WITHIN_MS, MATCH, TIMEOUT, control
+from shoal.operators.visitors import JUMP_WITHIN_MS, LATE, MATCH, TIMEOUT, control
 
 DAY_MS = 86_400_000
 _PATTERNS = {"day": "%Y-%m-%d", "second": "%Y-%m-%d %H:%M:%S"}
@@ -64,6 +64,9 @@ class FixIsNewProcessor(StatefulProcessor):
         if first is not None:
             self.first.update((first,))
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.first.update((initialState.d,))
+
     def close(self) -> None:
         pass
 
@@ -92,13 +95,17 @@ class UniqueVisitorProcessor(StatefulProcessor):
         if changed:
             self.last.update((last,))
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.last.update((initialState.d,))
+
     def close(self) -> None:
         pass
 
 
 class UserJumpProcessor(StatefulProcessor):
     """State: the entry page waiting for its successor, with an event-time
-    timer at ``ts + within``."""
+    timer at ``ts + within``. Rows behind the watermark touch no state and come out
+    as they are, with reason ``late``."""
 
     def __init__(self, within_ms: int = JUMP_WITHIN_MS):
         self.within_ms = within_ms
@@ -112,7 +119,11 @@ class UserJumpProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         p = self.pending.get() if self.pending.exists() else None
+        reached = timerValues.getCurrentWatermarkInMs()
         for r in sorted(rows, key=lambda r: (r.ts, r.seq)):
+            if r.ts < reached:
+                yield self._emit(key[0], (r.seq, r.ts, r.value), LATE)
+                continue
             if p is not None:
                 if r.ts - p[1] >= self.within_ms:
                     yield self._emit(key[0], p, TIMEOUT)
@@ -154,25 +165,39 @@ def keyed_input(log: DataFrame) -> DataFrame:
                       _record_text(log).alias("value"))
 
 
-def fix_is_new_stream(log: DataFrame, granularity: str = "day") -> DataFrame:
+def fix_is_new_stream(log: DataFrame, granularity: str = "day", history: DataFrame | None = None) -> DataFrame:
+    """``history``: ``visitors.first_visits`` of the records before the stream, with which a new
+    query starts (a restarted one has its own state)."""
     return keyed_input(log).groupBy("mid").transformWithState(
-        FixIsNewProcessor(granularity), FIX_OUT, "Append", "None")
+        FixIsNewProcessor(granularity), FIX_OUT, "Append", "None", initialState=by_device(history))
 
 
 def unique_visitor_stream(log: DataFrame, granularity: str = "day",
-                          ttl_ms: int = DAY_MS) -> DataFrame:
+                          ttl_ms: int = DAY_MS, history: DataFrame | None = None) -> DataFrame:
+    """``history``: ``visitors.last_visits`` of the records before the stream."""
     return keyed_input(log).groupBy("mid").transformWithState(
-        UniqueVisitorProcessor(granularity, ttl_ms), VISIT_OUT, "Append", "ProcessingTime")
+        UniqueVisitorProcessor(granularity, ttl_ms), VISIT_OUT, "Append", "ProcessingTime", initialState=by_device(history))
+
+
+def by_device(history: DataFrame | None):
+    return None if history is None else history.select("mid", "d").groupBy("mid")
 
 
 def user_jump_stream(log: DataFrame, within_ms: int = JUMP_WITHIN_MS,
-                     delay: str = "0 seconds") -> DataFrame:
-    """Event time from ``ts`` with a monotonous watermark (``delay`` 0):
-    records older than the watermark are dropped, as the pattern operator
-    drops late records."""
+                     delay: str = "0 seconds", keep_late: bool = False) -> DataFrame:
+    """Event time from ``ts`` with a monotonous watermark (``delay`` 0): records older than the
+    watermark take no part in the pattern. They are counted in the query's progress (observed
+    as ``user_jump``: ``rows`` out and ``late``) and, with ``keep_late``, come out with reason
+    ``late``; otherwise they go.
+
+    The rows bring their time as a plain column, so Spark's own filter of late rows, which
+    says nothing, doesn't see them; the watermark itself is the query's."""
     timed = log.withColumn("event_time", F.timestamp_millis("ts")).withWatermark("event_time", delay)
     timed = timed.where(control(log, "mid").isNotNull() & F.col("ts").isNotNull())
-    src = timed.select("seq", "ts", "event_time", *[control(log, c).alias(c) for c in ("mid", "is_new", "last_page_id")],
+    src = timed.select("seq", "ts", *[control(log, c).alias(c) for c in ("mid", "is_new", "last_page_id")],
                        _record_text(timed, "common", "page", "ts").alias("value"))
-    return src.groupBy("mid").transformWithState(
+    out = src.groupBy("mid").transformWithState(
         UserJumpProcessor(within_ms), JUMP_OUT, "Append", "EventTime")
+    late = F.col("reason") == LATE
+    out = out.observe("user_jump", F.count(F.lit(1)).alias("rows"), F.count_if(late).alias(LATE))
+    return out if keep_late else out.where(~late)
