@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoal.llm.byte_bpe import laid_out, runs, same_bytes
-from shoal.llm.common import CHUNK_BYTES, arrow_schema, ragged, saved, text_chunks
+from shoal.llm.common import CHUNK_BYTES, arrow_schema, chunks, ragged, saved, text_chunks
 from shoal.llm.tokens import default_tokenizer, encoder
 
 #: A pair of ids is one number: the first id above this many bits.
@@ -42,6 +42,8 @@ LOW = (1 << BITS) - 1
 SLICE = 1 << 21
 #: Bytes of text in a block whose pairs are counted together.
 BLOCK_BYTES = 4 * CHUNK_BYTES
+#: Bytes of text aligned at once (A's ids come a chunk at a time).
+PART_BYTES = CHUNK_BYTES // 4
 
 
 def default_pieces() -> str:
@@ -97,16 +99,15 @@ def coalesced(a_size: np.ndarray, b_size: np.ndarray) -> tuple[np.ndarray, np.nd
     return group[:len(a_size)], group[len(a_size):]
 
 
-def tokens(texts: list[str], path_a: str, path_b: str):
-    """Ids of A and B in a row and each text's number of them; texts that don't come back byte by byte have none."""
-    full = [" " + t if t else "" for t in texts]
+def tokens(full: list[str], a_ids: np.ndarray, a_n: np.ndarray, path_a: str, path_b: str):
+    """Ids of A and B in a row and each text's number of them; texts that don't come back byte by byte have none.
+
+    ``full``: the texts with their space; ``a_ids``, ``a_n``: what A makes of them."""
     lib, b_flat, b_off = pieces(path_b)
     a_flat, a_off = byte_level_bytes(path_a)
-    a_ids, a_first = encoder(path_a).encode(full)
-    found = lib.encode(texts, num_threads=1)
+    found = [np.array(lib.encode(t[1:], num_threads=1), np.int64) for t in full]
     b_n = np.array([len(x) for x in found], np.int64)
-    b_ids = np.array([x for ids in found for x in ids], np.int64)
-    a_ids, a_n = a_ids.astype(np.int64), np.diff(a_first)
+    b_ids, a_ids = np.concatenate([np.zeros(0, np.int64), *found]), a_ids.astype(np.int64)
     data, off = laid_out([t.encode() for t in full])
     fits = np.diff(off) > 0
     for ids, n, flat, at in ((a_ids, a_n, a_flat, a_off), (b_ids, b_n, b_flat, b_off)):
@@ -200,8 +201,8 @@ def aligned(docs: DataFrame, path_a: str | None = None, path_b: str | None = Non
     schema = arrow_schema(block=pa.int64(), doc_id=pa.int64(), n_a=pa.int64(), n_b=pa.int64(), n_groups=pa.int64(), n_links=pa.int64(),
                           groups=pa.string(), pairs=pa.list_(pa.int64()), times=pa.list_(pa.int32()))
 
-    def of_chunk(texts: list[str], doc_ids: pa.Array, block: int):
-        a_ids, a_n, a_len, b_ids, b_n, b_len = tokens(texts, path_a, path_b)
+    def of_texts(texts: list[str], a_ids: np.ndarray, a_n: np.ndarray, doc_ids: pa.Array, block: int):
+        a_ids, a_n, a_len, b_ids, b_n, b_len = tokens(texts, a_ids, a_n, path_a, path_b)
         a_group, b_group = coalesced(a_len[a_ids], b_len[b_ids])
         n_groups = np.zeros(len(texts), np.int64)
         doc = np.zeros(0, np.int64)
@@ -231,10 +232,13 @@ def aligned(docs: DataFrame, path_a: str | None = None, path_b: str | None = Non
         for batch in batches:
             for lo, hi, data, off in text_chunks(batch.column("text")):
                 raw = data.tobytes()
-                pair, rows = of_chunk([raw[x:y].decode(errors="replace") for x, y in zip(off[:-1], off[1:], strict=True)],
-                                      batch.column("doc_id")[lo:hi], block)
-                yield rows
-                found.append(pair)
+                full = [" " + raw[x:y].decode(errors="replace") if y > x else "" for x, y in zip(off[:-1], off[1:], strict=True)]
+                a_ids, first = encoder(path_a).encode(full)
+                for i, j in chunks(off, PART_BYTES):
+                    pair, rows = of_texts(full[i:j], a_ids[first[i]:first[j]], np.diff(first[i:j + 1]),
+                                          batch.column("doc_id")[lo + i:lo + j], block)
+                    yield rows
+                    found.append(pair)
                 size += len(raw)
                 if size >= BLOCK_BYTES:
                     yield of_block(block, found)
