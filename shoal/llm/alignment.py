@@ -233,7 +233,7 @@ def aligned(docs: DataFrame, path_a: str | None = None, path_b: str | None = Non
             for lo, hi, data, off in text_chunks(batch.column("text")):
                 raw = data.tobytes()
                 full = [" " + raw[x:y].decode(errors="replace") if y > x else "" for x, y in zip(off[:-1], off[1:], strict=True)]
-                a_ids, first = encoder(path_a).encode(full)
+                a_ids, first = encoder(path_a, specials=False).encode(full)
                 for i, j in chunks(off, PART_BYTES):
                     pair, rows = of_texts(full[i:j], a_ids[first[i]:first[j]], np.diff(first[i:j + 1]),
                                           batch.column("doc_id")[lo + i:lo + j], block)

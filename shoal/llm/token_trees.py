@@ -122,7 +122,7 @@ class CountedText:
         self.text, self.enc, self.encoded = text, enc, 0
         chars, ids = leaves or enc.counts([text])[0]
         self.tree = CountTree(np.asarray(chars, np.int64), np.asarray(ids, np.int64))
-        self.whole = bool(enc._odd([text])[0])
+        self.whole = bool(enc.odd([text])[0])
 
     def edit(self, start: int, stop: int, new: str) -> None:
         """Replace code points ``start`` to ``stop`` by ``new``."""
@@ -130,7 +130,9 @@ class CountedText:
         start = min(max(start, 0), len(old))
         stop = min(max(stop, start), len(old))
         self.text = old[:start] + new + old[stop:]
-        if self.whole or self.enc._odd([new])[0]:
+        # an added token's string may begin before the new text or end behind it
+        around = self.text[max(start - self.enc.reach, 0):start + len(new) + self.enc.reach]
+        if self.whole or self.enc.odd([around])[0]:
             again = CountedText(self.text, self.enc)
             self.tree, self.whole, self.encoded = again.tree, again.whole, self.encoded + len(again.tree)
             return

@@ -7,7 +7,9 @@ in a worker as long as it stays in that worker's store, and the ids are laid out
 gathering. Texts with code points whose class could depend on the Unicode version
 (unassigned ones and rare control characters) go to the library whole.
 
-The strings of special tokens inside a text are ordinary text.
+By default ids are those the library gives: an added token's string inside a text is
+that token (such texts go to the library whole). ``specials=False`` takes it as
+ordinary text.
 """
 
 from __future__ import annotations
@@ -85,12 +87,16 @@ def split(points: np.ndarray, first: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of texts; keeps the ids of distinct pre-tokens between calls."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, specials: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
-        self.lib.encode_special_tokens = True
+        self.lib.encode_special_tokens = not specials
+        #: Strings that the library cuts out of a text before it splits the rest.
+        self.added = [t.content for t in self.lib.get_added_tokens_decoder().values() if specials or not t.special]
+        self.reach = max(map(len, self.added), default=1) - 1
+        self.kind = np.uint16 if self.lib.get_vocab_size() <= 1 << 16 else np.uint32
         rng = np.random.Generator(np.random.PCG64(99))
         self.coeff = rng.integers(1, 2**63, 256, dtype=np.uint64) | U(1)
         self.short: dict[str, int] = {}
@@ -100,22 +106,21 @@ class Encoder:
         self.keys = np.zeros(0, np.uint64)      # sorted hashes of known pre-tokens
         self.at = np.zeros(0, np.int64)         # where their ids start in ``pool``
         self.size = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.uint16)
+        self.pool = np.zeros(0, self.kind)
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         """Ids by the library alone."""
-        return [np.array(e.ids, np.uint16) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.kind) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, keys: np.ndarray, tokens: list[str]) -> None:
         found = self.lib.encode_batch_fast(tokens, add_special_tokens=False)
         ids = [e.ids for e in found]
         size = np.array([len(i) for i in ids])
         at = len(self.pool) + np.concatenate(([0], np.cumsum(size)[:-1]))
-        self.pool = np.concatenate([self.pool, np.array([x for i in ids for x in i], np.uint16)])
-        order = np.argsort(np.concatenate([self.keys, keys]), kind="stable")
-        self.keys = np.concatenate([self.keys, keys])[order]
-        self.at = np.concatenate([self.at, at])[order]
-        self.size = np.concatenate([self.size, size])[order]
+        self.pool = np.concatenate([self.pool, np.array([x for i in ids for x in i], self.kind)])
+        place = np.searchsorted(self.keys, keys)
+        self.keys, self.at, self.size = (np.insert(old, place, new) for old, new in (
+            (self.keys, keys), (self.at, at), (self.size, size)))
 
     def pretokens(self, texts: list[str]):
         """Joined text, text starts, pre-token starts and ends in code points, and their hashes."""
@@ -149,7 +154,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's ids start (and the end)."""
-        odd = self._odd(texts)
+        odd = self.odd(texts)
         plain = [t for t, o in zip(texts, odd, strict=True) if not o] if odd.any() else texts
         joined, first, start, end, key = self.pretokens(plain)
         place = self._known(joined, start, end, key)
@@ -169,7 +174,7 @@ class Encoder:
 
         A text that goes to the library whole is one pre-token here.
         """
-        odd = self._odd(texts)
+        odd = self.odd(texts)
         shown = ["" if o else t for t, o in zip(texts, odd, strict=True)] if odd.any() else texts
         joined, first, start, end, key = self.pretokens(shown)
         place = self._known(joined, start, end, key)
@@ -186,7 +191,7 @@ class Encoder:
         return out
 
     def short_counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """As ``counts`` of one short text without odd code points, by a store of its own."""
+        """As ``counts`` of one short text that is not odd, by a store of its own."""
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
         cut = [*split(points, np.array([0, len(points)])).tolist(), len(points)]
         tokens = [text[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
@@ -197,25 +202,29 @@ class Encoder:
                 self.short[t] = len(self.lib.encode(t, add_special_tokens=False).ids)
         return np.diff(cut), np.array([self.short[t] for t in tokens], np.int64)
 
-    @staticmethod
-    def _odd(texts: list[str]) -> np.ndarray:
+    def odd(self, texts: list[str]) -> np.ndarray:
+        """Which texts go to the library whole."""
         joined = "".join(texts)
+        out = np.zeros(len(texts), bool)
+        for name in self.added:
+            if name in joined:
+                out |= [name in t for t in texts]
         if joined.isascii() and not any(c in joined for c in "\x1c\x1d\x1e\x1f"):
-            return np.zeros(len(texts), bool)
+            return out
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         bad = np.concatenate(([0], np.cumsum(classes()[points] == UNSURE)))
         first = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-        return bad[first[1:]] > bad[first[:-1]]
+        return out | (bad[first[1:]] > bad[first[:-1]])
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, specials: bool = True) -> Encoder:
     """The worker's own encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, specials) not in _ENCODERS:
+        _ENCODERS[path, specials] = Encoder(path, specials)
+    return _ENCODERS[path, specials]
 
 
 def default_tokenizer() -> str:

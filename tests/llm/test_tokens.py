@@ -3,12 +3,15 @@ import random
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from llm_data import documents
 from shoal.llm.token_trees import CountedText, build_trees, count_edits
 from shoal.llm.tokens import END, classes, default_tokenizer, encode_documents, encoder
 
 PATH = default_tokenizer()
+LIBRARY = {True: Tokenizer.from_file(PATH), False: Tokenizer.from_file(PATH)}
+LIBRARY[False].encode_special_tokens = True
 PARTS = ["'s", "'", "'re", "'S", "''", " ", "  ", "\n", "\t\n", "a", "Z", "the", " the", "é", "中", "9", "½", "_", "!", "\x1c",
          "\x85", "😀", "́", "　", "​", "l", "t", "re", "<|endoftext|>", "\x00"]
 texts = st.lists(st.one_of(st.sampled_from(PARTS), st.text(max_size=3)), max_size=14).map("".join)
@@ -18,10 +21,19 @@ texts = st.lists(st.one_of(st.sampled_from(PARTS), st.text(max_size=3)), max_siz
 @given(st.lists(texts, min_size=1, max_size=4))
 def test_ids_equal_the_library(many):
     many = [t.encode("utf-8", "ignore").decode() for t in many]
-    enc = encoder(PATH)
-    ids, off = enc.encode(many)
-    for i, want in enumerate(enc.whole(many)):
-        assert ids[off[i]:off[i + 1]].tolist() == want.tolist()
+    for specials in (True, False):
+        ids, off = encoder(PATH, specials).encode(many)
+        for i, want in enumerate(LIBRARY[specials].encode_batch(many, add_special_tokens=False)):
+            assert ids[off[i]:off[i + 1]].tolist() == want.ids
+
+
+def test_strings_of_added_tokens():
+    text = "a<|endoftext|>b"
+    assert encoder(PATH).encode([text, "a"])[0].tolist() == [64, 50256, 65, 64]
+    assert 50256 not in encoder(PATH, specials=False).encode([text])[0]
+    doc = CountedText("a<|endof>b and more words", encoder(PATH))
+    doc.edit(8, 8, "text|")
+    assert doc.tree.n_ids == len(LIBRARY[True].encode(doc.text, add_special_tokens=False).ids)
 
 
 def test_classes_of_code_points_equal_the_library():
