@@ -1,18 +1,19 @@
 """Token ids in grammar-compressed files (Re-Pair), with random-access decoding.
 
 Documents are encoded in ascending doc_id order and gathered in shards of about
-``SHARD_IDS`` ids. In each shard frequent id pairs are replaced by nonterminals, round
-after round: pairs are counted, those found often enough become rules, and their
-occurrences, left to right without overlap, are replaced. Rules and expansion lengths
-are stored before the symbols, so any id range of a document is decoded from its own
+``SHARD_IDS`` ids. In each shard id pairs are replaced by nonterminals, round after
+round: all pairs are counted, of overlapping occurrences the one of the more frequent
+pair is replaced (in a run of one pair every second, from the first), and rounds go on
+until no pair saves more bits than its rule takes. Rules and expansion lengths are
+stored before the symbols, so any id range of a document is decoded from its own
 symbols. No rule crosses the end of a document.
 
-A shard is one binary value (little-endian): ``RPG1``, uint32 counts of documents,
-rules and symbols; per document an int64 doc_id, a uint8 null mark, uint32 place of
+A shard is one binary value (little-endian): ``RPG2``, uint32 counts of documents,
+rules and symbols, uint32 first rule's symbol, uint8 bits of a symbol and of an
+expansion length; per document an int64 doc_id, a uint8 null mark, uint32 place of
 its first symbol and uint64 place of its first id (each with the total at the end);
-per rule two uint32 symbols and a uint32 expansion length; uint32 symbols. Symbols
-from ``FIRST_RULE`` on are rules. Shards are rows of a Parquet folder, numbered by
-partition and place.
+then bit-packed in uint64 words: two symbols a rule, an expansion length a rule, the
+symbols. Shards are rows of a Parquet folder, numbered by partition and place.
 
 Defined results: null is the empty text, which has the end id only; rows of one
 doc_id follow each other by text, rows without one come first; an empty table gives
@@ -33,71 +34,127 @@ from pyspark.sql import functions as F
 from shoal.llm.common import arrow_schema, text_chunks
 from shoal.llm.tokens import END, default_tokenizer, encode_documents
 
-FIRST_RULE = 1 << 16
 SHARD_IDS = 1 << 19
-ROUNDS = 6
-#: A pair becomes a rule if a shard's round has it so often.
-FREQUENT = 12
-BINS = 20
-MAGIC = b"RPG1"
-
-
-def _pair_bins(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a * np.uint32(0x9E3779B1) ^ (b + np.uint32(0x7F4A7C15)) * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BINS)
-
-
-def compress(ids: np.ndarray, last: np.ndarray, rounds: int = ROUNDS, frequent: int = FREQUENT):
+#: A rule takes two symbols and a length; a pair found less often saves nothing.
+LEAST = 4
+MAGIC = b"RPG2"
+
+
+def packed(values: np.ndarray, bits: int) -> bytes:
+    """Values of ``bits`` bits (up to 63) each, in uint64 words."""
+    values = values.astype(np.uint64)
+    if not len(values):
+        return b""
+    at = np.arange(len(values)) * bits
+    word, shift = at >> 6, (at & 63).astype(np.uint64)
+    begin = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+    out = np.zeros((len(values) * bits + 63) // 64, np.uint64)
+    out[word[begin]] = np.add.reduceat(values << shift, begin)
+    over = np.flatnonzero((at & 63) + bits > 64)
+    out[word[over] + 1] |= values[over] >> (np.uint64(64) - shift[over])
+    return out.astype("<u8").tobytes()
+
+
+def unpacked(words: np.ndarray, count: int, bits: int) -> np.ndarray:
+    at = np.arange(count) * bits
+    word, shift = at >> 6, (at & 63).astype(np.uint64)
+    words = np.append(words, np.uint64(0))
+    out = words[word] >> shift
+    over = np.flatnonzero((at & 63) + bits > 64)
+    out[over] |= words[word[over] + 1] << (np.uint64(64) - shift[over])
+    return (out & np.uint64((1 << bits) - 1)).astype(np.uint32)
+
+
+def _bits(most: int) -> int:
+    return max(int(most).bit_length(), 1)
+
+
+def _counted(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs, the number of each occurrence's pair, and counts; pairs of 32-bit symbols side by side."""
+    width = _bits(len(pair))
+    low = np.uint64((1 << 32) - 1)
+    left, right = pair >> np.uint64(32), pair & low
+    side = _bits(max(int(left.max()), int(right.max())))
+    if 2 * side + width > 64:
+        names, which, count = np.unique(pair, return_inverse=True, return_counts=True)
+        return names, which, count
+    # the place rides along in the low bits: one plain sort instead of an indirect one
+    key = np.sort(((left << np.uint64(side)) | right) << np.uint64(width) | np.arange(len(pair), dtype=np.uint64))
+    place = (key & np.uint64((1 << width) - 1)).astype(np.int64)
+    key >>= np.uint64(width)
+    new = np.concatenate(([True], key[1:] != key[:-1]))
+    which = np.empty(len(pair), np.int64)
+    which[place] = np.cumsum(new) - 1
+    begin = np.flatnonzero(new)
+    names = key[begin]
+    names = (names >> np.uint64(side)) << np.uint64(32) | (names & np.uint64((1 << side) - 1))
+    return names, which, np.diff(np.append(begin, len(key)))
+
+
+def _chosen(at: np.ndarray, which: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Of occurrences at places ``at`` those replaced: none overlap, the more frequent pair goes first."""
+    rank = np.empty(len(count), np.int64)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+    level = rank[which]
+    touch = at[1:] == at[:-1] + 1
+    same = touch & (level[1:] == level[:-1])
+    begin = np.concatenate(([True], ~same))
+    run = np.maximum.accumulate(np.where(begin, np.arange(len(at)), 0))
+    free = (np.arange(len(at)) - run) % 2 == 0
+    free[1:] &= ~(touch & (level[:-1] > level[1:]))
+    free[:-1] &= ~(touch & (level[1:] > level[:-1]))
+    return free
+
+
+def compress(ids: np.ndarray, last: np.ndarray, first_rule: int | None = None, least: int = LEAST):
     """``(symbols, last, rules, lengths)``; ``last`` marks the ends of documents."""
+    first_rule = int(ids.max(initial=0)) + 1 if first_rule is None else first_rule
     seq, rules, lengths = ids.astype(np.uint32), [], [np.ones(0, np.uint32)]
     n_rules = 0
     size = np.ones(0, np.uint32)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
-        a, b = seq[:-1], seq[1:]
-        h = _pair_bins(a, b)
-        inside = ~last[:-1]
-        often = np.bincount(h[inside], minlength=1 << BINS) >= frequent
-        at = np.flatnonzero(often[h] & inside)
+    # places whose pair may pay: a pair too rare once stays so unless one of its symbols is new
+    live = ~last
+    while True:
+        at = np.flatnonzero(live[:-1])
         if not len(at):
             break
-        pair = a[at].astype(np.uint64) << np.uint64(32) | b[at]
-        names, which, count = np.unique(pair, return_inverse=True, return_counts=True)
-        hit = count[which] >= frequent
+        names, which, count = _counted(seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1])
+        hit = count[which] >= least
         at, which = at[hit], which[hit]
-        # of occurrences in a row, every second one starting with the first
-        begin = np.ones(len(at), bool)
-        begin[1:] = at[1:] != at[:-1] + 1
-        run = np.maximum.accumulate(np.where(begin, np.arange(len(at)), 0))
-        free = (np.arange(len(at)) - run) % 2 == 0
+        if not len(at):
+            break
+        live = np.zeros(len(seq), bool)
+        live[at] = True
+        free = _chosen(at, which, count)
         at, which = at[free], which[free]
-        used, which, count = np.unique(which, return_inverse=True, return_counts=True)
-        worth = count >= 3
+        found = np.bincount(which, minlength=len(names))
+        worth = found >= least
+        if not worth.any():
+            break
         keep = worth[which]
         at, which = at[keep], (np.cumsum(worth) - 1)[which[keep]]
-        names = names[used[worth]]
-        if not len(names):
-            break
+        names = names[worth]
         left, right = (names >> np.uint64(32)).astype(np.uint32), (names & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         rules.append(np.column_stack([left, right]))
-        lengths.append(_length(left, size) + _length(right, size))
+        lengths.append(_length(left, size, first_rule) + _length(right, size, first_rule))
         size = np.concatenate(lengths)
         seq = seq.copy()
-        seq[at] = FIRST_RULE + n_rules + which
+        seq[at] = first_rule + n_rules + which
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
         last = last.copy()
         last[at] = last[at + 1]
-        seq, last = seq[stay], last[stay]
+        live[at] = live[np.maximum(at - 1, 0)] = True
+        seq, last, live = seq[stay], last[stay], (live & ~last)[stay]
         n_rules += len(names)
     return seq, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), size
 
 
-def _length(symbols: np.ndarray, size: np.ndarray) -> np.ndarray:
+def _length(symbols: np.ndarray, size: np.ndarray, first_rule: int) -> np.ndarray:
     """Expansion lengths of symbols."""
     out = np.ones(len(symbols), np.uint32)
-    rule = symbols >= FIRST_RULE
-    out[rule] = size[symbols[rule] - FIRST_RULE]
+    rule = symbols >= first_rule
+    out[rule] = size[symbols[rule] - first_rule]
     return out
 
 
@@ -105,13 +162,15 @@ def pack_shard(doc_ids: list, ids: np.ndarray, start: np.ndarray) -> bytes:
     """The bytes of a shard of documents, whose ids start at ``start``."""
     last = np.zeros(len(ids), bool)
     last[start[1:] - 1] = True
-    seq, last, rules, size = compress(ids, last)
+    first_rule = int(ids.max(initial=0)) + 1
+    seq, last, rules, size = compress(ids, last, first_rule)
     symbol_start = np.concatenate(([0], np.flatnonzero(last) + 1)).astype("<u4")
+    bits, long = _bits(first_rule + len(rules)), _bits(size.max(initial=0))
     return b"".join([
-        MAGIC, struct.pack("<III", len(doc_ids), len(rules), len(seq)),
+        MAGIC, struct.pack("<IIIIBB", len(doc_ids), len(rules), len(seq), first_rule, bits, long),
         np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.array([d is None for d in doc_ids], "u1").tobytes(),
         symbol_start.tobytes(), start.astype("<u8").tobytes(),
-        rules.astype("<u4").tobytes(), size.astype("<u4").tobytes(), seq.astype("<u4").tobytes()])
+        packed(rules.ravel(), bits), packed(size, long), packed(seq, bits)])
 
 
 class Shard:
@@ -120,8 +179,8 @@ class Shard:
     def __init__(self, raw: bytes):
         if raw[:4] != MAGIC:
             raise ValueError("not a grammar shard")
-        n, r, s = struct.unpack_from("<III", raw, 4)
-        at = 16
+        n, r, s, self.first_rule, bits, long = struct.unpack_from("<IIIIBB", raw, 4)
+        at = 4 + struct.calcsize("<IIIIBB")
 
         def take(kind: str, count: int) -> np.ndarray:
             nonlocal at
@@ -129,28 +188,42 @@ class Shard:
             at += out.nbytes
             return out
 
+        def take_bits(count: int, width: int) -> np.ndarray:
+            return unpacked(take("<u8", (count * width + 63) // 64), count, width)
+
         ids, null = take("<i8", n), take("u1", n)
         self.doc_ids = [None if z else int(i) for i, z in zip(ids, null, strict=True)]
         self.symbol_start, self.start = take("<u4", n + 1), take("<u8", n + 1).astype(np.int64)
-        self.rules, self.size = take("<u4", 2 * r).reshape(r, 2), take("<u4", r)
-        self.symbols = take("<u4", s)
+        self.rules = take_bits(2 * r, bits).reshape(r, 2)
+        self.size = take_bits(r, long)
+        self.symbols = take_bits(s, bits)
+        self._store = None
+
+    def _expanded(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of every symbol in a row, and where each symbol's start."""
+        if self._store is None:
+            flat = np.arange(self.first_rule + len(self.rules), dtype=np.uint32)
+            while (rule := flat >= self.first_rule).any():
+                width = 1 + rule.astype(np.int64)
+                out = np.repeat(flat, width)
+                at = (np.cumsum(width) - width)[rule]
+                pair = self.rules[flat[rule] - self.first_rule]
+                out[at], out[at + 1] = pair[:, 0], pair[:, 1]
+                flat = out
+            begin = np.concatenate((np.arange(self.first_rule), self.first_rule + np.cumsum(self.size, dtype=np.int64) - self.size))
+            self._store = flat, begin
+        return self._store
 
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        while True:
-            rule = symbols >= FIRST_RULE
-            if not rule.any():
-                return symbols
-            width = 1 + rule.astype(np.int64)
-            out = np.repeat(symbols, width)
-            at = (np.cumsum(width) - width)[rule]
-            pair = self.rules[symbols[rule] - FIRST_RULE]
-            out[at], out[at + 1] = pair[:, 0], pair[:, 1]
-            symbols = out
+        flat, begin = self._expanded()
+        size = _length(symbols, self.size, self.first_rule).astype(np.int64)
+        before = np.cumsum(size) - size
+        return flat[np.repeat(begin[symbols] - before, size) + np.arange(size.sum())]
 
     def ids(self, doc: int, lo: int = 0, hi: int | None = None) -> np.ndarray:
         """Ids ``lo`` to ``hi`` of the shard's document number ``doc``; only symbols that reach there are expanded."""
         symbols = self.symbols[self.symbol_start[doc]:self.symbol_start[doc + 1]]
-        ends = np.cumsum(_length(symbols, self.size).astype(np.int64))
+        ends = np.cumsum(_length(symbols, self.size, self.first_rule).astype(np.int64))
         hi = int(ends[-1]) if hi is None else min(hi, int(ends[-1]))
         lo = min(lo, hi)
         a, b = np.searchsorted(ends, [lo, hi], side="right")

@@ -1,7 +1,7 @@
 import numpy as np
 
 from llm_data import documents, frame
-from shoal.llm.grammar_files import FIRST_RULE, Shard, compress, crc32, pack_shard, read_ids, read_shards, write_ids
+from shoal.llm.grammar_files import Shard, compress, crc32, pack_shard, packed, read_ids, read_shards, unpacked, write_ids
 from shoal.llm.tokens import default_tokenizer, encoder
 
 
@@ -33,10 +33,44 @@ def test_no_rule_crosses_a_document():
     last = np.zeros(len(ids), bool)
     last[np.cumsum([len(d) for d in docs]) - 1] = True
     symbols, end, rules, size = compress(ids, last)
-    assert end.sum() == len(docs) and symbols.max() >= FIRST_RULE
+    assert end.sum() == len(docs) and symbols.max() > ids.max() and len(rules)
     assert compress(np.zeros(0, int), np.zeros(0, bool))[0].size == 0
 
 
+def test_no_pair_is_left_that_pays():
+    ids = np.concatenate(docs_of(3))
+    last = np.zeros(len(ids), bool)
+    symbols, *_ = compress(ids, last, least=4)
+    count = {}
+    free = {}
+    for i, pair in enumerate(zip(symbols[:-1].tolist(), symbols[1:].tolist(), strict=True)):
+        if free.get(pair, 0) <= i:
+            count[pair], free[pair] = count.get(pair, 0) + 1, i + 2
+    assert max(count.values()) < 4
+
+
+def test_overlapping_pairs_go_by_frequency():
+    ids = np.array([1, 2, 3] * 5 + [2, 3] * 10)
+    symbols, _, rules, _ = compress(ids, np.zeros(len(ids), bool))
+    assert rules[0].tolist() == [2, 3]
+
+
+def test_packed_values_come_back():
+    rng = np.random.default_rng(4)
+    for bits in (1, 7, 16, 17, 31, 32):
+        for n in (0, 1, 5, 1000):
+            values = rng.integers(0, 1 << bits, n).astype(np.uint32)
+            assert unpacked(np.frombuffer(packed(values, bits), "<u8"), n, bits).tolist() == values.tolist()
+
+
+def test_shards_are_smaller_than_raw_ids(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    docs = [np.append(x, 0) for x in encoder(default_tokenizer()).whole(texts)]
+    start = np.concatenate(([0], np.cumsum([len(d) for d in docs])))
+    raw = pack_shard(list(range(len(docs))), np.concatenate(docs), start)
+    assert len(raw) < 2 * start[-1]
+
+
 def test_files_hold_all_documents_in_order(spark, tmp_path):
     rows = documents()
     order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode()))
