@@ -3,8 +3,8 @@
 A window of ``K`` bytes is a closed syncmer if the least hash among its ``S``-byte
 substrings stands at its first or last place. Whether it is one depends on the
 window alone, so a passage keeps its anchors wherever it stands. A fingerprint is
-the sequence of the anchors' 32-bit hashes in text order (base64); a text without
-an anchor, a short one above all, is its own single anchor.
+the sequence of the anchors' 16-bit hashes in text order (base64); a text without
+an anchor, a short one above all, is written as the four parts of its own 64-bit hash.
 
 Likeness is positional: equal anchors (the n-th of one text with the n-th of the
 other) are matched, the longest chain in the same order in both counts, and the
@@ -25,10 +25,10 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoal.llm.common import arrow_schema, saved, utf8
+from shoal.llm.common import arrow_schema, utf8
 from shoal.llm.hashing import U, Ranges
 
 #: At least one anchor lies in any 2 * K - S - 1 bytes, so a kept passage of that length is found again.
@@ -36,7 +36,7 @@ K, S = 24, 8
 
 
 def anchors(texts: list[bytes], k: int = K, s: int = S) -> list[np.ndarray]:
-    """The 32-bit anchors of each text, in order."""
+    """The 16-bit anchors of each text, in order."""
     sizes = np.array([len(t) for t in texts])
     offsets = np.concatenate(([0], np.cumsum(sizes)))
     data = np.frombuffer(b"".join(texts), np.uint8)
@@ -54,10 +54,10 @@ def anchors(texts: list[bytes], k: int = K, s: int = S) -> list[np.ndarray]:
         hits = np.flatnonzero((small[:n] == least) | (small[w - 1:w - 1 + n] == least))
         whose = np.searchsorted(offsets, hits, side="right") - 1
         hits = hits[hits + k <= offsets[whose + 1]]
-    value = (ranges.hash(hits, hits + k) >> U(32)).astype("<u4")
+    value = (ranges.hash(hits, hits + k) >> U(48)).astype("<u2")
     cut = np.searchsorted(hits, offsets)
-    whole = (ranges.hash(offsets[:-1], offsets[1:]) >> U(32)).astype("<u4")
-    return [value[a:b] if b > a else whole[i:i + 1] for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True))]
+    whole = ranges.hash(offsets[:-1], offsets[1:]).astype("<u8").view("<u2").reshape(-1, 4)
+    return [value[a:b] if b > a else whole[i] for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True))]
 
 
 def written(anchor: np.ndarray) -> str:
@@ -65,7 +65,7 @@ def written(anchor: np.ndarray) -> str:
 
 
 def read(fingerprint: str) -> np.ndarray:
-    return np.frombuffer(base64.b64decode(fingerprint), "<u4")
+    return np.frombuffer(base64.b64decode(fingerprint), "<u2")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -132,53 +132,19 @@ def _compare(ids: list, texts: list[str], following: list[str]) -> dict[str, lis
 
 
 def _chained():
-    schema = arrow_schema(**FIELDS, pid=pa.int64(), place=pa.int32(), text=pa.string())
-
-    def table(found: dict[str, list]) -> pa.RecordBatch:
-        n = len(found["doc_id"])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(found[c], t) for c, t in FIELDS.items()]
-            + [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())], schema=schema)
-
-    def edge(pid: int, place: int, doc_id, text: str) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([doc_id if c == "doc_id" else None], t) for c, t in FIELDS.items()]
-            + [pa.array([pid], pa.int64()), pa.array([place], pa.int32()), pa.array([text])], schema=schema)
+    schema = arrow_schema(**FIELDS)
 
     def run(batches):
-        held = None  # the last document so far, whose follower is still to come
-        pid = None
+        held: tuple[list, list[str]] = [], []  # the last row so far, whose follower is still to come
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
             data, off = utf8(batch.column("text"))
             raw = data.tobytes()
-            texts = [raw[a:b].decode() for a, b in zip(off[:-1], off[1:], strict=True)]
-            if not ids:
-                continue
-            if held is None:
-                pid = batch.column("pid")[0].as_py()
-                yield edge(pid, 0, ids[0], texts[0])
-            else:
-                ids.insert(0, held[0])
-                texts.insert(0, held[1])
+            ids = held[0] + batch.column("doc_id").to_pylist()
+            texts = held[1] + [raw[a:b].decode() for a, b in zip(off[:-1], off[1:], strict=True)]
             if len(ids) > 1:
-                yield table(_compare(ids[:-1], texts[:-1], texts[1:]))
-            held = ids[-1], texts[-1]
-        if held is not None:
-            yield edge(pid, 1, *held)
-
-    return run
-
-
-def _across():
-    schema = arrow_schema(**FIELDS)
-
-    def run(batches):
-        for batch in batches:
-            t = batch.to_pydict()
-            rows = [_compare([i], [a], [b]) for i, a, b in zip(t["doc_id"], t["text"], t["following"], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[c][0] for r in rows], kind) for c, kind in FIELDS.items()], schema=schema)
+                found = _compare(ids[:-1], texts[:-1], texts[1:])
+                yield pa.RecordBatch.from_arrays([pa.array(found[c], t) for c, t in FIELDS.items()], schema=schema)
+            held = ids[-1:], texts[-1:]
 
     return run
 
@@ -190,24 +156,26 @@ KINDS = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, e
 def fingerprints(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likenesses.
 
-    Texts are dealt once, by ranges of doc_id; a partition compares neighbours as
-    it reads, and only its first and last documents are matched with those of the
-    partitions beside it.
+    Texts are dealt once, by ranges of doc_id between quantiles; each range also gets the
+    first document of the next one, so that a task meets every follower as it reads.
+    The driver sees a quantile and a smallest doc_id for each range.
     """
-    spark = docs.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text") \
-        .withColumn("pid", F.spark_partition_id().cast("long"))
-    found = saved(rows.mapInArrow(_chained(), KINDS + ", pid long, place int, text string"), "fingerprint-rows")
-    edges = found.where("pid IS NOT NULL").select("pid", "place", "doc_id", "text")
-    # one row for each partition: its number and the number of the next that has rows
-    heads = edges.where("place = 0")
-    order = Window.orderBy("pid")
-    following = heads.select("pid").withColumn("to", F.lead("pid").over(order)) \
-        .withColumn("to", F.coalesce("to", F.min("pid").over(order)))
-    last = edges.where("place = 1").join(following, "pid") \
-        .join(heads.select(F.col("pid").alias("to"), F.col("text").alias("following")), "to") \
-        .select("doc_id", "text", "following").mapInArrow(_across(), KINDS)
-    return found.where("pid IS NULL").select(*FIELDS).unionByName(last)
+    quantiles = rows.agg(F.percentile_approx("doc_id", [(i + 1) / n for i in range(n)], 100 * n)).first()[0]
+    bounds = F.lit(sorted(set(quantiles or [0])))
+    # rows without doc_id are the first range
+    place = F.when(F.col("doc_id").isNull(), 0).otherwise(1 + F.size(F.filter(bounds, lambda b: F.col("doc_id") > b)))
+    rows = rows.withColumn("range", place.cast("int"))
+    firsts = {r["range"]: r.first for r in rows.groupBy("range").agg(F.min("doc_id").alias("first")).collect()}
+    if not firsts:
+        return rows.mapInArrow(_chained(), KINDS)
+    order = sorted(firsts)
+    before = F.create_map(*[F.lit(x) for pair in zip(order, order[-1:] + order[:-1], strict=True) for x in pair])
+    is_first = F.col("doc_id").isNull() | F.col("doc_id").isin([i for i in firsts.values() if i is not None])
+    following = rows.where(is_first).groupBy("range").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text")) \
+        .select("doc_id", "text", before[F.col("range")].alias("range"), F.lit(True).alias("beyond"))
+    dealt = rows.withColumn("beyond", F.lit(False)).unionByName(following) \
+        .repartitionById(order[-1] + 1, F.col("range")).sortWithinPartitions("beyond", "doc_id", "text")
+    return dealt.select("doc_id", "text").mapInArrow(_chained(), KINDS)
