@@ -7,13 +7,13 @@ matches. Patterns are written so that a long run of characters is read once.
 Terms: the words of every text that holds a base value (a protected entity) are counted
 with it over the whole corpus, by documents, and in how many documents each stands at all;
 the words of an e-mail address itself are none of its terms.
-The information that term t gives about entity e is ``pmi(t, e) = ln(p(e | t) * N / f(e))``,
-at most e's own information ``ic(e) = ln(N / f(e))``. The share of t's documents that hold
-e is smoothed by ``PRIOR`` documents in which e is as frequent as anywhere,
-``p(e | t) = (joint + PRIOR * f(e) / N) / (f(t) + PRIOR)``, so that few observations count
-for less and yet the rarest values are judged. A term whose pmi is at least ``DISCLOSURE``
-of ic(e) is a span of kind ``term`` at each of its places in every text. ``sanitise``
-generalises spans to their kind.
+How sure term t makes a reader of entity e is the share of t's documents that hold e, smoothed
+by ``PRIOR`` documents in which e is as frequent as anywhere,
+``p(e | t) = (joint + PRIOR * f(e) / N) / (f(t) + PRIOR)``. A term discloses e if that is at least
+``DISCLOSURE``, at least ``CHANCE`` times what e's own frequency would give (the information
+``ln(p(e | t) * N / f(e))`` is above ``ln(CHANCE)``), and t stands with e in two documents, or in the
+only one that holds e. None of these moves with the size of the corpus. A disclosing term is a span
+of kind ``term`` at each of its places in every text. ``sanitise`` generalises spans to their kind.
 
 Defined results: null is the empty text; a span is counted in code points, its end
 exclusive; a term that overlaps a base span is left to that span; repeated rows are
@@ -38,8 +38,9 @@ PATTERNS = {
 }
 TERM = r"\p{L}[\p{L}\p{N}]{2,}+"
 #: Documents of smoothing.
-PRIOR = 2
-DISCLOSURE = 0.8
+PRIOR = 0.5
+DISCLOSURE = 0.5
+CHANCE = 2
 #: A term in more than one of so many documents is counted and joined by broadcast.
 OFTEN = 1000
 
@@ -48,11 +49,25 @@ def _sql(pattern: str) -> str:
     return "r'" + pattern + "'"
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def _placed(matches: str, parts: str) -> str:
-    """SQL of ``array<struct<start, value>>`` from matches and the pieces between them."""
-    before = f"aggregate(slice({matches}, 1, i), 0, (a, x) -> a + length(x))"
-    between = f"aggregate(slice({parts}, 1, i + 1), 0, (a, x) -> a + length(x))"
-    return f"transform({matches}, (m, i) -> named_struct('start', {before} + {between}, 'value', m))"
+    """SQL of ``array<struct<start, value>>`` from matches and the pieces between them.
+
+    A start is a sum over all earlier pieces: of whole blocks of about the square root of
+    their number, and of the pieces of its own block.
+    """
+    steps = f"transform({matches}, (m, i) -> length({parts}[i]) + length(m))"
+    width = f"greatest(1, int(ceil(sqrt(size({matches})))))"
+    sums = "transform(sequence(0, int(size(steps) div width)), b -> aggregate(slice(steps, b * width + 1, width), 0, (a, x) -> a + x))"
+    begins = "transform(sums, (s, b) -> aggregate(slice(sums, 1, b), 0, (a, x) -> a + x))"
+    start = (f"begins[int(i div width)] + aggregate(slice(steps, int(i div width) * width + 1, i % width), 0, (a, x) -> a + x) "
+             f"+ length({parts}[i])")
+    out = f"transform({matches}, (m, i) -> named_struct('start', {start}, 'value', m))"
+    return _let(steps, "steps", _let(width, "width", _let(sums, "sums", _let(begins, "begins", out))))
 
 
 _DIGITS = "regexp_replace({}, '[^0-9]', '')"
@@ -92,9 +107,9 @@ def _said(text: str) -> str:
 
 def _reveals(joint: Column, total: Column, share: float, prior: float) -> Column:
     """Whether a term that stands ``joint`` times with an entity gives it away."""
-    ic = F.log(total / F.col("f_e"))
-    given = (joint + prior * F.col("f_e") / total) / (F.col("f_t") + prior)
-    return (ic > 0) & (F.least(ic, F.log(given * total / F.col("f_e"))) >= share * ic)
+    usual = F.col("f_e") / total
+    given = (joint + prior * usual) / (F.col("f_t") + prior)
+    return (given >= share) & (given >= CHANCE * usual) & (joint >= F.least(F.col("f_e"), F.lit(2)))
 
 
 def disclosing(base: DataFrame, frequency: DataFrame, total: Column, share: float, prior: float) -> DataFrame:
@@ -113,7 +128,7 @@ def disclosing(base: DataFrame, frequency: DataFrame, total: Column, share: floa
     rare = said.join(F.broadcast(often.select("term")), "term", "left_anti") \
         .join(frequency.where(F.col("f_t") <= total / OFTEN), "term")
     counted = said.join(F.broadcast(often), "term").unionByName(rare)
-    most = (total + prior) * F.pow(F.col("top") / total, F.lit(share)) * 1.000001
+    most = F.col("top") * (1 + prior / total) / share * 1.000001
     pairs = counted.where(F.col("f_t") + prior <= most).select("row", "term", "f_t").join(values, "row") \
         .where(_reveals(F.least("f_t", "f_e"), total, share, prior)) \
         .groupBy("entity", "term", "f_e", "f_t").agg(F.count("*").alias("joint"))
@@ -132,11 +147,8 @@ def _places(docs: DataFrame, terms: DataFrame, often: DataFrame) -> DataFrame:
     marked = docs.join(told, F.col("doc_id").eqNullSafe(F.col("__span_id")) & (F.col("mark") == F.col("__span_mark"))) \
         .withColumn("words", F.expr(f"regexp_extract_all(text, {_sql(TERM)}, 0)")) \
         .withColumn("between", F.expr(f"split(text, {_sql(TERM)}, -1)"))
-    start, end = "acc.at + length(x.before)", "acc.at + length(x.before) + length(x.word)"
-    places = ("aggregate(zip_with(words, slice(between, 1, size(words)), (w, b) -> named_struct('word', w, 'before', b)), "
-              "named_struct('at', 0, 'out', cast(array() as array<struct<start:int,end:int>>)), "
-              f"(acc, x) -> named_struct('at', {end}, 'out', if(array_contains(told, lower(x.word)), "
-              f"concat(acc.out, array(named_struct('start', {start}, 'end', {end}))), acc.out)), acc -> acc.out)")
+    places = (f"transform(filter({_placed('words', 'between')}, x -> array_contains(told, lower(x.value))), "
+              "x -> named_struct('start', x.start, 'end', x.start + length(x.value)))")
     return marked.select("__span_id", F.col("key").alias("__span_key"), F.expr(places).alias("terms_at")).dropDuplicates(["__span_id", "__span_key"])
 
 
@@ -151,7 +163,7 @@ def find_spans(docs: DataFrame, share: float = DISCLOSURE, prior: float = PRIOR)
         F.expr("transform(found, s -> named_struct('kind', s.kind, 'start', s.start, 'end', s.end))").alias("base"),
         F.expr(f"array_distinct(transform(found, s -> {_ENTITY}))").alias("entities"),
         F.expr(f"if(size(found) > 0, {own}, {_NONE})").alias("terms")), "pii-base")
-    total = F.lit(float(base.count()))
+    total = F.lit(float(max(base.count(), 1)))
     # counted before any join: a common term is one row of it, not one for each document
     frequency = saved(docs.select(F.explode(F.expr(_said("text"))).alias("term"))
                       .groupBy("term").agg(F.count("*").alias("f_t")), "pii-terms")

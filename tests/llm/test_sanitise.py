@@ -1,6 +1,8 @@
 import hashlib
 import random
 import re
+import time
+from collections import Counter
 
 from llm_data import documents, frame
 from shoal.llm.sanitise import find_spans, report, sanitise
@@ -75,13 +77,42 @@ def test_values_seen_once_or_twice_have_terms(spark):
 
 def test_terms_far_from_a_value_and_in_other_texts(spark):
     far = " ".join(["the plain text"] * 40)
-    texts = [f"Zebulon, {far}: zoe@mail.com, {far}. 😀 Not 4ZEBULON5 but 7zebulon", f"Only Zebulon stands here, {far}"]
-    texts += [f"the plain text of day {i} only stands here or not but may" for i in range(1500)]
+    texts = [f"Zebulon, {far}: zoe@mail.com, {far}. 😀 Not 4ZEBULON5 but 7zebulon", f"Only Zebulon stands here, {far}",
+             f"zoe@mail.com or zebulon5 and Zebulon, {far}"]
+    texts += [f"the plain text of day {i} and only stands here or not but may" for i in range(1500)]
     rows = [(i, t, *[None] * 8) for i, t in enumerate(texts)]
     spans = {r.doc_id: [texts[r.doc_id][s.start:s.end] for s in r.spans if s.kind == "term"] for r in find_spans(frame(spark, rows)).collect()}
     # words with digits are terms of their own; leading digits stand outside a word
-    assert spans[0] == ["Zebulon", "ZEBULON5", "zebulon"] and spans[1] == ["Zebulon"]
-    assert not any(spans[i] for i in range(2, len(rows)))
+    assert spans[0] == ["Zebulon", "ZEBULON5", "zebulon"] and spans[1] == ["Zebulon"] and spans[2] == ["zebulon5", "Zebulon"]
+    assert not any(spans[i] for i in range(3, len(rows)))
+
+
+def test_pairs_equal_brute_force_at_every_size(spark):
+    rng = random.Random(5)
+    for n in (40, 400, 2000):
+        texts = [" ".join(rng.choice(["river", "stone", "cloud"]) if rng.random() < 0.8 else f"w{rng.randint(0, n // 3)}x" for _ in range(12))
+                 for _ in range(n)]
+        for i in range(0, n, 5):
+            u = rng.randint(0, n // 12)
+            texts[i] += f" name{rng.choice([u, u, u, 'less'])} has u{u}@mail.com"
+            texts[i + 1] += f" name{rng.randint(0, n // 6)}"
+        said = [set(re.findall(r"[^\W\d_][^\W_]{2,}", re.sub(PLAIN[0][1], " ", t))) for t in texts]
+        held = [set(re.findall(PLAIN[0][1].replace("(", "(?:"), t)) for t in texts]
+        f_t, f_e, joint = Counter(w for s in said for w in s), Counter(e for h in held for e in h), Counter()
+        for s, h in zip(said, held, strict=True):
+            joint.update((e, w) for e in h for w in s)
+        told = {w for (e, w), j in joint.items()
+                if j >= min(f_e[e], 2) and (j + 0.5 * f_e[e] / n) / (f_t[w] + 0.5) >= max(0.5, 2 * f_e[e] / n)}
+        rows = [(i, t, *[None] * 8) for i, t in enumerate(texts)]
+        got = {texts[r.doc_id][s.start:s.end] for r in find_spans(frame(spark, rows)).collect() for s in r.spans if s.kind == "term"}
+        assert got == told and told
+
+
+def test_many_values_in_one_text_take_little_time(spark):
+    text = " and ".join(f"name{i}x wrote to user{i}@mail.com" for i in range(8000))
+    begun = time.monotonic()
+    row = report(find_spans(frame(spark, [(1, text, *[None] * 8)]))).collect()[0]
+    assert row.n_email == 8000 and row.spans.startswith(brute(text)[1]) and time.monotonic() - begun < 40
 
 
 def test_sanitise_keeps_rows_and_columns(spark):
