@@ -247,7 +247,45 @@ def near_duplicates(docs: DataFrame, words_in_shingle: int = WORDS, similarity:
 
 
 def dedup(docs: DataFrame, **how) -> DataFrame:
-    """The documents that stay, with all their columns; of repeated rows of one doc_id, each stays once."""
-    marks = near_duplicates(docs, **how).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept_id")).distinct()
-    known = docs.where("doc_id IS NOT NULL").join(marks, F.col("doc_id") == F.col("__kept_id"), "left_semi")
-    return docs.where("doc_id IS NULL").unionByName(known.dropDuplicates(["doc_id"]))
+    """The documents that stay, with all their columns: the smallest doc_id of each group.
+
+    Rows of one doc_id and text are one document, of which the row with the least hash of its other columns
+    stays. Unlike texts under one doc_id are documents of their own, which come after the ids of one row, in the
+    order of doc_id and text: a group with an id of one row keeps that, any other group its first. Rows
+    without doc_id stay; those of null or empty text have no group and stay once for each doc_id and text.
+    """
+    rows_of = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("__dedup_id")).agg(F.count("*").alias("n"))
+    again, low, high = rows_of.agg(F.count_if(F.col("n") > 1), F.min("__dedup_id"), F.max("__dedup_id")).first()
+    alone = docs.where("doc_id IS NOT NULL")
+    if not again:
+        return docs.where("doc_id IS NULL").unionByName(_unmarked(alone, _marks(alone, how), F.col("doc_id").cast("long")))
+    repeated = saved(rows_of.where("n > 1").select("__dedup_id"), "dedup-repeated")
+    same = F.col("doc_id").cast("long") == F.col("__dedup_id")
+    once = _numbered(alone.join(repeated, same, "left_semi"), low, high)
+    alone = alone.join(repeated, same, "left_anti")
+    marks = saved(_marks(alone.select("doc_id", "text").unionByName(once.select(F.col(VERTEX).alias("doc_id"), "text")), how), "dedup-marks")
+    return docs.where("doc_id IS NULL").unionByName(_unmarked(alone, marks, F.col("doc_id").cast("long"))) \
+        .unionByName(_unmarked(once, marks, F.col(VERTEX)).drop(VERTEX))
+
+
+VERTEX = "__dedup_vertex"
+
+
+def _marks(docs: DataFrame, how: dict) -> DataFrame:
+    return near_duplicates(docs, **how).where("kept").select(F.col("doc_id").alias("__kept_id"))
+
+
+def _unmarked(docs: DataFrame, marks: DataFrame, key) -> DataFrame:
+    return docs.join(marks, key == F.col("__kept_id"), "left_semi")
+
+
+def _numbered(docs: DataFrame, low: int, high: int) -> DataFrame:
+    """One row of each doc_id and text, with a number that no doc_id has, in the order of doc_id and text."""
+    others = [f"`{c}`" for c in docs.columns if c not in ("doc_id", "text")]
+    rest = F.struct(*others) if others else F.struct(F.lit(0))
+    one = docs.groupBy("doc_id", "text").agg(F.min_by(rest, F.xxhash64(*others) if others else F.lit(0)).alias("__dedup_rest"))
+    free = high + 1 if high < 1 << 62 else min(low, 0) - (1 << 62)
+    order = [F.col("doc_id").cast("long").asc(), F.col("text").asc_nulls_first()]
+    one = one.repartitionByRange(order[0], F.substring("text", 1, 256).asc_nulls_first()).sortWithinPartitions(*order)
+    kept = [F.col(f"__dedup_rest.{c}") if c in others else F.col(c) for c in (f"`{c}`" for c in docs.columns)]
+    return saved(one.select(*kept, (F.monotonically_increasing_id() + F.lit(free)).alias(VERTEX)), "dedup-once")

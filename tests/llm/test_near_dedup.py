@@ -67,6 +67,27 @@ def test_dedup_keeps_one_of_each_group_with_its_columns(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(want, key=str)
 
 
+def test_unlike_texts_of_one_id_stay_and_repeated_rows_stay_once(spark):
+    long = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, long, "en"), (2, long + " end", "en"), (2, "another text that is like nothing else here", "b"),
+            (2, "another text that is like nothing else here", "a"), (3, "another text that is like nothing else here", "c"),
+            (4, "first of the two that share this id", "x"), (4, "second, quite unlike the one before it", "x"),
+            (5, None, "x"), (5, None, "x"), (5, "", "x"), (None, long, "x"), (None, long, "x"), (7, long, None)]
+    rows = [(i, t, a, *[None] * 7) for i, t, a in rows]
+    want = {(1, long, "en"), (3, "another text that is like nothing else here", "c"), (4, "first of the two that share this id", "x"),
+            (4, "second, quite unlike the one before it", "x"), (5, None, "x"), (5, "", "x"), (None, long, "x")}
+    for parts in (1, 7):
+        got = [(r.doc_id, r.text, r.lang) for r in dedup(frame(spark, rows).repartition(parts)).collect()]
+        assert set(got) == want
+        assert len(got) == len(want) + 1  # the rows without id
+
+
+def test_a_repeated_row_stays_by_its_other_columns_wherever_it_lies(spark):
+    rows = [(9, "the same text in every row of this id", "en", f"src{i}", i, *[None] * 5) for i in range(40)]
+    got = {tuple(dedup(frame(spark, rows).repartition(n)).first()) for n in (1, 3, 8)}
+    assert len(got) == 1 and got <= set(rows)
+
+
 def test_signatures_agree_about_as_often_as_sets_are_similar():
     rng = np.random.default_rng(3)
     whole = rng.integers(0, 2**63, 900, dtype=np.uint64)
