@@ -2,8 +2,10 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 import corpus_pipeline as P
+from llm_data import documents, frame
 from test_near_dedup import brute
 from test_sanitise import PLAIN
 from shoal.llm.tokens import default_tokenizer, encoder
@@ -54,3 +56,41 @@ def test_the_mixing_stage_shapes_the_sequences(spark):
     with_stage = packed(mixed)
     assert with_stage == packed(mixed.repartition(3, "text"))
     assert with_stage != packed(docs)
+
+
+def test_stages_on_awkward_rows(spark):
+    """Nulls everywhere, repeated and shared ids, a text beyond a megabyte, columns with names the stages use."""
+    rng = np.random.default_rng(5)
+    long = " ".join(f"word{i}" for i in rng.integers(0, 30000, 130000))
+    assert len(long) > 1 << 20
+    rows = [*documents(n=60), (900, long, "en", "src0", len(long), *[None] * 5), (901, "unlike the other text of this id", *[None] * 8),
+            (901, "quite another text than the one before", *[None] * 8), (902, None, *[None] * 8), (None, None, *[None] * 8)]
+    kept = [frame(spark, rows)]
+    for _, stage in P.STAGES[:-1]:
+        kept.append(P.saved(stage(spark, kept[-1], SF), "test-awkward"))
+        assert kept[-1].columns == kept[0].columns
+    ids = [sorted((r.doc_id for r in d.select("doc_id").collect()), key=str) for d in kept]
+    after_toxicity = [tuple(r) for r in kept[1].collect()]
+    want = sorted({r[0] for r in brute(after_toxicity, 5) if r[3]}, key=str)
+    assert sorted(set(ids[2]), key=str) == want
+    for i in {900, 901, 902} & set(ids[1]):
+        assert ids[2].count(i) == len({r[1] for r in after_toxicity if r[0] == i})
+    assert ids[2].count(None) == ids[1].count(None)
+    assert ids[4] == ids[3] == ids[2]
+    pieces = [(r.doc_id, r.length) for r in P.packing(spark, kept[4], SF).collect()]
+    assert sorted({p[0] for p in pieces}, key=str) == want
+    texts = [r.text or "" for r in kept[4].collect()]
+    assert sum(p[1] for p in pieces) == sum(len(x) + 1 for x in encoder(default_tokenizer()).whole(texts))
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = frame(spark, [])
+    for _, stage in P.STAGES[:-1]:
+        docs = P.saved(stage(spark, docs, SF), "test-empty")
+        assert docs.columns == frame(spark, []).columns and docs.count() == 0
+    assert P.packing(spark, docs, SF).count() == 0
+
+
+def test_packing_says_when_there_is_no_schedule(spark):
+    with pytest.warns(UserWarning, match="schedule"):
+        P.packing(spark, frame(spark, documents(n=10)), SF)
