@@ -28,8 +28,15 @@ def materialize_upsert(df: DataFrame, key: str | Sequence[str],
     return out if deleted is None else out.where(~F.coalesce(deleted, F.lit(False)))
 
 
-def table_of_records(records: DataFrame, schema, order: str | Sequence[str] = "seq") -> DataFrame:
+def table_of_records(records: DataFrame, schema, order: str | Sequence[str] = "seq",
+                     by: str | Sequence[str] = ()) -> DataFrame:
     """Rows of an upsert topic's records (``key``, ``value`` text and their order): the newest
-    value of each key; a NULL value (a tombstone) removes the key."""
-    newest = materialize_upsert(records, "key", order, F.col("value").isNull())
+    value of each key; a NULL value (a tombstone) removes the key.
+
+    ``by`` names columns, carried beside the records, that the key text was made of (equal keys
+    have equal ones). Records that come out of a join by these columns are not shuffled again."""
+    order = [order] if isinstance(order, str) else list(order)
+    by = [by] if isinstance(by, str) else list(by)
+    # the order decides and is not kept: a row of the aggregate has it once
+    newest = records.groupBy(*by, "key").agg(F.max_by("value", F.struct(*order)).alias("value")).where("value IS NOT NULL")
     return newest.select(F.from_json("value", schema).alias("r")).select("r.*")

@@ -206,7 +206,9 @@ def order_wide_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = changes.withColumn("came", F.col("oi_seq")).drop("act_detail_id", "seq")
     fields = [c for c in rows.columns if c not in ("op", *order)]
     schema = ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in fields)
-    return table_of_records(as_upsert_records(rows, ["id"], carry=order), schema, order)
+    # the changes lie dealt by id, and so the records: their newest are found where they are
+    records = as_upsert_records(rows.withColumn("detail", F.col("id")), ["id"], carry=[*order, "detail"])
+    return table_of_records(records, schema, order, by="detail")
 
 
 @query("order_placed")

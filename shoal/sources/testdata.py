@@ -57,6 +57,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(n, *keys)
 
 
+def in_parts(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a table that Spark reads in as many parts as it has cores, or more, as they
+    are; a smaller table ``spread``. A large table comes in parts already, and what reads its
+    records shuffles them by keys of its own: dealing them out would shuffle every row once more."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else spread(df, *keys)
+
+
 def _epoch_ms(ts: Column) -> Column:
     return ntz_epoch_millis(ts)
 
@@ -340,7 +348,7 @@ def dim_change_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change topic as the order and cart jobs see it."""
-    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    li = in_parts(table(spark, sf_dir, "lineitem"), "l_orderkey")
     return (order_detail_changes(li)
             .unionByName(order_info_changes(table(spark, sf_dir, "orders"),
                                             table(spark, sf_dir, "customer")))

@@ -282,3 +282,53 @@ def test_order_job_writes_upserts_and_tombstones(spark, tmp):
     table = table_of_records(records, "id string, activity_id string, coupon_id string, source_type_name string", ["batch", "change"])
     got = {r.id: (r.activity_id, r.coupon_id, r.source_type_name) for r in table.collect()}
     assert got == {f"d{10 * i}": ("a" if i % 3 == 0 else None, "c" if i % 4 == 0 else None, "open") for i in range(14)}
+
+
+def test_records_dealt_by_the_columns_of_their_key_are_not_shuffled_again(spark):
+    left, right = sides(11, 60)
+    left = [(i, *r[1:]) for i, r in enumerate(left)]
+    right = [r for i, r in enumerate(right) if r[0] not in {x[0] for x in right[:i]}]
+    l, r = spark.createDataFrame(left, LEFT), spark.createDataFrame(right, RIGHT)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        changes = join_changes(l, r, "empno", "dept", "lat", "rat", "left")
+        order = ["at", "nth"]
+        records = as_upsert_records(changes.withColumn("number", F.col("empno")), ["empno"], carry=[*order, "number"])
+        plain, dealt = (table_of_records(records, f"{LEFT}, {RIGHT}", order, **by) for by in ({}, {"by": "number"}))
+        exchanges = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(") for df in (plain, dealt)]
+        assert exchanges[1] == exchanges[0] - 1
+        assert records.where("value is null").count() > 0
+        want = sorted(map(tuple, equi_join(l, r, "empno", "dept", "left").collect()), key=str)
+        assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, dealt.collect()), key=str) == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # removed keys, and rows whose key column is NULL
+    rows = [(1, "+I", 7, "a"), (2, "-D", 7, "a"), (3, "+I", None, "b"), (4, "+I", None, "c"), (5, "+I", 8, "d")]
+    df = spark.createDataFrame(rows, "seq long, op string, id int, ename string").withColumn("n", F.col("id"))
+    got = table_of_records(as_upsert_records(df, ["id"], carry=["seq", "n"]), "id int, ename string", "seq", by=["n"])
+    assert sorted(map(tuple, got.collect()), key=str) == [(8, "d"), (None, "c")]
+
+
+def test_newest_order_records_are_found_where_the_join_left_them(spark, tmp):
+    import datetime
+
+    from shoal.plans.reports import REGISTRY
+    day = datetime.datetime(2024, 1, 1)
+    kinds = {"lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                         "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+             "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz",
+             "customer": "c_custkey long, c_nationkey int"}
+    rows = {"lineitem": [(o, 5, 6, n, 2.0, 10.0, .01 * (5 + n % 2), 0.0, "N", "O", day) for o in (1, 2) for n in (1, 2)],
+            "orders": [(1, 3, "P", day), (2, 4, "F", day)], "customer": [(3, 9)]}
+    for name, kind in kinds.items():
+        spark.createDataFrame(rows[name], kind).write.parquet(f"{tmp}/{name}.parquet")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = REGISTRY["order_wide_upsert"](spark, tmp)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(key" not in plan and "Union" in plan
+        got = sorted((r.order_id, r.id.split("-")[1], r.type, r.order_status, r.province_id, r.activity_id) for r in df.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [("1", "1", "update", "P", "9", "6"), ("1", "2", "update", "P", "9", None),
+                   ("2", "1", "insert", "F", None, "6"), ("2", "2", "insert", "F", None, None)]
