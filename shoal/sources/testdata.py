@@ -366,8 +366,12 @@ BASE_DIC_ROWS = [
 
 
 def base_dic(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(BASE_DIC_ROWS, "dic_code string, dic_name string, "
-                                 "parent_code string, create_time string, operate_time string") \
+    """The dictionary, given in the plan itself: Spark knows its bytes before it runs and sends it
+    along. A frame made from Python rows has no known size: the facts would be shuffled by the
+    few codes first, and adaptive execution learns too late that they need not be."""
+    fields = ("dic_code", "dic_name", "parent_code", "create_time", "operate_time")
+    rows = [F.struct(*[F.lit(v).cast("string").alias(f) for f, v in zip(fields, row, strict=True)]) for row in BASE_DIC_ROWS]
+    return spark.range(1).select(F.inline(F.array(*rows))) \
         .select("dic_code", "dic_name", "parent_code",
                 F.to_timestamp_ntz("create_time").alias("create_time"),
                 F.to_timestamp_ntz("operate_time").alias("operate_time"))

@@ -64,3 +64,31 @@ def test_materialize_upsert_newest(spark):
     got = sorted(map(tuple, materialize_upsert(df, "id", "v").collect()))
     assert got == [("a", 3, "z"), ("b", 1, "q")]
     assert materialize_upsert(df, "id", "v").columns == ["id", "v", "s"]
+
+
+def test_facts_are_not_shuffled_for_the_dictionary(spark):
+    from shoal.sources.testdata import base_dic
+    facts = spark.range(100).select("id", F.when(F.col("id") % 3 == 0, "O").when(F.col("id") % 3 == 1, "F").alias("code"))
+    joined = joins.lookup_join(facts, base_dic(spark), "code", "dic_code")
+    # before anything has run: adaptive execution learns the size only after the shuffle
+    assert "Exchange hashpartitioning" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in joined.select("code", "dic_name").collect()} == {("O", "open line")} and joined.count() == 34
+    assert [(r.dic_code, r.dic_name, r.parent_code, str(r.create_time), r.operate_time) for r in base_dic(spark).collect()] == [
+        ("O", "open line", "10", "2020-01-01 00:00:00", None), ("X", "unused code", "10", "2020-01-01 00:00:00", None)]
+
+
+def test_tables_read_in_many_parts_are_not_dealt_out(spark):
+    import tempfile
+
+    from shoal.sources.testdata import in_parts
+    path, cores = tempfile.mkdtemp(prefix="shoal-parts-", dir="/tmp"), spark.sparkContext.defaultParallelism
+    spark.range(200).repartition(1).write.parquet(f"{path}/one")
+    spark.range(200).repartition(2 * cores).write.parquet(f"{path}/many")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a file is a part
+    try:
+        one, many = (in_parts(spark.read.parquet(f"{path}/{name}"), "id") for name in ("one", "many"))
+        assert "Exchange" in one._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in many._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.id for r in one.collect()) == sorted(r.id for r in many.collect()) == list(range(200))
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
