@@ -69,32 +69,37 @@ def _bits(most: int) -> int:
     return max(int(most).bit_length(), 1)
 
 
-def _counted(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs, the number of each occurrence's pair, and counts; pairs of 32-bit symbols side by side."""
-    width = _bits(len(pair))
-    low = np.uint64((1 << 32) - 1)
-    left, right = pair >> np.uint64(32), pair & low
+def _counted(left: np.ndarray, right: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs found ``least`` times or more, the number of each occurrence's pair (-1 for rarer ones), and counts;
+    pairs of 32-bit symbols side by side."""
+    width = _bits(len(left))
     side = _bits(max(int(left.max()), int(right.max())))
     if 2 * side + width > 64:
-        names, which, count = np.unique(pair, return_inverse=True, return_counts=True)
-        return names, which, count
+        names, which, count = np.unique(left.astype(np.uint64) << np.uint64(32) | right, return_inverse=True, return_counts=True)
+        often = count >= least
+        return names[often], np.where(often, np.cumsum(often) - 1, -1)[which], count[often]
     # the place rides along in the low bits: one plain sort instead of an indirect one
-    key = np.sort(((left << np.uint64(side)) | right) << np.uint64(width) | np.arange(len(pair), dtype=np.uint64))
+    key = left.astype(np.uint64)
+    key <<= np.uint64(side)
+    key |= right
+    key <<= np.uint64(width)
+    key |= np.arange(len(key), dtype=np.uint64)
+    key.sort()
     place = (key & np.uint64((1 << width) - 1)).astype(np.int64)
     key >>= np.uint64(width)
-    new = np.concatenate(([True], key[1:] != key[:-1]))
-    which = np.empty(len(pair), np.int64)
-    which[place] = np.cumsum(new) - 1
-    begin = np.flatnonzero(new)
-    names = key[begin]
-    names = (names >> np.uint64(side)) << np.uint64(32) | (names & np.uint64((1 << side) - 1))
-    return names, which, np.diff(np.append(begin, len(key)))
+    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    count = np.diff(begin, append=len(key))
+    often = count >= least
+    which = np.empty(len(key), np.int32)
+    which[place] = np.repeat(np.where(often, np.cumsum(often) - 1, -1).astype(np.int32), count)
+    names = key[begin[often]]
+    return (names >> np.uint64(side)) << np.uint64(32) | (names & np.uint64((1 << side) - 1)), which, count[often]
 
 
 def _chosen(at: np.ndarray, which: np.ndarray, count: np.ndarray) -> np.ndarray:
     """Of occurrences at places ``at`` those replaced: none overlap, the more frequent pair goes first."""
-    rank = np.empty(len(count), np.int64)
-    rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+    rank = np.empty(len(count), np.int32)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(count), dtype=np.int32)
     level = rank[which]
     touch = at[1:] == at[:-1] + 1
     same = touch & (level[1:] == level[:-1])
@@ -114,12 +119,13 @@ def compress(ids: np.ndarray, last: np.ndarray, first_rule: int | None = None, l
     size = np.ones(0, np.uint32)
     # places whose pair may pay: a pair too rare once stays so unless one of its symbols is new
     live = ~last
+    ends = np.flatnonzero(last)
     while True:
         at = np.flatnonzero(live[:-1])
         if not len(at):
             break
-        names, which, count = _counted(seq[at].astype(np.uint64) << np.uint64(32) | seq[at + 1])
-        hit = count[which] >= least
+        names, which, count = _counted(seq[at], seq[at + 1], least)
+        hit = np.flatnonzero(which >= 0)
         at, which = at[hit], which[hit]
         if not len(at):
             break
@@ -138,15 +144,16 @@ def compress(ids: np.ndarray, last: np.ndarray, first_rule: int | None = None, l
         rules.append(np.column_stack([left, right]))
         lengths.append(_length(left, size, first_rule) + _length(right, size, first_rule))
         size = np.concatenate(lengths)
-        seq = seq.copy()
         seq[at] = first_rule + n_rules + which
+        live[at] = live[np.maximum(at - 1, 0)] = True
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
-        last = last.copy()
-        last[at] = last[at + 1]
-        live[at] = live[np.maximum(at - 1, 0)] = True
-        seq, last, live = seq[stay], last[stay], (live & ~last)[stay]
+        seq, live = seq[stay], live[stay]
+        ends = ends - np.searchsorted(at + 1, ends, side="right")
+        live[ends] = False
         n_rules += len(names)
+    last = np.zeros(len(seq), bool)
+    last[ends] = True
     return seq, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32), size
 
 

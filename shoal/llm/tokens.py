@@ -29,6 +29,8 @@ BLANKS = [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000,
 #: A store of distinct pre-tokens is emptied beyond this many.
 MOST_KNOWN = 1_500_000
 MOST_SHORT = 200_000
+#: So many pre-tokens that are new go to the library in one text, a newline after each.
+SIDE_BY_SIDE = 64
 
 _CLASS: list[np.ndarray] = []
 
@@ -100,27 +102,78 @@ class Encoder:
         rng = np.random.Generator(np.random.PCG64(99))
         self.coeff = rng.integers(1, 2**63, 256, dtype=np.uint64) | U(1)
         self.short: dict[str, int] = {}
+        mark = self.lib.encode("\n", add_special_tokens=False).ids
+        #: The id of a newline, where it is one id and no part of an added token.
+        self.newline = mark[0] if len(mark) == 1 and not any("\n" in t for t in self.added) else None
         self._empty()
 
     def _empty(self) -> None:
-        self.keys = np.zeros(0, np.uint64)      # sorted hashes of known pre-tokens
+        self.keys = np.zeros(0, np.uint64)      # hashes of known pre-tokens, as they came
         self.at = np.zeros(0, np.int64)         # where their ids start in ``pool``
         self.size = np.zeros(0, np.int64)
         self.pool = np.zeros(0, self.kind)
+        self.slots = np.full(1 << 16, -1, np.int32)  # hash -> place in ``keys``, or the next free slot
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         """Ids by the library alone."""
         return [np.array(e.ids, self.kind) for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _ids(self, tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens in a row and the number of each one's.
+
+        Those that are not blank hold no newline, and a newline between two of them is a
+        pre-token and an id of its own: many go to the library as one text.
+        """
+        if self.newline is not None and not any(t.isspace() for t in tokens):
+            parts = ["\n".join(tokens[i:i + SIDE_BY_SIDE]) + "\n" for i in range(0, len(tokens), SIDE_BY_SIDE)]
+            ids = np.concatenate([np.zeros(0, self.kind), *self.whole(parts)])
+            mark = ids == self.newline
+            end = np.flatnonzero(mark)
+            if len(end) == len(tokens):
+                return ids[~mark], np.diff(end, prepend=-1) - 1
+        found = [np.zeros(0, self.kind), *self.whole(tokens)]
+        return np.concatenate(found), np.array([len(i) for i in found[1:]], np.int64)
+
     def _learn(self, keys: np.ndarray, tokens: list[str]) -> None:
-        found = self.lib.encode_batch_fast(tokens, add_special_tokens=False)
-        ids = [e.ids for e in found]
-        size = np.array([len(i) for i in ids])
-        at = len(self.pool) + np.concatenate(([0], np.cumsum(size)[:-1]))
-        self.pool = np.concatenate([self.pool, np.array([x for i in ids for x in i], self.kind)])
-        place = np.searchsorted(self.keys, keys)
-        self.keys, self.at, self.size = (np.insert(old, place, new) for old, new in (
-            (self.keys, keys), (self.at, at), (self.size, size)))
+        blank = np.array([t.isspace() for t in tokens])
+        for some in (~blank, blank):
+            if some.any():
+                ids, size = self._ids([tokens[i] for i in np.flatnonzero(some).tolist()])
+                self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(size) - size])
+                self.size = np.concatenate([self.size, size])
+                self.pool = np.concatenate([self.pool, ids])
+                self.keys = np.concatenate([self.keys, keys[some]])
+        first = len(self.keys) - len(keys)
+        if 2 * len(self.keys) > len(self.slots):
+            self.slots = np.full(1 << (4 * len(self.keys)).bit_length(), -1, np.int32)
+            first = 0
+        self._enter(first)
+
+    def _enter(self, first: int) -> None:
+        """Give the known keys from ``first`` on a slot each: the first free one from their hash on."""
+        slot = self._slot(self.keys[first:])
+        left = np.arange(len(slot))
+        while len(left):
+            free = left[self.slots[slot[left]] < 0]
+            self.slots[slot[free]] = first + free  # of several keys one stays
+            left = left[self.slots[slot[left]] != first + left]
+            slot[left] = (slot[left] + 1) & (len(self.slots) - 1)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key & U(len(self.slots) - 1)).astype(np.int64)
+
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        """The place of each key in the store, -1 where it is not known."""
+        if not len(self.keys):
+            return np.full(len(key), -1, np.int32)
+        slot = self._slot(key)
+        place = self.slots[slot]
+        left = np.flatnonzero((place >= 0) & (self.keys[place] != key))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self.slots) - 1)
+            place[left] = self.slots[slot[left]]
+            left = left[(place[left] >= 0) & (self.keys[place[left]] != key[left])]
+        return place
 
     def pretokens(self, texts: list[str]):
         """Joined text, text starts, pre-token starts and ends in code points, and their hashes."""
@@ -139,18 +192,18 @@ class Encoder:
 
     def _known(self, joined: str, start: np.ndarray, end: np.ndarray, key: np.ndarray) -> np.ndarray:
         """The place in the store of each pre-token; learns those not known."""
-        names, one, which = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.keys) + len(names) > MOST_KNOWN:
-            self._empty()
-        place = np.searchsorted(self.keys, names)
-        new = np.ones(len(names), bool)
-        inside = place < len(self.keys)
-        new[inside] = self.keys[place[inside]] != names[inside]
-        if new.any():
-            a, b = start[one[new]].tolist(), end[one[new]].tolist()
-            self._learn(names[new], [joined[x:y] for x, y in zip(a, b, strict=True)])
-            place = np.searchsorted(self.keys, names)
-        return place[which]
+        place = self._place(key)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            names, one = np.unique(key[new], return_index=True)
+            if len(self.keys) + len(names) > MOST_KNOWN:
+                self._empty()
+                new = np.arange(len(key))
+                names, one = np.unique(key, return_index=True)
+            a, b = start[new[one]].tolist(), end[new[one]].tolist()
+            self._learn(names, [joined[x:y] for x, y in zip(a, b, strict=True)])
+            place[new] = self._place(key[new])
+        return place
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's ids start (and the end)."""

@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 from llm_data import documents
 from shoal.llm.token_trees import CountedText, build_trees, count_edits
-from shoal.llm.tokens import END, classes, default_tokenizer, encode_documents, encoder
+from shoal.llm.tokens import END, Encoder, classes, default_tokenizer, encode_documents, encoder
 
 PATH = default_tokenizer()
 LIBRARY = {True: Tokenizer.from_file(PATH), False: Tokenizer.from_file(PATH)}
@@ -108,3 +108,43 @@ def test_tables(spark):
 
 def test_leaf_types():
     assert np.asarray(CountedText("", encoder(PATH)).tree.leaves()[0]).size == 0
+
+
+def test_new_pre_tokens_go_to_the_library_side_by_side(monkeypatch):
+    enc, sent = Encoder(PATH), []
+    whole = enc.whole
+    monkeypatch.setattr(enc, "whole", lambda texts: sent.extend(texts) or whole(texts))
+    words = [" " + "".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(3000)]
+    many = ["".join(words), "\n\n \n a\n'\n's \t" + "".join(words[:5]), "", "\n" * 9 + "b"]
+    ids, off = enc.encode(many)
+    want = LIBRARY[True].encode_batch(many, add_special_tokens=False)
+    assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:], strict=True)] == [x.ids for x in want]
+    assert len(enc.keys) > 3000 and len(sent) < 200
+    sent.clear()
+    assert np.array_equal(enc.encode(many)[0], ids) and not sent
+
+
+def test_the_store_holds_keys_that_meet_in_a_slot():
+    enc = Encoder(PATH)
+    enc.slots = np.full(8, -1, np.int32)
+    rng = random.Random(3)
+    many = [" ".join(str(rng.randrange(10**6)) for _ in range(rng.choice([1, 3, 3000]))) for _ in range(12)]
+    for t in many + many:
+        assert enc.encode([t])[0].tolist() == LIBRARY[True].encode(t, add_special_tokens=False).ids
+    assert len(np.unique(enc.keys)) == len(enc.keys) <= len(enc.slots) // 2
+    # keys with one hash place, and a store emptied when it is full
+    enc._empty()
+    enc._learn(np.arange(5, dtype=np.uint64) << np.uint64(40), ["a", " b", "\n", "c", " "])
+    known = enc._place(np.arange(5, dtype=np.uint64) << np.uint64(40)).tolist()
+    assert sorted(known) == [*range(5)] and enc._place(np.array([9 << 40], np.uint64)).tolist() == [-1]
+    assert [enc.pool[enc.at[i]:][:enc.size[i]].tolist() for i in known] == \
+        [LIBRARY[True].encode(t, add_special_tokens=False).ids for t in ("a", " b", "\n", "c", " ")]
+
+
+def test_a_full_store_is_emptied(monkeypatch):
+    monkeypatch.setattr("shoal.llm.tokens.MOST_KNOWN", 50)
+    enc = Encoder(PATH)
+    for lo in (0, 30, 60, 0):
+        text = " ".join(map(str, range(lo, lo + 40)))
+        assert enc.encode([text])[0].tolist() == LIBRARY[True].encode(text, add_special_tokens=False).ids
+        assert len(enc.keys) <= 90
