@@ -209,14 +209,15 @@ class Shard:
     def _expanded(self) -> tuple[np.ndarray, np.ndarray]:
         """The ids of every symbol in a row, and where each symbol's start."""
         if self._store is None:
-            flat = np.arange(self.first_rule + len(self.rules), dtype=np.uint32)
-            while (rule := flat >= self.first_rule).any():
-                width = 1 + rule.astype(np.int64)
-                out = np.repeat(flat, width)
-                at = (np.cumsum(width) - width)[rule]
-                pair = self.rules[flat[rule] - self.first_rule]
+            flat = self.rules.ravel()
+            while len(at := np.flatnonzero(flat >= self.first_rule)):
+                width = np.ones(len(flat), np.int64)
+                width[at] = 2
+                out, pair = np.repeat(flat, width), self.rules[flat[at] - self.first_rule]
+                at += np.arange(len(at))  # every rule before takes a place more
                 out[at], out[at + 1] = pair[:, 0], pair[:, 1]
                 flat = out
+            flat = np.concatenate((np.arange(self.first_rule, dtype=np.uint32), flat))
             begin = np.concatenate((np.arange(self.first_rule), self.first_rule + np.cumsum(self.size, dtype=np.int64) - self.size))
             self._store = flat, begin
         return self._store
@@ -302,7 +303,7 @@ def _decoded():
             t = batch.to_pydict()
             for pid, before, raw in zip(t["pid"], t["before"], t["shard"], strict=True):
                 shard = Shard(raw)
-                docs = [(d, x.astype("<u4")) for d, x in shard.documents()]
+                docs = [(d, x.astype("<u4", copy=False)) for d, x in shard.documents()]
                 n = len(docs)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([pid] * n, pa.int64()), pa.array([d for d, _ in docs], pa.int64()),

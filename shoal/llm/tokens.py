@@ -95,6 +95,8 @@ class Encoder:
 
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = not specials
+        # a pre-token comes to the library once: what it remembers is not asked for again
+        self.lib.model._resize_cache(0)
         #: Strings that the library cuts out of a text before it splits the rest.
         self.added = [t.content for t in self.lib.get_added_tokens_decoder().values() if specials or not t.special]
         self.reach = max(map(len, self.added), default=1) - 1
@@ -265,9 +267,10 @@ class Encoder:
         if joined.isascii() and not any(c in joined for c in "\x1c\x1d\x1e\x1f"):
             return out
         points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        bad = np.concatenate(([0], np.cumsum(classes()[points] == UNSURE)))
+        bad = np.flatnonzero(classes()[points] == UNSURE)
         first = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-        return out | (bad[first[1:]] > bad[first[:-1]])
+        out[np.searchsorted(first, bad, side="right") - 1] = True
+        return out
 
 
 _ENCODERS: dict[tuple[str, bool], Encoder] = {}
